@@ -7,56 +7,77 @@ is the key, then the left columns, then the right columns.
 Scale: a hot key on the *left* (streamed) side is split by adaptive execution's
 skew-join handling.  A left outer join cannot split its *right* side, so a right
 key holding, say, a third of all rows would land in one task.  Such keys are
-found by one aggregation over the right key column; a key is hot when it has
-more than ``slice_rows`` rows **and** at least ``1/max_hot_keys`` of the right
-table, so at most ``max_hot_keys`` keys qualify - that is the size bound of the
-broadcast hot-key table.  Right rows of a hot key are spread over
-``ceil(n / slice_rows)`` salt slices; the matching left rows are replicated
-once per slice and joined on (key, salt).  For a hot key every left row has
-matches, so a replica whose slice holds none is dropped - the result is exactly
-the plain left join's.  Everything stays lazy: no driver round trip.
+found on a sample of the right key column (no full shuffle of all keys): a key
+is hot when its sampled count is at least ``1/max_hot_keys`` of the sampled
+rows and its estimated count exceeds ``slice_rows``.  At most ``max_hot_keys``
+keys can qualify, which bounds the list brought to the driver and broadcast.
+
+Right rows of a hot key are spread over ``ceil(n / slice_rows)`` salt slices;
+the matching left rows are replicated once per slice and joined on
+(key, salt).  A flagged key was seen in the right table, so each of its left
+rows has matches and a replica whose slice holds none can be dropped - the
+result is exactly the plain left join's, whichever keys the sample flags.
+Without hot keys (the usual case) the plan is the plain join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_SLICE_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 1024
+DEFAULT_SAMPLE_FRACTION = 0.01
+SAMPLE_SEED = 17
 
 
 def hot_keys(right: DataFrame, key: str, slice_rows: int = DEFAULT_SLICE_ROWS,
-             max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
-    """(_hk, _slices) for keys above both thresholds; at most ``max_hot_keys`` rows."""
-    total = right.select(F.count(F.lit(1))).scalar()
-    counts = (right.where(F.col(key).isNotNull())
-              .groupBy(F.col(key).alias("_hk"))
+             max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+             sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> list[tuple[object, int]]:
+    """[(key, slices)] for hot right keys; at most ``max_hot_keys`` entries."""
+    keys = right.select(F.col(key).alias("_hk"))
+    sampled = keys if sample_fraction >= 1.0 else keys.sample(fraction=sample_fraction, seed=SAMPLE_SEED)
+    total = sampled.count()
+    if total == 0:
+        return []
+    scale = 1.0 / min(sample_fraction, 1.0)
+    counts = (sampled.where(F.col("_hk").isNotNull()).groupBy("_hk")
               .agg(F.count(F.lit(1)).alias("_n")))
-    return (counts.where((F.col("_n") > slice_rows) & (F.col("_n") * max_hot_keys >= total))
-            .select("_hk", F.ceil(F.col("_n") / slice_rows).cast("int").alias("_slices")))
+    hot = counts.where((F.col("_n") * max_hot_keys >= total) & (F.col("_n") * scale > slice_rows))
+    rows = hot.select("_hk", F.ceil(F.col("_n") * scale / slice_rows).cast("int").alias("_slices")).collect()
+    return [(r["_hk"], int(r["_slices"])) for r in rows]
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, *, skew_guard: bool = True,
-              slice_rows: int = DEFAULT_SLICE_ROWS,
-              max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+              slice_rows: int = DEFAULT_SLICE_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+              sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> DataFrame:
     """``left LEFT JOIN right USING (key)``; see the module notes for skew."""
-    if not skew_guard:
+    if slice_rows < 1 or max_hot_keys < 1 or not 0 < sample_fraction <= 1:
+        raise ValueError("slice_rows and max_hot_keys must be positive, sample_fraction in (0, 1]")
+    hot = hot_keys(right, key, slice_rows, max_hot_keys, sample_fraction) if skew_guard else []
+    if not hot:
         return left.join(right, key, "left")
-    if slice_rows < 1 or max_hot_keys < 1:
-        raise ValueError("slice_rows and max_hot_keys must be positive")
+    return salted_left_join(left, right, key, hot)
+
 
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple[object, int]]) -> DataFrame:
+    """The plain left join, with the right rows of ``hot`` keys split in slices."""
+    spark = left.sparkSession
+    key_type = right.schema[key].dataType
+    hot_df = F.broadcast(spark.createDataFrame(hot, T.StructType([
+        T.StructField("_hk", key_type), T.StructField("_slices", T.IntegerType())])))
     left_cols = [c for c in left.columns if c != key]
     right_cols = [c for c in right.columns if c != key]
-    # Size-bounded by construction (<= max_hot_keys rows), so broadcasting is safe.
-    hot = F.broadcast(hot_keys(right, key, slice_rows, max_hot_keys))
 
-    lhs = (left.join(hot, F.col(key) == F.col("_hk"), "left")
+    lhs = (left.join(hot_df, F.col(key) == F.col("_hk"), "left")
            .select(*left.columns,
                    F.col("_hk").isNotNull().alias("_hot"),
                    F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1))
                    .alias("_salt")))
-    rhs = (right.join(hot, F.col(key) == F.col("_hk"), "left")
+    # Position-based salt: a round-robin over the rows of each input split,
+    # so even exact copies of one row are spread over the slices.
+    rhs = (right.join(hot_df, F.col(key) == F.col("_hk"), "left")
            .select(F.col(key).alias("_rk"), *right_cols,
                    F.when(F.col("_slices").isNull(), F.lit(0))
                    .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("_slices")).cast("int"))

@@ -1,0 +1,51 @@
+"""Plan checks: pruning, pushdown, no cartesian products, no Python in plans."""
+
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF001
+from credit_signals.plans import catalog as C
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
+
+
+def _physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_cartesian_or_python_in_plan(spark, name):
+    plan = _physical(E.queries()[name](spark, SF001))
+    assert not [f for f in FORBIDDEN if f in plan]
+
+
+def test_partition_filter_prunes_folders(spark):
+    plan = _physical(C.pruned_high_risk(spark, SF001))
+    assert "PartitionFilters: [isnotnull(high_risk_flag" in plan and "(high_risk_flag#" in plan
+
+
+def test_flag_filter_is_pushed_below_the_join(spark):
+    lines = _optimized(C.filter_high_risk(spark, SF001)).splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join LeftOuter" in line)
+    flt = [i for i, line in enumerate(lines) if "Filter" in line and "credit_score" in line]
+    assert flt and all(i > join for i in flt), "\n".join(lines)
+
+
+def test_summary_scan_reads_only_needed_columns(spark):
+    lines = _optimized(C.feature_summary(spark, SF001)).splitlines()
+    # the bureau side of the count keeps only its key (the join may fan out)
+    relations = [i for i, line in enumerate(lines) if "Relation [" in line and "bureau_score" in line]
+    assert relations and all("Project [account_id#" in lines[i - 2] or "Project [account_id#" in lines[i - 1]
+                             for i in relations), "\n".join(lines)
+
+
+def test_grid_auc_window_input_is_bounded(spark):
+    # the only un-partitioned window runs after the grid aggregation
+    lines = _optimized(C.auc_pinned(spark, SF001)).splitlines()
+    w = next(i for i, line in enumerate(lines) if "Window [" in line)
+    assert "Aggregate [" in lines[w + 1] and " AS cell#" in lines[w + 1]
