@@ -307,6 +307,17 @@ def features_roundtrip(spark, sf):
     return _written_features(spark, sf)
 
 
+@register("features_stream_roundtrip", O.sql(FEAT, "SELECT * FROM features"))
+def features_stream_roundtrip(spark, sf):
+    """The incremental feature job over the staged account files, read back."""
+    from credit_signals.streaming.features import start_feature_stream
+    paths = fx.stage_inputs(spark, sf)
+    out = scratch_path(spark, "features-stream")
+    q = start_feature_stream(spark, paths["accounts"], paths["bureau"], out)
+    q.awaitTermination()
+    return RD.read_features(spark, out)
+
+
 @register("scored_table_roundtrip", O.sql(SCORED, f"SELECT {O.SCORED_CONFORMED} FROM scored"))
 def scored_table_roundtrip(spark, sf):
     path = scratch_path(spark, "scored")
