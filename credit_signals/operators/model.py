@@ -74,16 +74,26 @@ def random_split(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED):
 
 # --- fit / evaluate --------------------------------------------------------------
 
-def check_two_classes(train: DataFrame, label: str = R.LABEL_COL) -> None:
-    row = train.agg(F.count_if(F.col(label) == 1).alias("pos"),
-                    F.count_if(F.col(label) == 0).alias("neg")).first()
-    if not row or not row["pos"] or not row["neg"]:
-        raise OneClassTrainingSet(f"training set needs both classes, got {row}")
+def class_counts(df: DataFrame, split: Column | None = None, label: str = R.LABEL_COL) -> dict:
+    """{split: (rows, positives, negatives)} in one aggregation pass."""
+    key = split if split is not None else F.lit("all")
+    rows = (df.groupBy(key.alias("split"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label) == 1).alias("pos"),
+                 F.count_if(F.col(label) == 0).alias("neg")).collect())      # <= 2 rows
+    return {r["split"]: (r["rows"], r["pos"], r["neg"]) for r in rows}
 
 
-def fit(train: DataFrame, label: str = R.LABEL_COL, max_iter: int = MAX_ITER) -> LogisticRegressionModel:
+def check_two_classes(counts: tuple[int, int, int]) -> None:
+    _, pos, neg = counts
+    if not pos or not neg:
+        raise OneClassTrainingSet(f"training set needs both classes, got {pos} positive / {neg} negative")
+
+
+def fit(train: DataFrame, label: str = R.LABEL_COL, max_iter: int = MAX_ITER,
+        checked: bool = False) -> LogisticRegressionModel:
     """Logistic regression, library defaults except ``maxIter``."""
-    check_two_classes(train, label)
+    if not checked:
+        check_two_classes(class_counts(train, label=label)["all"])
     return LogisticRegression(labelCol=label, featuresCol="features", maxIter=max_iter).fit(train)
 
 
@@ -106,17 +116,22 @@ def train_model(prepared: DataFrame, split: str = "hash", label: str = R.LABEL_C
 
     The prepared frame is persisted (memory and disk) around the split, the fit's
     iterations and the evaluation, then released; lost blocks are recomputed
-    from lineage.
+    from lineage.  With the hash split, split sizes and the class check come
+    from one aggregation pass.
     """
     prepared = prepared.persist()
     try:
-        train, test = hash_split(prepared) if split == "hash" else random_split(prepared)
-        model = fit(train, label, max_iter)
+        if split == "hash":
+            train, test = hash_split(prepared)
+            counts = class_counts(prepared, split_label(), label)
+        else:
+            train, test = random_split(prepared)
+            counts = {"train": class_counts(train, label=label)["all"],
+                      "test": class_counts(test, label=label).get("all", (0, 0, 0))}
+        check_two_classes(counts.get("train", (0, 0, 0)))
+        model = fit(train, label, max_iter, checked=True)
         auc = evaluate_auc(model, test, label, num_bins)
-        counts = (prepared.select(split_label().alias("split")).groupBy("split").count().collect()
-                  if split == "hash" else [("train", train.count()), ("test", test.count())])
-        sizes = {r[0]: r[1] for r in counts}
-        return TrainResult(model, auc, sizes.get("train", 0), sizes.get("test", 0))
+        return TrainResult(model, auc, counts.get("train", (0,))[0], counts.get("test", (0,))[0])
     finally:
         prepared.unpersist()
 
