@@ -17,7 +17,10 @@ the matching left rows are replicated once per slice and joined on
 (key, salt).  A flagged key was seen in the right table, so each of its left
 rows has matches and a replica whose slice holds none can be dropped - the
 result is exactly the plain left join's, whichever keys the sample flags.
-Without hot keys (the usual case) the plan is the plain join.
+Without hot keys (the usual case) the plan is the plain join.  Detection is
+skipped when the right side's estimated size is under the broadcast threshold:
+the planner then broadcasts it, every left row probes the hash table in its own
+task, and a hot right key cannot make a straggler.
 """
 
 from __future__ import annotations
@@ -49,13 +52,38 @@ def hot_keys(right: DataFrame, key: str, slice_rows: int = DEFAULT_SLICE_ROWS,
     return [(r["_hk"], int(r["_slices"])) for r in rows]
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (what the planner compares with the
+    broadcast threshold); None when unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: treat as large
+        return None
+
+
+def broadcast_planned(df: DataFrame) -> bool:
+    threshold = _threshold_bytes(df)
+    size = estimated_bytes(df)
+    return threshold >= 0 and size is not None and size <= threshold
+
+
+def _threshold_bytes(df: DataFrame) -> int:
+    raw = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw)
+
+
 def left_join(left: DataFrame, right: DataFrame, key: str, *, skew_guard: bool = True,
               slice_rows: int = DEFAULT_SLICE_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
               sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> DataFrame:
     """``left LEFT JOIN right USING (key)``; see the module notes for skew."""
     if slice_rows < 1 or max_hot_keys < 1 or not 0 < sample_fraction <= 1:
         raise ValueError("slice_rows and max_hot_keys must be positive, sample_fraction in (0, 1]")
-    hot = hot_keys(right, key, slice_rows, max_hot_keys, sample_fraction) if skew_guard else []
+    guard = skew_guard and not broadcast_planned(right)
+    hot = hot_keys(right, key, slice_rows, max_hot_keys, sample_fraction) if guard else []
     if not hot:
         return left.join(right, key, "left")
     return salted_left_join(left, right, key, hot)

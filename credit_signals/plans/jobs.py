@@ -34,7 +34,8 @@ class FeatureJobResult:
 
 def run_features(spark: SparkSession, accounts_path: str, bureau_path: str, out_path: str,
                  rules: R.RiskRules = R.DEFAULT_RULES, **join_opts) -> FeatureJobResult:
-    """Read both inputs, derive the feature table, write it partitioned by flag."""
+    """Read both inputs (paths or bucketed catalog tables), derive the feature
+    table, write it partitioned by flag."""
     accounts = RD.read_accounts(spark, accounts_path)
     bureau = RD.read_bureau(spark, bureau_path)
     W.write_features(FT.engineer_features(accounts, bureau, rules, **join_opts), out_path)

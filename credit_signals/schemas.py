@@ -61,7 +61,11 @@ def conform(df: DataFrame, schema: T.StructType, sources: dict[str, str] | None
     missing input column raises ``SchemaMismatch`` instead of a silent NULL.
     """
     sources = sources or {}
-    have = set(df.columns)
+    current = df.schema
+    if not sources and [(f.name, f.dataType) for f in current.fields] == \
+            [(f.name, f.dataType) for f in schema.fields]:
+        return df                     # already conformed: no extra projection to analyse
+    have = set(current.fieldNames())
     cols: list[Column] = []
     missing = []
     for field in schema.fields:

@@ -137,15 +137,33 @@ def bureau_from_profile(profile: DataFrame) -> DataFrame:
 
 # --- staged inputs ----------------------------------------------------------
 # The reference's jobs read accounts and bureau as Parquet files.  The derived
-# views are written once per application below the shared checkpoint folder
-# and read back, which also cuts the lineage for every later query.
+# views are written once per application below the shared checkpoint folder,
+# which also cuts the lineage for every later query.  Both tables are bucketed
+# on ``account_id`` with the same bucket count (external tables: data in the
+# shared folder, metadata in the session catalog), so the feature join reads
+# co-partitioned buckets and needs no exchange on either side.
+
+ROWS_PER_BUCKET = 1_000_000
+MIN_BUCKETS = 8
 
 _STAGED: dict[tuple[str, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
 
 
+def bucket_count(rows: int) -> int:
+    return max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET))
+
+
+def _write_bucketed(df: DataFrame, path: str, table_name: str, buckets: int) -> None:
+    # One shuffle on the key: each task then holds exactly one bucket, so every
+    # bucket is one file.
+    (df.repartition(buckets, "account_id").write.mode("overwrite")
+     .bucketBy(buckets, "account_id").option("path", path).format("parquet")
+     .saveAsTable(table_name))
+
+
 def stage_inputs(spark: SparkSession, sf_dir: str, force: bool = False) -> dict[str, str]:
-    """Write profile, accounts and bureau Parquet tables; return their paths."""
+    """Write profile, accounts and bureau tables; return their paths and table names."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _LOCK:
         if not force and key in _STAGED:
@@ -153,20 +171,24 @@ def stage_inputs(spark: SparkSession, sf_dir: str, force: bool = False) -> dict[
         paths = {name: scratch_path(spark, f"staged-{name}") for name in ("profile", "accounts", "bureau")}
         customer_profile(spark, sf_dir).write.mode("overwrite").parquet(paths["profile"])
         profile = spark.read.parquet(paths["profile"])
-        accounts_from_profile(profile).write.mode("overwrite").parquet(paths["accounts"])
-        bureau_from_profile(profile).write.mode("overwrite").parquet(paths["bureau"])
+        buckets = bucket_count(profile.count())
+        tag = paths["accounts"].rsplit("-", 1)[-1]
+        for name, df in (("accounts", accounts_from_profile(profile)), ("bureau", bureau_from_profile(profile))):
+            paths[f"{name}_table"] = f"credit_signals_{name}_{tag}"
+            _write_bucketed(df, paths[name], paths[f"{name}_table"], buckets)
+        paths["buckets"] = str(buckets)
         _STAGED[key] = paths
         return paths
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from credit_signals.sources.readers import read_accounts
-    return read_accounts(spark, stage_inputs(spark, sf_dir)["accounts"])
+    return read_accounts(spark, stage_inputs(spark, sf_dir)["accounts_table"])
 
 
 def bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
     from credit_signals.sources.readers import read_bureau
-    return read_bureau(spark, stage_inputs(spark, sf_dir)["bureau"])
+    return read_bureau(spark, stage_inputs(spark, sf_dir)["bureau_table"])
 
 
 # --- variants -----------------------------------------------------------------

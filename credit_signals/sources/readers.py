@@ -11,12 +11,28 @@ from pyspark.sql import types as T
 from credit_signals import schemas
 
 
-def read_accounts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.ACCOUNTS).parquet(path)
-
-
-def read_bureau(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.BUREAU).parquet(path)
+def is_table(spark: SparkSession, name: str) -> bool:
+    """True for a catalog table name (as opposed to a file path)."""
+    if "/" in name or ":" in name:
+        return False
+    try:
+        return spark.catalog.tableExists(name)
+    except Exception:  # noqa: BLE001 - unparsable names are paths
+        return False
+
+
+def read_accounts(spark: SparkSession, source: str) -> DataFrame:
+    """A path, or a catalog table (keeps its bucketing, so joins on the key
+    need no exchange); columns conformed to the declared schema."""
+    if is_table(spark, source):
+        return schemas.conform(spark.table(source), schemas.ACCOUNTS)
+    return spark.read.schema(schemas.ACCOUNTS).parquet(source)
+
+
+def read_bureau(spark: SparkSession, source: str) -> DataFrame:
+    if is_table(spark, source):
+        return schemas.conform(spark.table(source), schemas.BUREAU)
+    return spark.read.schema(schemas.BUREAU).parquet(source)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

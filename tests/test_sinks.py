@@ -15,6 +15,10 @@ from credit_signals.sources import fixtures as fx
 from credit_signals.sources import readers as RD
 
 
+def _listing(path):
+    return sorted(n for n in os.listdir(local_path(path)) if not n.startswith("."))
+
+
 def _features(spark):
     return FT.engineer_features(fx.accounts(spark, SF001), fx.bureau(spark, SF001))
 
@@ -22,9 +26,9 @@ def _features(spark):
 def test_static_overwrite_drops_stale_partitions(spark):
     path = scratch_path(spark, "t-overwrite")
     W.write_features(_features(spark), path)
-    assert sorted(os.listdir(local_path(path))) == ["_SUCCESS", "high_risk_flag=0", "high_risk_flag=1"]
+    assert _listing(path) == ["_SUCCESS", "high_risk_flag=0", "high_risk_flag=1"]
     W.write_features(_features(spark).where(F.col("high_risk_flag") == 0), path)
-    assert sorted(os.listdir(local_path(path))) == ["_SUCCESS", "high_risk_flag=0"]
+    assert _listing(path) == ["_SUCCESS", "high_risk_flag=0"]
     back = RD.read_features(spark, path)
     assert back.columns[-1] == "high_risk_flag" and back.count() == 72
 

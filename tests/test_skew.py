@@ -35,10 +35,31 @@ def test_hot_keys_are_bounded_and_never_null(spark):
     assert dict(hot)["h"] == 50
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as for a large right side
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @pytest.mark.parametrize("slice_rows", [1, 3, 1000])
-def test_left_join_matches_plain(spark, slice_rows):
+def test_left_join_matches_plain(spark, no_broadcast, slice_rows):
     left, right = _pair(spark)
     got = left_join(left, right, "k", slice_rows=slice_rows, max_hot_keys=100, sample_fraction=1.0)
+    salted = "Generate" in got._jdf.queryExecution().executedPlan().toString()
+    assert salted == (slice_rows < 50)          # 'h' has 50 right rows
+    assert _same(got, left.join(right, "k", "left"))
+
+
+def test_small_right_side_skips_detection(spark):
+    from credit_signals.session import scratch_path
+    left, right = _pair(spark)
+    path = scratch_path(spark, "t-small-right")
+    right.write.parquet(path)
+    right = spark.read.parquet(path)            # a file scan has a size estimate
+    got = left_join(left, right, "k", slice_rows=1, max_hot_keys=100, sample_fraction=1.0)
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
     assert _same(got, left.join(right, "k", "left"))
 
 
