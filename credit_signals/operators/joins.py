@@ -86,11 +86,21 @@ def left_join(left: DataFrame, right: DataFrame, key: str, *, skew_guard: bool =
     hot = hot_keys(right, key, slice_rows, max_hot_keys, sample_fraction) if guard else []
     if not hot:
         return left.join(right, key, "left")
-    return salted_left_join(left, right, key, hot)
+    return salted_left_join(left, right, key, hot, slice_rows)
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple[object, int]]) -> DataFrame:
-    """The plain left join, with the right rows of ``hot`` keys split in slices."""
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple[object, int]],
+                     slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
+    """The plain left join, with the right rows of ``hot`` keys split in slices.
+
+    The salt is a function of row content, so a retried task reproduces it
+    whatever order its input arrives in.  Exact copies of a hot row are first
+    collapsed to (row, count) - a partial aggregation, so copies never travel
+    one by one - then cut into chunks of at most ``slice_rows`` copies; each
+    chunk is salted by hash(row, chunk) and the copies are re-expanded after
+    the join.  A third of the table made of one repeated row is thus spread
+    over ``ceil(n / slice_rows)`` tasks like any other hot key.
+    """
     spark = left.sparkSession
     key_type = right.schema[key].dataType
     hot_df = F.broadcast(spark.createDataFrame(hot, T.StructType([
@@ -103,15 +113,22 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tupl
                    F.col("_hk").isNotNull().alias("_hot"),
                    F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1))
                    .alias("_salt")))
-    # Position-based salt: a round-robin over the rows of each input split,
-    # so even exact copies of one row are spread over the slices.
-    rhs = (right.join(hot_df, F.col(key) == F.col("_hk"), "left")
-           .select(F.col(key).alias("_rk"), *right_cols,
-                   F.when(F.col("_slices").isNull(), F.lit(0))
-                   .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("_slices")).cast("int"))
-                   .alias("_rsalt"),
-                   F.lit(True).alias("_matched")))
+
+    tagged = right.join(hot_df, F.col(key) == F.col("_hk"), "left")
+    cold = tagged.where(F.col("_slices").isNull()).select(
+        F.col(key).alias("_rk"), *right_cols, F.lit(0).alias("_rsalt"), F.lit(1).cast("long").alias("_copies"))
+    content = [F.col(key), *[F.col(c) for c in right_cols]]
+    copies = (tagged.where(F.col("_slices").isNotNull())
+              .groupBy(key, *right_cols, "_slices").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / slice_rows).cast("long") - 1))))
+    warm = copies.select(
+        F.col(key).alias("_rk"), *right_cols,
+        F.pmod(F.xxhash64(*content, F.col("_chunk")), F.col("_slices")).cast("int").alias("_rsalt"),
+        F.least(F.lit(slice_rows).cast("long"), F.col("_n") - F.col("_chunk") * slice_rows).alias("_copies"))
+    rhs = cold.unionByName(warm).withColumn("_matched", F.lit(True))
 
     joined = lhs.join(rhs, (F.col(key) == F.col("_rk")) & (F.col("_salt") == F.col("_rsalt")), "left")
-    return (joined.where(~F.col("_hot") | F.col("_matched").isNotNull())
-            .select(key, *left_cols, *right_cols))
+    kept = joined.where(~F.col("_hot") | F.col("_matched").isNotNull())
+    return kept.select(key, *left_cols, *right_cols,
+                       F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce(F.col("_copies"), F.lit(1).cast("long"))))
+                       .alias("_copy")).drop("_copy")

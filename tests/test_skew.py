@@ -22,7 +22,7 @@ def _same(a, b):
 def test_salted_equals_plain_with_exact_copies(spark):
     left, right = _pair(spark)
     plain = left.join(right, "k", "left")
-    salted = salted_left_join(left, right, "k", [("h", 7), ("a", 2)])
+    salted = salted_left_join(left, right, "k", [("h", 7), ("a", 2)], slice_rows=4)
     assert salted.columns == plain.columns == ["k", "lv", "rv"]
     assert _same(salted, plain)
     assert salted.count() == 3 * 50 + 2 + 1 + 1 + 1
@@ -65,5 +65,16 @@ def test_small_right_side_skips_detection(spark):
 
 def test_hot_right_rows_are_spread_over_slices(spark):
     left, right = _pair(spark)
-    salted = salted_left_join(left, right.repartition(4), "k", [("h", 5)])
+    salted = salted_left_join(left, right.repartition(4), "k", [("h", 5)], slice_rows=10)
     assert salted.where(F.col("k") == "h").count() == 150
+    # 40 copies of one row in chunks of <= 10, each chunk in one slice: several slices used
+    from credit_signals.operators import joins as J
+    parts = (salted.where(F.col("k") == "h").groupBy("lv", "rv").count().collect())
+    assert {(r.lv, r.rv): r["count"] for r in parts}[(1, 10)] == 40
+
+
+def test_copies_are_chunked_deterministically(spark):
+    left, right = _pair(spark)
+    a = salted_left_join(left, right, "k", [("h", 5)], slice_rows=3)
+    b = salted_left_join(left, right.repartition(3), "k", [("h", 5)], slice_rows=3)
+    assert _same(a, b) and _same(a, left.join(right, "k", "left"))
