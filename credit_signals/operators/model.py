@@ -159,7 +159,13 @@ def _stamp(df: DataFrame, run_ts, version: str) -> DataFrame:
 
 def score_accounts(model, prepared: DataFrame, run_ts=None, version: str = R.MODEL_VERSION,
                    rules: R.RiskRules = R.DEFAULT_RULES) -> DataFrame:
-    """model.transform + positive-class probability + band + run metadata."""
+    """Positive-class probability + band + run metadata.
+
+    ``model`` is a fitted model (``transform`` + element 1 of ``probability``)
+    or a ``LinearScore`` (given weights, a plain column expression).
+    """
+    if isinstance(model, LinearScore):
+        return score_with_weights(prepared, model, run_ts, version, rules)
     out = model.transform(prepared).withColumn("risk_score", vector_to_array(F.col("probability"))[1])
     return _stamp(out.withColumn("risk_band", R.risk_band("risk_score", rules)), run_ts, version)
 

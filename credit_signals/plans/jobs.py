@@ -69,3 +69,71 @@ def run_scoring(spark: SparkSession, features_path: str, target: str, fmt: str =
     written = W.read_scored(spark, target).count() if fmt == "parquet" else -1
     return ScoringJobResult(trained.model, trained.auc, trained.train_rows, trained.test_rows,
                             written, target)
+
+
+@dataclass
+class VerificationResult:
+    total_accounts: int
+    high_risk_accounts: int
+    high_risk_pct: float | None
+    low_risk_accounts: int
+    low_risk_pct: float | None
+    sample: list
+
+
+def run_verification(spark: SparkSession, features_path: str, sample_rows: int = 5) -> VerificationResult:
+    """Counts and shares of the written feature table (one pass over the
+    partition column only) and the first flagged accounts (one pruned folder)."""
+    from credit_signals.operators import reports as RP
+    features = RD.read_features(spark, features_path)
+    r = RP.verification_report(features).first()
+    sample = [row.asDict() for row in RP.high_risk_sample(features, sample_rows).collect()]   # <= sample_rows
+    return VerificationResult(r["total_accounts"], r["high_risk_accounts"], r["high_risk_pct"],
+                              r["low_risk_accounts"], r["low_risk_pct"], sample)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m credit_signals.plans.jobs <stage|features|scoring|verify> ...``"""
+    import argparse
+    import json
+
+    from credit_signals.session import session
+    from credit_signals.sources import fixtures
+
+    ap = argparse.ArgumentParser(prog="credit_signals.plans.jobs")
+    ap.add_argument("--master", default=None)
+    sub = ap.add_subparsers(dest="job", required=True)
+    st = sub.add_parser("stage", help="derive accounts and bureau tables from the driver tables")
+    st.add_argument("--tables", required=True)
+    fe = sub.add_parser("features", help="feature job")
+    fe.add_argument("--accounts", required=True)
+    fe.add_argument("--bureau", required=True)
+    fe.add_argument("--out", required=True)
+    sc = sub.add_parser("scoring", help="scoring job")
+    sc.add_argument("--features", required=True)
+    sc.add_argument("--target", required=True)
+    sc.add_argument("--format", default="parquet")
+    sc.add_argument("--option", action="append", default=[], help="key=value writer option")
+    sc.add_argument("--run-ts", default=None)
+    ve = sub.add_parser("verify", help="verification report of a feature table")
+    ve.add_argument("--features", required=True)
+    args = ap.parse_args(argv)
+
+    spark = session(f"credit-signals-{args.job}", master=args.master)
+    if args.job == "stage":
+        out = fixtures.stage_inputs(spark, args.tables)
+    elif args.job == "features":
+        r = run_features(spark, args.accounts, args.bureau, args.out)
+        out = r.__dict__
+    elif args.job == "scoring":
+        opts = dict(o.split("=", 1) for o in args.option)
+        r = run_scoring(spark, args.features, args.target, fmt=args.format, options=opts, run_ts=args.run_ts)
+        out = {k: v for k, v in r.__dict__.items() if k != "model"}
+    else:
+        out = run_verification(spark, args.features).__dict__
+    print(json.dumps(out, default=str))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

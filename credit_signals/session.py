@@ -42,6 +42,26 @@ def session(app_name: str = "credit-signals", master: str | None = None,
     return spark
 
 
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Scan splits of 512 MB keep the task count near input / 512 MB (200k tasks
+    for 100 TB, about 25 waves on 8,000 cores).  The initial shuffle partition
+    count aims at ~256 MB per partition (never below two per core); adaptive
+    execution then coalesces small ones to the advisory size and splits skewed
+    ones, so every partition fits in executor memory with room to spill.
+    """
+    shuffle = max(2 * total_cores, min(max_shuffle_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for materialised tables.
 

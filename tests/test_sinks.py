@@ -65,3 +65,28 @@ def test_jobs_end_to_end(spark):
     assert (fe.accounts_loaded, fe.total_accounts, fe.high_risk_accounts, fe.high_risk_pct) == (150, 150, 78, 52.0)
     sc = jobs.run_scoring(spark, fe.path, scratch_path(spark, "t-job-s"), run_ts=C.RUN_TS)
     assert sc.written_rows == 150 and sc.train_rows + sc.test_rows == 150 and 0.0 <= sc.auc <= 1.0
+
+
+def test_verification_job_reads_the_written_table(spark):
+    paths = fx.stage_inputs(spark, SF001)
+    fe = jobs.run_features(spark, paths["accounts_table"], paths["bureau_table"], scratch_path(spark, "t-verify"))
+    v = jobs.run_verification(spark, fe.path)
+    assert (v.total_accounts, v.high_risk_accounts, v.low_risk_accounts, v.high_risk_pct, v.low_risk_pct) == \
+        (150, 78, 72, 52.0, 48.0)
+    assert [r["account_id"] for r in v.sample] == sorted(r["account_id"] for r in v.sample) and len(v.sample) == 5
+
+
+def test_score_accounts_takes_weights_or_model(spark):
+    from credit_signals.operators import model as M
+    f = _features(spark)
+    a = M.score_accounts(M.PINNED, f, run_ts=C.RUN_TS)
+    b = M.score_with_weights(f, run_ts=C.RUN_TS)
+    assert a.exceptAll(b).count() == 0 and a.count() == 150
+
+
+def test_sizing_conf_bounds():
+    from credit_signals.session import sizing_conf
+    big = sizing_conf(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    small = sizing_conf(1 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
