@@ -4,28 +4,36 @@ Semantics are those of ``left.join(right, key, "left")``: every left row is
 kept, duplicate right keys fan out, a NULL key matches nothing, and the output
 is the key, then the left columns, then the right columns.
 
-Scale: a hot key on the *left* (streamed) side is split by adaptive execution's
-skew-join handling.  A left outer join cannot split its *right* side, so a right
-key holding, say, a third of all rows would land in one task.  Such keys are
-found on a sample of the right key column (no full shuffle of all keys): a key
-is hot when its sampled count is at least ``1/max_hot_keys`` of the sampled
-rows and its estimated count exceeds ``slice_rows``.  At most ``max_hot_keys``
-keys can qualify, which bounds the list brought to the driver and broadcast.
-
-Right rows of a hot key are spread over ``ceil(n / slice_rows)`` salt slices;
-the matching left rows are replicated once per slice and joined on
-(key, salt).  A flagged key was seen in the right table, so each of its left
-rows has matches and a replica whose slice holds none can be dropped - the
-result is exactly the plain left join's, whichever keys the sample flags.
-Without hot keys (the usual case) the plan is the plain join.  Detection is
-skipped when the right side's estimated size is under the broadcast threshold:
-the planner then broadcasts it, every left row probes the hash table in its own
-task, and a hot right key cannot make a straggler.
+Hot keys.  Keys are sampled on both sides (a sample of the key column only, no
+shuffle of all keys).  A key is hot on a side when its sampled count is at
+least ``1/max_hot_keys`` of that side's sampled rows and its estimated count
+exceeds ``slice_rows``; at most ``max_hot_keys`` keys per side can qualify,
+which bounds the list brought to the driver and broadcast.  Rows of cold keys
+take the plain join - on bucketed inputs with no exchange at all.  Rows of hot
+keys are split in a grid: the left rows of key k in ``L_k`` slices, the right
+rows in ``R_k`` slices (``ceil(n / slice_rows)`` each, 1 on a side where k is
+not hot); each left slice is replicated across the right slices and vice
+versa, so each of the ``L_k x R_k`` join tasks sees about ``slice_rows`` rows
+per side.  Without this, a hot key would sit in one task: adaptive execution
+cannot split the right side of a left join, and no side of a join over
+co-bucketed inputs (it has no shuffle stage to split).
+
+Slices are chosen by a content hash, so a retried task reproduces them in any
+input order.  Exact copies are first collapsed to (row, count) - a partial
+aggregation, map-side - and cut into chunks of at most ``slice_rows`` copies,
+so one row repeated a third of the table spreads like any hot key; the copies
+are re-expanded after the join.  When the right side is split, a key hot there
+was seen in the right table, so each left replica without a match in its
+slice is dropped; otherwise every left row has exactly one replica and stays.
+
+Detection is skipped when the right side's estimated size is under the
+broadcast threshold: it is then broadcast, the left side streams in its file
+splits, and no key can concentrate in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,11 +43,11 @@ DEFAULT_SAMPLE_FRACTION = 0.01
 SAMPLE_SEED = 17
 
 
-def hot_keys(right: DataFrame, key: str, slice_rows: int = DEFAULT_SLICE_ROWS,
+def hot_keys(df: DataFrame, key: str, slice_rows: int = DEFAULT_SLICE_ROWS,
              max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
              sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> list[tuple[object, int]]:
-    """[(key, slices)] for hot right keys; at most ``max_hot_keys`` entries."""
-    keys = right.select(F.col(key).alias("_hk"))
+    """[(key, slices)] for hot keys of ``df``; at most ``max_hot_keys`` entries."""
+    keys = df.select(F.col(key).alias("_hk"))
     sampled = keys if sample_fraction >= 1.0 else keys.sample(fraction=sample_fraction, seed=SAMPLE_SEED)
     total = sampled.count()
     if total == 0:
@@ -61,12 +69,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_planned(df: DataFrame) -> bool:
-    threshold = _threshold_bytes(df)
-    size = estimated_bytes(df)
-    return threshold >= 0 and size is not None and size <= threshold
-
-
 def _threshold_bytes(df: DataFrame) -> int:
     raw = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
@@ -76,59 +78,82 @@ def _threshold_bytes(df: DataFrame) -> int:
     return int(raw)
 
 
+def broadcast_planned(df: DataFrame) -> bool:
+    threshold = _threshold_bytes(df)
+    size = estimated_bytes(df)
+    return threshold >= 0 and size is not None and size <= threshold
+
+
 def left_join(left: DataFrame, right: DataFrame, key: str, *, skew_guard: bool = True,
               slice_rows: int = DEFAULT_SLICE_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
               sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> DataFrame:
     """``left LEFT JOIN right USING (key)``; see the module notes for skew."""
     if slice_rows < 1 or max_hot_keys < 1 or not 0 < sample_fraction <= 1:
         raise ValueError("slice_rows and max_hot_keys must be positive, sample_fraction in (0, 1]")
-    guard = skew_guard and not broadcast_planned(right)
-    hot = hot_keys(right, key, slice_rows, max_hot_keys, sample_fraction) if guard else []
-    if not hot:
+    if not skew_guard or broadcast_planned(right):
         return left.join(right, key, "left")
-    return salted_left_join(left, right, key, hot, slice_rows)
-
-
-def salted_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple[object, int]],
-                     slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
-    """The plain left join, with the right rows of ``hot`` keys split in slices.
-
-    The salt is a function of row content, so a retried task reproduces it
-    whatever order its input arrives in.  Exact copies of a hot row are first
-    collapsed to (row, count) - a partial aggregation, so copies never travel
-    one by one - then cut into chunks of at most ``slice_rows`` copies; each
-    chunk is salted by hash(row, chunk) and the copies are re-expanded after
-    the join.  A third of the table made of one repeated row is thus spread
-    over ``ceil(n / slice_rows)`` tasks like any other hot key.
-    """
+    grid: dict[object, list[int]] = {}
+    for k, n in hot_keys(left, key, slice_rows, max_hot_keys, sample_fraction):
+        grid.setdefault(k, [1, 1])[0] = n
+    for k, n in hot_keys(right, key, slice_rows, max_hot_keys, sample_fraction):
+        grid.setdefault(k, [1, 1])[1] = n
+    if not grid:
+        return left.join(right, key, "left")
+    return split_left_join(left, right, key, [(k, ls, rs) for k, (ls, rs) in grid.items()], slice_rows)
+
+
+def _chunks(df: DataFrame, key: str, slices: str, slice_rows: int) -> DataFrame:
+    """Collapse exact copies to (row, _n), cut into chunks of <= slice_rows,
+    and pick each chunk's slice from a content hash."""
+    cols = [c for c in df.columns if c != slices]
+    if any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):   # maps cannot be grouped
+        grouped = df.withColumn("_n", F.lit(1).cast("long"))
+    else:
+        grouped = df.groupBy(*cols, slices).agg(F.count(F.lit(1)).alias("_n"))
+    chunked = grouped.withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / slice_rows).cast("long") - 1)))
+    return chunked.select(
+        *cols, slices,
+        F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.col("_chunk")), F.col(slices)).cast("int").alias(f"{slices}_at"),
+        F.least(F.lit(slice_rows).cast("long"), F.col("_n") - F.col("_chunk") * slice_rows).alias(f"{slices}_copies"))
+
+
+def _spread(n: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
+def split_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple[object, int, int]],
+                    slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
+    """The plain left join; rows of ``hot`` keys ((key, left slices, right
+    slices)) go through a salted grid join, all other rows through the plain
+    join.  Keys never cross branches, so the union is exact."""
     spark = left.sparkSession
     key_type = right.schema[key].dataType
-    hot_df = F.broadcast(spark.createDataFrame(hot, T.StructType([
-        T.StructField("_hk", key_type), T.StructField("_slices", T.IntegerType())])))
+    grid = spark.createDataFrame(hot, T.StructType([
+        T.StructField("_hk", key_type), T.StructField("_ls", T.IntegerType()),
+        T.StructField("_rs", T.IntegerType())]))
+    hot_b = F.broadcast(grid)                       # <= 2 x max_hot_keys rows
     left_cols = [c for c in left.columns if c != key]
     right_cols = [c for c in right.columns if c != key]
 
-    lhs = (left.join(hot_df, F.col(key) == F.col("_hk"), "left")
-           .select(*left.columns,
-                   F.col("_hk").isNotNull().alias("_hot"),
-                   F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1))
-                   .alias("_salt")))
-
-    tagged = right.join(hot_df, F.col(key) == F.col("_hk"), "left")
-    cold = tagged.where(F.col("_slices").isNull()).select(
-        F.col(key).alias("_rk"), *right_cols, F.lit(0).alias("_rsalt"), F.lit(1).cast("long").alias("_copies"))
-    content = [F.col(key), *[F.col(c) for c in right_cols]]
-    copies = (tagged.where(F.col("_slices").isNotNull())
-              .groupBy(key, *right_cols, "_slices").agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / slice_rows).cast("long") - 1))))
-    warm = copies.select(
-        F.col(key).alias("_rk"), *right_cols,
-        F.pmod(F.xxhash64(*content, F.col("_chunk")), F.col("_slices")).cast("int").alias("_rsalt"),
-        F.least(F.lit(slice_rows).cast("long"), F.col("_n") - F.col("_chunk") * slice_rows).alias("_copies"))
-    rhs = cold.unionByName(warm).withColumn("_matched", F.lit(True))
-
-    joined = lhs.join(rhs, (F.col(key) == F.col("_rk")) & (F.col("_salt") == F.col("_rsalt")), "left")
-    kept = joined.where(~F.col("_hot") | F.col("_matched").isNotNull())
-    return kept.select(key, *left_cols, *right_cols,
-                       F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce(F.col("_copies"), F.lit(1).cast("long"))))
-                       .alias("_copy")).drop("_copy")
+    # cold keys: anti-joins against the broadcast list keep each side's partitioning
+    cold = left.join(hot_b, F.col(key) == F.col("_hk"), "left_anti").join(
+        right.join(hot_b, F.col(key) == F.col("_hk"), "left_anti"), key, "left")
+
+    hl = left.join(hot_b, F.col(key) == F.col("_hk"), "inner").select(*left.columns, "_ls", "_rs")
+    hr = right.join(hot_b, F.col(key) == F.col("_hk"), "inner").select(*right.columns, "_ls", "_rs")
+    lq = (_chunks(hl.drop("_rs"), key, "_ls", slice_rows)
+          .join(F.broadcast(grid.select(F.col("_hk").alias(key), "_rs")), key)
+          .withColumn("_rj", _spread("_rs")))
+    rq = (_chunks(hr.drop("_ls"), key, "_rs", slice_rows)
+          .join(F.broadcast(grid.select(F.col("_hk").alias(key), "_ls")), key)
+          .withColumn("_lj", _spread("_ls"))
+          .select(F.col(key).alias("_rk"), *right_cols, "_rs_at", "_rs_copies", "_lj",
+                  F.lit(True).alias("_matched")))
+    joined = lq.join(rq, (F.col(key) == F.col("_rk")) & (F.col("_ls_at") == F.col("_lj"))
+                     & (F.col("_rj") == F.col("_rs_at")), "left")
+    kept = joined.where((F.col("_rs") == 1) | F.col("_matched").isNotNull())
+    copies = F.col("_ls_copies") * F.coalesce(F.col("_rs_copies"), F.lit(1).cast("long"))
+    warm = kept.select(key, *left_cols, *right_cols,
+                       F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("_copy")).drop("_copy")
+    return cold.unionByName(warm)

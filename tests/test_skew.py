@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from credit_signals.operators.joins import hot_keys, left_join, salted_left_join
+from credit_signals.operators.joins import hot_keys, left_join, split_left_join
 
 
 def _pair(spark):
@@ -22,7 +22,7 @@ def _same(a, b):
 def test_salted_equals_plain_with_exact_copies(spark):
     left, right = _pair(spark)
     plain = left.join(right, "k", "left")
-    salted = salted_left_join(left, right, "k", [("h", 7), ("a", 2)], slice_rows=4)
+    salted = split_left_join(left, right, "k", [("h", 1, 7), ("a", 1, 2)], slice_rows=4)
     assert salted.columns == plain.columns == ["k", "lv", "rv"]
     assert _same(salted, plain)
     assert salted.count() == 3 * 50 + 2 + 1 + 1 + 1
@@ -48,7 +48,7 @@ def test_left_join_matches_plain(spark, no_broadcast, slice_rows):
     left, right = _pair(spark)
     got = left_join(left, right, "k", slice_rows=slice_rows, max_hot_keys=100, sample_fraction=1.0)
     salted = "Generate" in got._jdf.queryExecution().executedPlan().toString()
-    assert salted == (slice_rows < 50)          # 'h' has 50 right rows
+    assert salted == (slice_rows < 50)          # 'h' has 50 right rows, 3 left rows
     assert _same(got, left.join(right, "k", "left"))
 
 
@@ -65,7 +65,7 @@ def test_small_right_side_skips_detection(spark):
 
 def test_hot_right_rows_are_spread_over_slices(spark):
     left, right = _pair(spark)
-    salted = salted_left_join(left, right.repartition(4), "k", [("h", 5)], slice_rows=10)
+    salted = split_left_join(left, right.repartition(4), "k", [("h", 1, 5)], slice_rows=10)
     assert salted.where(F.col("k") == "h").count() == 150
     # 40 copies of one row in chunks of <= 10, each chunk in one slice: several slices used
     from credit_signals.operators import joins as J
@@ -75,6 +75,46 @@ def test_hot_right_rows_are_spread_over_slices(spark):
 
 def test_copies_are_chunked_deterministically(spark):
     left, right = _pair(spark)
-    a = salted_left_join(left, right, "k", [("h", 5)], slice_rows=3)
-    b = salted_left_join(left, right.repartition(3), "k", [("h", 5)], slice_rows=3)
+    a = split_left_join(left, right, "k", [("h", 2, 5)], slice_rows=3)
+    b = split_left_join(left, right.repartition(3), "k", [("h", 2, 5)], slice_rows=3)
     assert _same(a, b) and _same(a, left.join(right, "k", "left"))
+
+
+def _grid_pair(spark):
+    # 'L' hot on the left only (40 copies + 5 distinct, 2 right rows), 'M' hot on the left with no right row,
+    # 'B' hot on both sides, 'R' hot on the right only, plus cold keys and NULL keys on both sides.
+    left = (
+        [("L", 1)] * 40 + [("L", i) for i in range(2, 7)] + [("M", 9)] * 12 + [("B", 3)] * 6 + [("B", 4)] * 4
+        + [("R", 5), ("c", 6), (None, 7), ("d", 8)])
+    right = (
+        [("L", 100), ("L", 101)] + [("B", 200)] * 7 + [("B", 201)] * 3 + [("R", 300)] * 15 + [("R", 301)]
+        + [("c", 400), ("c", 401), (None, 500), ("e", 600)])
+    return (spark.createDataFrame(left, "k string, lv int"), spark.createDataFrame(right, "k string, rv int"))
+
+
+@pytest.mark.parametrize("slice_rows", [1, 2, 5, 100])
+def test_grid_join_equals_plain_on_both_sides(spark, no_broadcast, slice_rows):
+    left, right = _grid_pair(spark)
+    plain = left.join(right, "k", "left")
+    got = left_join(left, right, "k", slice_rows=slice_rows, max_hot_keys=100, sample_fraction=1.0)
+    assert got.columns == plain.columns
+    assert _same(got, plain)
+
+
+def test_explicit_grid_with_left_only_and_unmatched_hot_keys(spark):
+    left, right = _grid_pair(spark)
+    got = split_left_join(left, right, "k", [("L", 3, 1), ("M", 4, 1), ("B", 2, 3), ("R", 1, 4)], slice_rows=3)
+    plain = left.join(right, "k", "left")
+    assert _same(got, plain)
+    assert got.where((F.col("k") == "M") & F.col("rv").isNull()).count() == 12
+
+
+def test_cold_branch_keeps_bucketed_join(spark, no_broadcast):
+    from conftest import SF001
+    from credit_signals.sources import fixtures as fx
+    a, b = fx.accounts(spark, SF001), fx.bureau(spark, SF001)
+    got = split_left_join(a, b, "account_id", [("A000000001", 2, 2)], slice_rows=1)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    cold = plan[plan.index("Union"):]
+    assert _same(got, a.join(b, "account_id", "left"))
+    assert "BroadcastHashJoin" in cold and "LeftAnti" in cold
