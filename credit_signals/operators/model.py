@@ -1,7 +1,7 @@
 """Default model: assemble, split, fit, evaluate, score, band.
 
 Fitting and evaluation use Spark ML (distributed tree-aggregates per L-BFGS
-iteration).  Scoring with given weights is a plain column expression, so it
+iteration, over the training blocks the fit caches itself).  Scoring with given weights is a plain column expression, so it
 stays inside whole-stage codegen.  The grid AUC groups scores on a fixed grid
 first - at most ``grid + 1`` rows whatever the data size - and only then runs
 the ordered running sum, so no step gathers unbounded data into one task.
@@ -114,26 +114,23 @@ def train_model(prepared: DataFrame, split: str = "hash", label: str = R.LABEL_C
                 max_iter: int = MAX_ITER, num_bins: int = 1000) -> TrainResult:
     """Split, fit on the train part, AUC on the test part.
 
-    The prepared frame is persisted (memory and disk) around the split, the fit's
-    iterations and the evaluation, then released; lost blocks are recomputed
-    from lineage.  With the hash split, split sizes and the class check come
-    from one aggregation pass.
+    Nothing is persisted here: the fit caches its own training blocks (label,
+    weight, vector) for its iterations, which is all that is reused; split
+    sizes and the class check are one column-pruned pass, and the evaluation
+    reads the test split once.  Caching the whole prepared frame as well would
+    double the cached volume at scale for no saved pass.
     """
-    prepared = prepared.persist()
-    try:
-        if split == "hash":
-            train, test = hash_split(prepared)
-            counts = class_counts(prepared, split_label(), label)
-        else:
-            train, test = random_split(prepared)
-            counts = {"train": class_counts(train, label=label)["all"],
-                      "test": class_counts(test, label=label).get("all", (0, 0, 0))}
-        check_two_classes(counts.get("train", (0, 0, 0)))
-        model = fit(train, label, max_iter, checked=True)
-        auc = evaluate_auc(model, test, label, num_bins)
-        return TrainResult(model, auc, counts.get("train", (0,))[0], counts.get("test", (0,))[0])
-    finally:
-        prepared.unpersist()
+    if split == "hash":
+        train, test = hash_split(prepared)
+        counts = class_counts(prepared.select("account_id", label), split_label(), label)
+    else:
+        train, test = random_split(prepared)
+        counts = {"train": class_counts(train, label=label)["all"],
+                  "test": class_counts(test, label=label).get("all", (0, 0, 0))}
+    check_two_classes(counts.get("train", (0, 0, 0)))
+    model = fit(train, label, max_iter, checked=True)
+    auc = evaluate_auc(model, test, label, num_bins)
+    return TrainResult(model, auc, counts.get("train", (0,))[0], counts.get("test", (0,))[0])
 
 
 def model_coefficients(spark, model: LogisticRegressionModel, cols=R.FEATURE_COLS) -> DataFrame:
