@@ -61,3 +61,8 @@ def test_staged_feature_join_needs_no_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_owner_filter_reaches_the_scan(spark):
+    plan = _physical(C.runs_visible(spark, SF001))
+    assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey," in plan
