@@ -7,7 +7,6 @@ default is only set when the session has none, as in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -89,6 +88,3 @@ def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for tools that want a plain path."""
     return path[len("file:"):] if path.startswith("file:") else path
 
-
-def env_default(name: str, default: str) -> str:
-    return os.environ.get(name, default)
