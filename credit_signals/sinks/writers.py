@@ -15,13 +15,17 @@ FEATURE_PARTITION = "high_risk_flag"
 SCORED_PARTITION = "scored_date"
 
 
-def write_features(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_features(df: DataFrame, path: str, mode: str = "overwrite", compact: bool = False) -> None:
     """Parquet, Hive layout on the flag, so readers of one flag prune the rest.
 
-    No extra shuffle before the write: each task writes at most one file per
-    flag value, so file count is bounded by 2 x tasks.
+    By default no extra shuffle before the write: each task writes at most one
+    file per flag value, so the file count is bounded by 2 x tasks.  With
+    ``compact`` the rows are first rebalanced on the flag; adaptive execution
+    cuts each flag's rows into advisory-size partitions, so files come out
+    near that size (one full shuffle, for consumers that want fewer files).
     """
-    df.write.mode(mode).partitionBy(FEATURE_PARTITION).parquet(path)
+    out = df.hint("rebalance", FEATURE_PARTITION) if compact else df
+    out.write.mode(mode).partitionBy(FEATURE_PARTITION).parquet(path)
 
 
 def write_scored(scored: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None,

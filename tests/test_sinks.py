@@ -90,3 +90,13 @@ def test_sizing_conf_bounds():
     assert int(big["spark.sql.shuffle.partitions"]) == 100_000
     small = sizing_conf(1 << 20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_compact_write_rebalances_by_flag(spark):
+    f = _features(spark)
+    path = scratch_path(spark, "t-compact")
+    W.write_features(f, path, compact=True)
+    back = RD.read_features(spark, path)
+    assert back.exceptAll(f.select(*back.columns)).count() == 0 and back.count() == 150
+    files = [n for n in os.listdir(local_path(path) + "/high_risk_flag=1") if n.endswith(".parquet")]
+    assert 1 <= len(files) <= 2
