@@ -47,3 +47,10 @@ def test_random_split_covers_all_rows(spark):
     prepared = M.prepare_features(FT.engineer_features(fx.accounts(spark, SF001), fx.bureau(spark, SF001)))
     train, test = M.random_split(prepared)
     assert train.count() + test.count() == 150
+
+
+def test_grid_auc_option_is_close_to_evaluator(spark):
+    prepared = M.prepare_features(FT.engineer_features(fx.accounts(spark, SF001), fx.bureau(spark, SF001)))
+    a = M.train_model(prepared).auc
+    b = M.train_model(prepared, auc="grid").auc
+    assert abs(a - b) < 5e-3
