@@ -416,8 +416,17 @@ def flagship_scored(spark, sf):
 
 # Fitted-model queries: Spark ML only, checked by rows and by tolerance tests.
 
+_FITTED: dict[tuple[str, str], M.TrainResult] = {}
+
+
 def _fitted(spark, sf) -> M.TrainResult:
-    return M.train_model(M.prepare_features(_features(spark, sf)))
+    """One fit per application and staged input, shared by the model queries
+    (as one fit serves evaluation and scoring in the scoring job).  Staged
+    inputs never change under their key, so neither does the fit."""
+    key = (spark.sparkContext.applicationId, fx.stage_inputs(spark, sf)["accounts_table"])
+    if key not in _FITTED:
+        _FITTED[key] = M.train_model(M.prepare_features(_features(spark, sf)))
+    return _FITTED[key]
 
 
 @register("model_coefficients")
@@ -436,15 +445,14 @@ def model_auc(spark, sf):
 @register("scored_accounts")
 def scored_accounts(spark, sf):
     prepared = M.prepare_features(_features(spark, sf))
-    model = M.train_model(prepared).model
-    return M.scored_projection(M.score_accounts(model, prepared, run_ts=RUN_TS))
+    return M.scored_projection(M.score_accounts(_fitted(spark, sf).model, prepared, run_ts=RUN_TS))
 
 
 @register("positive_probability")
 def positive_probability(spark, sf):
     prepared = M.prepare_features(_features(spark, sf))
-    model = M.train_model(prepared).model
-    return M.score_accounts(model, prepared, run_ts=RUN_TS).select("account_id", "risk_score", "prediction")
+    return (M.score_accounts(_fitted(spark, sf).model, prepared, run_ts=RUN_TS)
+            .select("account_id", "risk_score", "prediction"))
 
 
 @register("random_split_counts")
