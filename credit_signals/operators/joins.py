@@ -104,12 +104,22 @@ def left_join(left: DataFrame, right: DataFrame, key: str, *, skew_guard: bool =
 
 def _chunks(df: DataFrame, key: str, slices: str, slice_rows: int) -> DataFrame:
     """Collapse exact copies to (row, _n), cut into chunks of <= slice_rows,
-    and pick each chunk's slice from a content hash."""
+    and pick each chunk's slice from a content hash.
+
+    Rows are grouped as one struct, not column by column: a grouping that
+    contained the bare key would be satisfied by a bucketed input's key
+    partitioning, so all rows of a hot key would be aggregated in the one task
+    that scans their bucket.  Grouping by the struct forces a partial
+    aggregation followed by an exchange on the whole row, and lets the hot
+    branch's scan fall back to splittable (non-bucketed) reads.
+    """
     cols = [c for c in df.columns if c != slices]
     if any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):   # maps cannot be grouped
         grouped = df.withColumn("_n", F.lit(1).cast("long"))
     else:
-        grouped = df.groupBy(*cols, slices).agg(F.count(F.lit(1)).alias("_n"))
+        grouped = (df.groupBy(F.struct(*cols).alias("_row"), F.col(slices))
+                   .agg(F.count(F.lit(1)).alias("_n"))
+                   .select("_row.*", slices, "_n"))
     chunked = grouped.withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / slice_rows).cast("long") - 1)))
     return chunked.select(
@@ -119,35 +129,40 @@ def _chunks(df: DataFrame, key: str, slices: str, slice_rows: int) -> DataFrame:
 
 
 def _spread(n: str) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    return _spread_of(F.col(n))
+
+
+def _spread_of(n: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), n - 1))
 
 
 def split_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple[object, int, int]],
                     slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
     """The plain left join; rows of ``hot`` keys ((key, left slices, right
     slices)) go through a salted grid join, all other rows through the plain
-    join.  Keys never cross branches, so the union is exact."""
-    spark = left.sparkSession
-    key_type = right.schema[key].dataType
-    grid = spark.createDataFrame(hot, T.StructType([
-        T.StructField("_hk", key_type), T.StructField("_ls", T.IntegerType()),
-        T.StructField("_rs", T.IntegerType())]))
-    hot_b = F.broadcast(grid)                       # <= 2 x max_hot_keys rows
+    join.  Keys never cross branches, so the union is exact.
+
+    The hot list (<= 2 x max_hot_keys entries) is used as literals: an IN
+    filter (pushed to the Parquet scan) splits the branches and a literal map
+    gives each key's slice counts.  Both are plain Filter/Project nodes, so the
+    cold branch keeps a bucketed, exchange-free join while the hot branch's
+    scans fall back to splittable reads.
+    """
+    keys = [k for k, _, _ in hot]
+    ls_of = F.create_map(*[x for k, ls, _ in hot for x in (F.lit(k), F.lit(ls))])
+    rs_of = F.create_map(*[x for k, _, rs in hot for x in (F.lit(k), F.lit(rs))])
+    is_hot = F.col(key).isin(keys)
     left_cols = [c for c in left.columns if c != key]
     right_cols = [c for c in right.columns if c != key]
 
-    # cold keys: anti-joins against the broadcast list keep each side's partitioning
-    cold = left.join(hot_b, F.col(key) == F.col("_hk"), "left_anti").join(
-        right.join(hot_b, F.col(key) == F.col("_hk"), "left_anti"), key, "left")
+    cold_filter = F.col(key).isNull() | ~is_hot
+    cold = left.where(cold_filter).join(right.where(cold_filter), key, "left")
 
-    hl = left.join(hot_b, F.col(key) == F.col("_hk"), "inner").select(*left.columns, "_ls", "_rs")
-    hr = right.join(hot_b, F.col(key) == F.col("_hk"), "inner").select(*right.columns, "_ls", "_rs")
-    lq = (_chunks(hl.drop("_rs"), key, "_ls", slice_rows)
-          .join(F.broadcast(grid.select(F.col("_hk").alias(key), "_rs")), key)
+    lq = (_chunks(left.where(is_hot).withColumn("_ls", ls_of[F.col(key)]), key, "_ls", slice_rows)
+          .withColumn("_rs", rs_of[F.col(key)])
           .withColumn("_rj", _spread("_rs")))
-    rq = (_chunks(hr.drop("_ls"), key, "_rs", slice_rows)
-          .join(F.broadcast(grid.select(F.col("_hk").alias(key), "_ls")), key)
-          .withColumn("_lj", _spread("_ls"))
+    rq = (_chunks(right.where(is_hot).withColumn("_rs", rs_of[F.col(key)]), key, "_rs", slice_rows)
+          .withColumn("_lj", _spread_of(ls_of[F.col(key)]))
           .select(F.col(key).alias("_rk"), *right_cols, "_rs_at", "_rs_copies", "_lj",
                   F.lit(True).alias("_matched")))
     joined = lq.join(rq, (F.col(key) == F.col("_rk")) & (F.col("_ls_at") == F.col("_lj"))

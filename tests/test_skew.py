@@ -110,11 +110,15 @@ def test_explicit_grid_with_left_only_and_unmatched_hot_keys(spark):
 
 
 def test_cold_branch_keeps_bucketed_join(spark, no_broadcast):
+    import re
+
     from conftest import SF001
     from credit_signals.sources import fixtures as fx
     a, b = fx.accounts(spark, SF001), fx.bureau(spark, SF001)
     got = split_left_join(a, b, "account_id", [("A000000001", 2, 2)], slice_rows=1)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    cold = plan[plan.index("Union"):]
     assert _same(got, a.join(b, "account_id", "left"))
-    assert "BroadcastHashJoin" in cold and "LeftAnti" in cold
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    cold, hot = plan.split("Union", 1)[1].split("+- Project", 1)
+    assert "SortMergeJoin" in cold and "Exchange" not in cold          # co-bucketed, no shuffle
+    assert re.findall(r"Bucketed: (\w+)", cold) == ["true", "true"]
+    assert re.findall(r"Bucketed: (\w+)", hot) == ["false", "false"]  # hot rows read in file splits
