@@ -93,7 +93,9 @@ def left_join(left: DataFrame, right: DataFrame, key: str, *, skew_guard: bool =
     if not skew_guard or broadcast_planned(right):
         return left.join(right, key, "left")
     grid: dict[object, list[int]] = {}
-    for k, n in hot_keys(left, key, slice_rows, max_hot_keys, sample_fraction):
+    # a streaming left side cannot be sampled; its keys stay in one slice
+    left_hot = [] if left.isStreaming else hot_keys(left, key, slice_rows, max_hot_keys, sample_fraction)
+    for k, n in left_hot:
         grid.setdefault(k, [1, 1])[0] = n
     for k, n in hot_keys(right, key, slice_rows, max_hot_keys, sample_fraction):
         grid.setdefault(k, [1, 1])[1] = n
@@ -158,9 +160,14 @@ def split_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple
     cold_filter = F.col(key).isNull() | ~is_hot
     cold = left.where(cold_filter).join(right.where(cold_filter), key, "left")
 
-    lq = (_chunks(left.where(is_hot).withColumn("_ls", ls_of[F.col(key)]), key, "_ls", slice_rows)
-          .withColumn("_rs", rs_of[F.col(key)])
-          .withColumn("_rj", _spread("_rs")))
+    if all(ls == 1 for _, ls, _ in hot):
+        # no left key is split: each left row is its own chunk (no aggregation,
+        # so this also works when the left side is a stream)
+        lq = left.where(is_hot).select(*left.columns, F.lit(1).alias("_ls"), F.lit(0).alias("_ls_at"),
+                                       F.lit(1).cast("long").alias("_ls_copies"))
+    else:
+        lq = _chunks(left.where(is_hot).withColumn("_ls", ls_of[F.col(key)]), key, "_ls", slice_rows)
+    lq = lq.withColumn("_rs", rs_of[F.col(key)]).withColumn("_rj", _spread("_rs"))
     rq = (_chunks(right.where(is_hot).withColumn("_rs", rs_of[F.col(key)]), key, "_rs", slice_rows)
           .withColumn("_lj", _spread_of(ls_of[F.col(key)]))
           .select(F.col(key).alias("_rk"), *right_cols, "_rs_at", "_rs_copies", "_lj",
