@@ -102,3 +102,9 @@ def test_conform_raises_on_missing_column(spark):
     from credit_signals import schemas
     with pytest.raises(schemas.SchemaMismatch):
         schemas.conform(spark.createDataFrame([("a",)], "account_id string"), schemas.SCORED)
+
+
+def test_scalar_fill_raises_on_unknown_column(spark):
+    df = spark.createDataFrame([(None,)], "a int")
+    with pytest.raises(Exception):
+        M.fill_feature_nulls(df, cols=("a", "no_such_column")).collect()
