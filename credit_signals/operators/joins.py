@@ -149,10 +149,19 @@ def split_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple
     gives each key's slice counts.  Both are plain Filter/Project nodes, so the
     cold branch keeps a bucketed, exchange-free join while the hot branch's
     scans fall back to splittable reads.
+
+    Precondition (met by ``left_join``, which takes right slices from a sample
+    of the right table): a key with more than one right slice occurs in the
+    right table, so its left rows have matches in some slice.
     """
-    keys = [k for k, _, _ in hot]
-    ls_of = F.create_map(*[x for k, ls, _ in hot for x in (F.lit(k), F.lit(ls))])
-    rs_of = F.create_map(*[x for k, _, rs in hot for x in (F.lit(k), F.lit(rs))])
+    key_type = left.schema[key].dataType
+
+    def lit(k) -> Column:
+        return F.lit(k).cast(key_type)
+
+    keys = [lit(k) for k, _, _ in hot]
+    ls_of = F.create_map(*[x for k, ls, _ in hot for x in (lit(k), F.lit(ls))])
+    rs_of = F.create_map(*[x for k, _, rs in hot for x in (lit(k), F.lit(rs))])
     is_hot = F.col(key).isin(keys)
     left_cols = [c for c in left.columns if c != key]
     right_cols = [c for c in right.columns if c != key]

@@ -122,3 +122,10 @@ def test_cold_branch_keeps_bucketed_join(spark, no_broadcast):
     assert "SortMergeJoin" in cold and "Exchange" not in cold          # co-bucketed, no shuffle
     assert re.findall(r"Bucketed: (\w+)", cold) == ["true", "true"]
     assert re.findall(r"Bucketed: (\w+)", hot) == ["false", "false"]  # hot rows read in file splits
+
+
+def test_long_keys(spark, no_broadcast):
+    left = spark.createDataFrame([(1, "a")] * 5 + [(2, "b"), (None, "n")], "k long, lv string")
+    right = spark.createDataFrame([(1, "x")] * 6 + [(3, "y")], "k long, rv string")
+    got = left_join(left, right, "k", slice_rows=2, max_hot_keys=10, sample_fraction=1.0)
+    assert _same(got, left.join(right, "k", "left"))
