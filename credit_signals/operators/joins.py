@@ -4,8 +4,9 @@ Semantics are those of ``left.join(right, key, "left")``: every left row is
 kept, duplicate right keys fan out, a NULL key matches nothing, and the output
 is the key, then the left columns, then the right columns.
 
-Hot keys.  Keys are sampled on both sides (a sample of the key column only, no
-shuffle of all keys).  A key is hot on a side when its sampled count is at
+Hot keys.  Keys are sampled on both sides (a sample of the key column only; a
+frequent-items sketch names the candidates, so the distinct keys are never
+shuffled).  A key is hot on a side when its sampled count is at
 least ``1/max_hot_keys`` of that side's sampled rows and its estimated count
 exceeds ``slice_rows``; at most ``max_hot_keys`` keys per side can qualify,
 which bounds the list brought to the driver and broadcast.  Rows of cold keys
@@ -46,18 +47,28 @@ SAMPLE_SEED = 17
 def hot_keys(df: DataFrame, key: str, slice_rows: int = DEFAULT_SLICE_ROWS,
              max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
              sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> list[tuple[object, int]]:
-    """[(key, slices)] for hot keys of ``df``; at most ``max_hot_keys`` entries."""
+    """[(key, slices)] for hot keys of ``df``; at most ``max_hot_keys`` entries.
+
+    Two small jobs over a sample of the key column: a frequent-items sketch
+    (bounded counters per task, merged in one place - no shuffle of the
+    distinct keys) names the candidates, then one grouped count of the
+    candidates (every other row falls in one NULL group) gives their sample
+    counts and the sample total.  The sketch's support is ``1/max_hot_keys``
+    (at least 1e-4, its lower limit).
+    """
     keys = df.select(F.col(key).alias("_hk"))
     sampled = keys if sample_fraction >= 1.0 else keys.sample(fraction=sample_fraction, seed=SAMPLE_SEED)
-    total = sampled.count()
-    if total == 0:
+    support = max(1e-4, 1.0 / max_hot_keys)
+    found = sampled.where(F.col("_hk").isNotNull()).stat.freqItems(["_hk"], support).first()
+    candidates = [c for c in (found[0] if found else []) if c is not None]
+    if not candidates:
         return []
+    tally = (sampled.groupBy(F.when(F.col("_hk").isin(candidates), F.col("_hk")).alias("_c"))
+             .agg(F.count(F.lit(1)).alias("_n")).collect())          # <= len(candidates) + 1 rows
+    total = sum(r["_n"] for r in tally)
     scale = 1.0 / min(sample_fraction, 1.0)
-    counts = (sampled.where(F.col("_hk").isNotNull()).groupBy("_hk")
-              .agg(F.count(F.lit(1)).alias("_n")))
-    hot = counts.where((F.col("_n") * max_hot_keys >= total) & (F.col("_n") * scale > slice_rows))
-    rows = hot.select("_hk", F.ceil(F.col("_n") * scale / slice_rows).cast("int").alias("_slices")).collect()
-    return [(r["_hk"], int(r["_slices"])) for r in rows]
+    return [(r["_c"], -(-int(r["_n"] * scale) // slice_rows)) for r in tally
+            if r["_c"] is not None and r["_n"] * max_hot_keys >= total and r["_n"] * scale > slice_rows]
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
