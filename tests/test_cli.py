@@ -21,3 +21,9 @@ def test_cli_features_scoring_verify(spark, capsys):
     assert jobs.main(["verify", "--features", out]) == 0
     ve = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert ve["low_risk_accounts"] == 72 and len(ve["sample"]) == 5
+
+
+def test_public_api_names():
+    import credit_signals as cs
+    for name in cs.__all__:
+        assert callable(getattr(cs, name)), name
