@@ -19,7 +19,7 @@ from credit_signals.operators import model as M
 from credit_signals.operators import reports as RP
 from credit_signals.operators import runs as RN
 from credit_signals.plans import oracle as O
-from credit_signals.session import scratch_path
+from credit_signals.session import app_id, scratch_path
 from credit_signals.sinks import writers as W
 from credit_signals.sources import fixtures as fx
 from credit_signals.sources import readers as RD
@@ -423,7 +423,7 @@ def _fitted(spark, sf) -> M.TrainResult:
     """One fit per application and staged input, shared by the model queries
     (as one fit serves evaluation and scoring in the scoring job).  Staged
     inputs never change under their key, so neither does the fit."""
-    key = (spark.sparkContext.applicationId, fx.stage_inputs(spark, sf)["accounts_table"])
+    key = (app_id(spark), fx.stage_inputs(spark, sf)["accounts_table"])
     if key not in _FITTED:
         _FITTED[key] = M.train_model(M.prepare_features(_features(spark, sf)))
     return _FITTED[key]

@@ -61,13 +61,32 @@ def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     }
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (keys the per-application caches)."""
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else str(spark.conf.get("spark.app.id", "remote"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for materialised tables.
 
     Reads ``SparkContext.getCheckpointDir()`` or ``spark.checkpoint.dir``; only
-    when both are unset (local runs) a folder is created and registered.
+    when both are unset (local runs) a folder is created and registered.  A
+    remote session must name the folder in ``spark.checkpoint.dir``.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return str(configured)
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from credit_signals import schemas
 from credit_signals.functions.rules import rule_prior_thousandths
-from credit_signals.session import scratch_path
+from credit_signals.session import app_id, scratch_path
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture rule (FIXTURES.md).
@@ -168,7 +168,7 @@ def _write_bucketed(df: DataFrame, path: str, table_name: str, buckets: int) ->
 
 def stage_inputs(spark: SparkSession, sf_dir: str, force: bool = False) -> dict[str, str]:
     """Write profile, accounts and bureau tables; return their paths and table names."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         if not force and key in _STAGED:
             return _STAGED[key]
