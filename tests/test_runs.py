@@ -50,3 +50,13 @@ def test_rejections_have_reasons(spark):
     reasons = {r.reason for r in rejected.select("reason").distinct().collect()}
     assert reasons <= {"invalid status", "invalid job_type", "invalid status; invalid job_type"}
     assert rejected.count() + RN.valid_runs(runs).count() == runs.count() == 1500
+
+
+def test_owner_name_is_null_when_user_is_gone(spark):
+    runs = fx.run_log(spark, SF001)
+    users = (fx.table(spark, SF001, "customer").where(F.col("c_custkey") % 2 == 0)    # odd users deleted
+             .select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("username")))
+    named = RN.with_owner_name(runs, users)
+    assert named.count() == runs.count() and named.columns == runs.columns
+    orphan = runs.where(F.col("submitted_by") % 2 == 1).count()
+    assert named.where(F.col("submitted_by").isNull()).count() == orphan > 0
