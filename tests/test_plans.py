@@ -66,3 +66,12 @@ def test_staged_feature_join_needs_no_exchange(spark):
 def test_owner_filter_reaches_the_scan(spark):
     plan = _physical(C.runs_visible(spark, SF001))
     assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey," in plan
+
+
+def test_scoring_plan_stays_in_whole_stage_codegen(spark):
+    df = C.flagship_scored(spark, SF001)
+    df.collect()
+    final = _physical(df).split("== Initial Plan ==")[0]
+    ops = [line.strip().lstrip(":+- ").strip() for line in final.splitlines()
+           if any(op in line for op in ("Project [", "BroadcastHashJoin", "SortMergeJoin", "Filter "))]
+    assert ops and all(op.startswith("*(") for op in ops), ops
