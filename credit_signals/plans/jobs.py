@@ -116,6 +116,8 @@ def main(argv: list[str] | None = None) -> int:
     fe.add_argument("--accounts", required=True)
     fe.add_argument("--bureau", required=True)
     fe.add_argument("--out", required=True)
+    fe.add_argument("--buckets", type=int, default=None,
+                    help="inputs are staged bucketed files with this bucket count: register them as tables")
     sc = sub.add_parser("scoring", help="scoring job")
     sc.add_argument("--features", required=True)
     sc.add_argument("--target", required=True)
@@ -130,7 +132,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "stage":
         out = fixtures.stage_inputs(spark, args.tables)
     elif args.job == "features":
-        r = run_features(spark, args.accounts, args.bureau, args.out)
+        accounts, bureau = args.accounts, args.bureau
+        if args.buckets:
+            from credit_signals import schemas
+            accounts = RD.register_bucketed(spark, accounts, schemas.ACCOUNTS, args.buckets)
+            bureau = RD.register_bucketed(spark, bureau, schemas.BUREAU, args.buckets)
+        r = run_features(spark, accounts, bureau, args.out)
         out = r.__dict__
     elif args.job == "scoring":
         opts = dict(o.split("=", 1) for o in args.option)

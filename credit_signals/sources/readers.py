@@ -21,6 +21,19 @@ def is_table(spark: SparkSession, name: str) -> bool:
         return False
 
 
+def register_bucketed(spark: SparkSession, path: str, schema: T.StructType, buckets: int,
+                      key: str = "account_id", name: str | None = None) -> str:
+    """Register files written bucketed by ``key`` as an external table again
+    (same bucket spec), e.g. in a later application; reads are then bucketed
+    and a join on ``key`` with an equally bucketed table needs no exchange."""
+    import uuid
+    name = name or f"credit_signals_ext_{uuid.uuid4().hex[:12]}"
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+              f"INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return name
+
+
 def read_accounts(spark: SparkSession, source: str) -> DataFrame:
     """A path, or a catalog table (keeps its bucketing, so joins on the key
     need no exchange); columns conformed to the declared schema."""

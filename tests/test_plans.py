@@ -75,3 +75,22 @@ def test_scoring_plan_stays_in_whole_stage_codegen(spark):
     ops = [line.strip().lstrip(":+- ").strip() for line in final.splitlines()
            if any(op in line for op in ("Project [", "BroadcastHashJoin", "SortMergeJoin", "Filter "))]
     assert ops and all(op.startswith("*(") for op in ops), ops
+
+
+def test_reregistered_bucketed_paths_join_without_exchange(spark):
+    from credit_signals import schemas
+    from credit_signals.operators.features import engineer_features
+    from credit_signals.sources import fixtures as fx
+    from credit_signals.sources import readers as RD
+    paths = fx.stage_inputs(spark, SF001)
+    a = RD.register_bucketed(spark, paths["accounts"], schemas.ACCOUNTS, int(paths["buckets"]))
+    b = RD.register_bucketed(spark, paths["bureau"], schemas.BUREAU, int(paths["buckets"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        f = engineer_features(RD.read_accounts(spark, a), RD.read_bureau(spark, b))
+        plan = _physical(f)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert f.count() == 150
