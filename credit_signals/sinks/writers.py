@@ -29,16 +29,21 @@ def write_features(df: DataFrame, path: str, mode: str = "overwrite", compact: b
 
 
 def write_scored(scored: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None,
-                 mode: str = "overwrite", by_day: bool = True) -> None:
+                 mode: str = "overwrite", by_day: bool = True, replace_days_only: bool = False) -> None:
     """Conform to the warehouse schema and overwrite the target.
 
     ``fmt``/``options`` select any DataFrameWriter format (a warehouse
     connector on a cluster; Parquet by default).  The table is partitioned by
-    the day of ``scored_at``.
+    the day of ``scored_at``.  By default the whole table is replaced, as in
+    the reference; ``replace_days_only`` replaces only the days being written
+    (dynamic partition overwrite), so earlier runs' days stay.
     """
     out = conform_scored(scored)
     writer = out.withColumn(SCORED_PARTITION, F.to_date("scored_at")) if by_day else out
-    w = writer.write.format(fmt).options(**(options or {})).mode(mode)
+    opts = dict(options or {})
+    if replace_days_only:
+        opts["partitionOverwriteMode"] = "dynamic"
+    w = writer.write.format(fmt).options(**opts).mode(mode)
     if by_day:
         w = w.partitionBy(SCORED_PARTITION)
     w.save(target)

@@ -100,3 +100,16 @@ def test_compact_write_rebalances_by_flag(spark):
     assert back.exceptAll(f.select(*back.columns)).count() == 0 and back.count() == 150
     files = [n for n in os.listdir(local_path(path) + "/high_risk_flag=1") if n.endswith(".parquet")]
     assert 1 <= len(files) <= 2
+
+
+def test_scored_days_static_vs_dynamic_overwrite(spark):
+    from credit_signals.operators import model as M
+    f = _features(spark)
+    static, dynamic = scratch_path(spark, "t-days-static"), scratch_path(spark, "t-days-dynamic")
+    for path, only in ((static, False), (dynamic, True)):
+        W.write_scored(M.score_with_weights(f, run_ts="2001-11-05 12:00:00"), path, replace_days_only=only)
+        W.write_scored(M.score_with_weights(f, run_ts="2001-11-06 12:00:00"), path, replace_days_only=only)
+    days = lambda p: sorted(d for d in _listing(p) if d.startswith("scored_date="))
+    assert days(static) == ["scored_date=2001-11-06"]
+    assert days(dynamic) == ["scored_date=2001-11-05", "scored_date=2001-11-06"]
+    assert W.read_scored(spark, dynamic).count() == 300
