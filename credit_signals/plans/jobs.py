@@ -33,12 +33,12 @@ class FeatureJobResult:
 
 
 def run_features(spark: SparkSession, accounts_path: str, bureau_path: str, out_path: str,
-                 rules: R.RiskRules = R.DEFAULT_RULES, **join_opts) -> FeatureJobResult:
+                 rules: R.RiskRules = R.DEFAULT_RULES, compact: bool = False, **join_opts) -> FeatureJobResult:
     """Read both inputs (paths or bucketed catalog tables), derive the feature
     table, write it partitioned by flag."""
     accounts = RD.read_accounts(spark, accounts_path)
     bureau = RD.read_bureau(spark, bureau_path)
-    W.write_features(FT.engineer_features(accounts, bureau, rules, **join_opts), out_path)
+    W.write_features(FT.engineer_features(accounts, bureau, rules, **join_opts), out_path, compact=compact)
     per_flag = {r["high_risk_flag"]: r["n"] for r in
                 RD.read_features(spark, out_path).groupBy("high_risk_flag")
                 .agg(F.count(F.lit(1)).alias("n")).collect()}          # <= 2 rows
@@ -59,7 +59,8 @@ class ScoringJobResult:
 
 def run_scoring(spark: SparkSession, features_path: str, target: str, fmt: str = "parquet",
                 options: dict | None = None, run_ts: str | _dt.datetime | None = None,
-                split: str = "hash", max_iter: int = M.MAX_ITER, auc: str = "evaluator") -> ScoringJobResult:
+                split: str = "hash", max_iter: int = M.MAX_ITER, auc: str = "evaluator",
+                replace_days_only: bool = False) -> ScoringJobResult:
     """Fit on the train split, report AUC on the test split, score every
     account, band it, and overwrite the warehouse table.
 
@@ -72,7 +73,7 @@ def run_scoring(spark: SparkSession, features_path: str, target: str, fmt: str =
     features = M.fill_feature_nulls(RD.read_features(spark, features_path))
     scored = M.score_with_weights(features.withColumn(R.LABEL_COL, F.col(R.LABEL_COL).cast("double")),
                                   M.LinearScore.from_model(trained.model), run_ts=run_ts)
-    W.write_scored(scored, target, fmt=fmt, options=options)
+    W.write_scored(scored, target, fmt=fmt, options=options, replace_days_only=replace_days_only)
     written = W.read_scored(spark, target).count() if fmt == "parquet" else -1
     return ScoringJobResult(trained.model, trained.auc, trained.train_rows, trained.test_rows,
                             written, target)
@@ -116,6 +117,7 @@ def main(argv: list[str] | None = None) -> int:
     fe.add_argument("--accounts", required=True)
     fe.add_argument("--bureau", required=True)
     fe.add_argument("--out", required=True)
+    fe.add_argument("--compact", action="store_true", help="rebalance on the flag before writing")
     fe.add_argument("--buckets", type=int, default=None,
                     help="inputs are staged bucketed files with this bucket count: register them as tables")
     sc = sub.add_parser("scoring", help="scoring job")
@@ -124,6 +126,8 @@ def main(argv: list[str] | None = None) -> int:
     sc.add_argument("--format", default="parquet")
     sc.add_argument("--option", action="append", default=[], help="key=value writer option")
     sc.add_argument("--run-ts", default=None)
+    sc.add_argument("--replace-days-only", action="store_true", help="dynamic overwrite of the written days")
+    sc.add_argument("--auc", choices=("evaluator", "grid"), default="evaluator")
     ve = sub.add_parser("verify", help="verification report of a feature table")
     ve.add_argument("--features", required=True)
     args = ap.parse_args(argv)
@@ -137,11 +141,12 @@ def main(argv: list[str] | None = None) -> int:
             from credit_signals import schemas
             accounts = RD.register_bucketed(spark, accounts, schemas.ACCOUNTS, args.buckets)
             bureau = RD.register_bucketed(spark, bureau, schemas.BUREAU, args.buckets)
-        r = run_features(spark, accounts, bureau, args.out)
+        r = run_features(spark, accounts, bureau, args.out, compact=args.compact)
         out = r.__dict__
     elif args.job == "scoring":
         opts = dict(o.split("=", 1) for o in args.option)
-        r = run_scoring(spark, args.features, args.target, fmt=args.format, options=opts, run_ts=args.run_ts)
+        r = run_scoring(spark, args.features, args.target, fmt=args.format, options=opts, run_ts=args.run_ts,
+                        auc=args.auc, replace_days_only=args.replace_days_only)
         out = {k: v for k, v in r.__dict__.items() if k != "model"}
     else:
         out = run_verification(spark, args.features).__dict__

@@ -15,7 +15,8 @@ def test_cli_features_scoring_verify(spark, capsys):
                       "--out", out]) == 0
     fe = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert (fe["total_accounts"], fe["high_risk_accounts"]) == (150, 78)
-    assert jobs.main(["scoring", "--features", out, "--target", target, "--run-ts", "2001-11-05 12:00:00"]) == 0
+    assert jobs.main(["scoring", "--features", out, "--target", target, "--run-ts", "2001-11-05 12:00:00",
+                      "--replace-days-only", "--auc", "grid"]) == 0
     sc = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert sc["written_rows"] == 150 and sc["train_rows"] == 117
     assert jobs.main(["verify", "--features", out]) == 0
