@@ -34,24 +34,33 @@ def register_bucketed(spark: SparkSession, path: str, schema: T.StructType, buck
     return name
 
 
+def _read(spark: SparkSession, source: str, schema: T.StructType) -> DataFrame:
+    """A path or a catalog table, conformed to ``schema``.
+
+    Files are read with their own footer schema and then cast: integer
+    columns written as 64-bit (pandas' default) cannot be read through a
+    declared 32-bit schema, but cast fine (ANSI: an out-of-range value
+    raises).  A missing column raises.  When the types already match, the
+    frame is returned as read (no extra projection).
+    """
+    df = spark.table(source) if is_table(spark, source) else spark.read.parquet(source)
+    return schemas.conform(df, schema)
+
+
 def read_accounts(spark: SparkSession, source: str) -> DataFrame:
     """A path, or a catalog table (keeps its bucketing, so joins on the key
     need no exchange); columns conformed to the declared schema."""
-    if is_table(spark, source):
-        return schemas.conform(spark.table(source), schemas.ACCOUNTS)
-    return spark.read.schema(schemas.ACCOUNTS).parquet(source)
+    return _read(spark, source, schemas.ACCOUNTS)
 
 
 def read_bureau(spark: SparkSession, source: str) -> DataFrame:
-    if is_table(spark, source):
-        return schemas.conform(spark.table(source), schemas.BUREAU)
-    return spark.read.schema(schemas.BUREAU).parquet(source)
+    return _read(spark, source, schemas.BUREAU)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """Hive-partitioned feature table; ``high_risk_flag`` comes from the folder
-    names and stays last, so a filter on it prunes whole folders."""
-    return spark.read.schema(schemas.FEATURES).parquet(path)
+    names (typed int) and stays last, so a filter on it prunes whole folders."""
+    return _read(spark, path, schemas.FEATURES)
 
 
 def load_counts(frames: dict[str, DataFrame]) -> DataFrame:

@@ -113,3 +113,19 @@ def test_scored_days_static_vs_dynamic_overwrite(spark):
     assert days(static) == ["scored_date=2001-11-06"]
     assert days(dynamic) == ["scored_date=2001-11-05", "scored_date=2001-11-06"]
     assert W.read_scored(spark, dynamic).count() == 300
+
+
+def test_reads_64_bit_integer_files_like_a_pandas_writer(spark):
+    from pyspark.sql import types as T
+    a = fx.accounts(spark, SF001)
+    wide = a.select(*[F.col(f.name).cast("long") if isinstance(f.dataType, T.IntegerType) else F.col(f.name)
+                      for f in a.schema.fields])
+    path = scratch_path(spark, "t-int64")
+    wide.write.parquet(path)
+    back = RD.read_accounts(spark, path)
+    assert back.schema == schemas.ACCOUNTS and back.exceptAll(a).count() == 0
+    missing = scratch_path(spark, "t-missing")
+    a.drop("age").write.parquet(missing)
+    import pytest
+    with pytest.raises(schemas.SchemaMismatch):
+        RD.read_accounts(spark, missing)
