@@ -100,8 +100,17 @@ def run_verification(spark: SparkSession, features_path: str, sample_rows: int =
                               r["low_risk_accounts"], r["low_risk_pct"], sample)
 
 
+def run_smoke(spark: SparkSession, accounts: str, rows: int = 5) -> dict:
+    """Read an accounts table: its row count, its columns and its first rows by key."""
+    df = RD.read_accounts(spark, accounts)
+    count = RD.load_counts({"accounts": df}).first()["row_count"]
+    columns = [tuple(r) for r in RD.schema_profile(df).collect()]             # one row per column
+    first = [r.asDict() for r in RD.preview(df, rows).collect()]               # <= rows
+    return {"row_count": count, "columns": columns, "first_rows": first}
+
+
 def main(argv: list[str] | None = None) -> int:
-    """``python -m credit_signals.plans.jobs <stage|features|scoring|verify> ...``"""
+    """``python -m credit_signals.plans.jobs <stage|features|scoring|verify|smoke> ...``"""
     import argparse
     import json
 
@@ -130,6 +139,9 @@ def main(argv: list[str] | None = None) -> int:
     sc.add_argument("--auc", choices=("evaluator", "grid"), default="evaluator")
     ve = sub.add_parser("verify", help="verification report of a feature table")
     ve.add_argument("--features", required=True)
+    sm = sub.add_parser("smoke", help="row count, column list and first rows of an accounts table")
+    sm.add_argument("--accounts", required=True)
+    sm.add_argument("--rows", type=int, default=5)
     args = ap.parse_args(argv)
 
     spark = session(f"credit-signals-{args.job}", master=args.master)
@@ -148,8 +160,10 @@ def main(argv: list[str] | None = None) -> int:
         r = run_scoring(spark, args.features, args.target, fmt=args.format, options=opts, run_ts=args.run_ts,
                         auc=args.auc, replace_days_only=args.replace_days_only)
         out = {k: v for k, v in r.__dict__.items() if k != "model"}
-    else:
+    elif args.job == "verify":
         out = run_verification(spark, args.features).__dict__
+    else:
+        out = run_smoke(spark, args.accounts, args.rows)
     print(json.dumps(out, default=str))
     return 0
 

@@ -28,3 +28,11 @@ def test_public_api_names():
     import credit_signals as cs
     for name in cs.__all__:
         assert callable(getattr(cs, name)), name
+
+
+def test_cli_smoke(spark, capsys):
+    paths = fx.stage_inputs(spark, SF001)
+    assert jobs.main(["smoke", "--accounts", paths["accounts"], "--rows", "3"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["row_count"] == 150 and len(out["columns"]) == 15 and len(out["first_rows"]) == 3
+    assert [r["account_id"] for r in out["first_rows"]] == ["A000000000", "A000000001", "A000000002"]
