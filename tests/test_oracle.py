@@ -31,3 +31,20 @@ def test_entry_is_flagship(spark):
     df = E.entry(spark)
     assert df.columns[:3] == ["account_id", "score", "risk_band"]
     assert df.count() == 150
+
+
+AT_DRIVER_SCALE = ("feature_summary", "join_fanout", "join_null_keys", "high_risk_flag_nulls", "auc_pinned",
+                   "risk_band_counts", "rule_calibration", "runs_page", "runs_owner_name", "verification_report")
+
+
+@pytest.fixture(scope="module")
+def duck01():
+    from compare import duck
+    from conftest import SF01
+    return duck(SF01)
+
+
+@pytest.mark.parametrize("name", AT_DRIVER_SCALE)
+def test_query_matches_oracle_at_driver_scale(spark, duck01, name):
+    from conftest import SF01
+    assert compare(ALL[name](spark, SF01), duck01, SQL[name]) is None
