@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, quality_rules, sentencepiece_codec, simhash, url_filter
+from . import chat, exact_dedup, html_extract, pii, quality_rules, sentencepiece_codec, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,14 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(_table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -51,7 +59,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         .drop("n_tokens", "loss_tokens")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_simhash, op6_sentencepiece, op9_url_filters,
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_simhash, op6_sentencepiece, op7_html_extraction,
+                                   op8_pii, op9_url_filters,
                                    op10_chat_formatting)}
 
 OP1_SQL = r"""
