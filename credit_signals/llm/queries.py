@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_extract, pii, quality_rules, sentencepiece_codec, simhash, url_filter
+from . import (chat, classifier, exact_dedup, html_extract, mixing, pii, quality_rules, sentencepiece_codec, simhash,
+               url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    machine = classifier.train(docs, _table(spark, sf_dir, "labels"))
+    return classifier.score(docs, machine)
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -59,8 +70,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         .drop("n_tokens", "loss_tokens")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_simhash, op6_sentencepiece, op7_html_extraction,
-                                   op8_pii, op9_url_filters,
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_simhash, op4_source_mixing, op5_quality_classifier,
+                                   op6_sentencepiece, op7_html_extraction, op8_pii, op9_url_filters,
                                    op10_chat_formatting)}
 
 OP1_SQL = r"""
