@@ -13,7 +13,7 @@ round below the shared folder.
 """
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,14 +69,14 @@ def given(cells: DataFrame, dimension: str, shares: dict[str, float]) -> DataFra
         .select("level", F.when(F.col("all") > 0, F.col("share") / F.col("all")).otherwise(0.0).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: int = 12,
-         tolerance: float = 1e-3) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: int = 8,
+         tolerance: float = 0.005) -> DataFrame:
     """``cells`` with ``weight`` (their sum is all tokens) and ``probability`` = keep * weight / tokens, at most one.
 
     ``cells`` has a column per dimension and ``tokens``; ``targets`` has (level,
-    share) per dimension.  Stops when every marginal is within ``tolerance`` of
-    its target, or after ``rounds``; with caps that the targets cannot be met
-    under, the last round is the answer.
+    share) per dimension.  Stops when a round changes no weight by more than
+    ``tolerance`` of itself, or after ``rounds``; where the caps do not allow the
+    targets, the last round is the answer.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     most = F.col("tokens") / F.lit(keep)
@@ -84,16 +84,19 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: i
     targets = {d: materialise(t.withColumn("want", F.col("share") * F.lit(float(total))).select("level", "want"), "targets")
                for d, t in targets.items()}
     for _ in range(rounds if total else 0):
-        for d, target in targets.items():
+        at = at.withColumn("before", F.col("weight"))
+        for last, (d, target) in enumerate(targets.items(), 1 - len(targets)):
             factor = at.groupBy(F.col(d).alias("level")).agg(F.sum("weight").alias("has")).join(target, "level") \
                 .select(F.col("level").alias(d), F.when(F.col("has") > 0, F.col("want") / F.col("has")).otherwise(0.0).alias("factor"))
-            at = materialise(at.join(factor, d, "left").withColumn(
-                "weight", F.least(F.col("weight") * F.coalesce("factor", F.lit(0.0)), most)).drop("factor"), "cells")
-        gaps = [at.groupBy(F.col(d).alias("level")).agg(F.sum("weight").alias("has")).join(t, "level")
-                .select(F.abs(F.col("has") - F.col("want")).alias("gap"), "want") for d, t in targets.items()]
-        gap = gaps[0].union(gaps[1]).union(gaps[2]) if len(gaps) == 3 else gaps[0]
-        worst = gap.where("want > 0").agg(F.max(F.col("gap") / F.col("want"))).first()[0]
-        if worst is None or worst <= tolerance:
+            at = at.join(factor, d, "left").withColumn(
+                "weight", F.least(F.col("weight") * F.coalesce("factor", F.lit(0.0)), most)).drop("factor")
+            if not last:                         # measured while the round's last step is written
+                change = Observation()
+                at = at.observe(change, F.max(F.when(F.col("before") > 0, F.abs(F.col("weight") / F.col("before") - 1)))
+                                .alias("most"))
+            at = materialise(at, "cells")
+        at = at.drop("before")
+        if (change.get["most"] or 0.0) <= tolerance:
             break
     return at.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") / most))
                          .otherwise(F.lit(keep)))
@@ -125,7 +128,7 @@ def fitted_cells(measured: DataFrame, targets: dict[str, dict[str, float]] | Non
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None,
         targets: dict[str, dict[str, float]] | None = None, alpha: float = 0.8, keep: float = 0.75,
-        rounds: int = 12, seed: int = 42) -> DataFrame:
+        rounds: int = 8, seed: int = 42) -> DataFrame:
     """One row per input row: id, source, lang, topic, n_tokens, probability, selected.
 
     ``keep`` is the share of all tokens to draw; dimensions without given
@@ -146,7 +149,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic_c
 
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None,
            targets: dict[str, dict[str, float]] | None = None, alpha: float = 0.8, keep: float = 0.75,
-           rounds: int = 12, seed: int = 42) -> DataFrame:
+           rounds: int = 8, seed: int = 42) -> DataFrame:
     """The drawn rows of ``docs`` in their own columns."""
     shaped, m = _measured(docs, text_col, topic_col)
     cells = materialise(fitted_cells(shaped.select(f"{m}.*"), targets, alpha, keep, rounds)
