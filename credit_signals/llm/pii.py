@@ -223,18 +223,22 @@ def normalise(text: str) -> Mapped | None:
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """(plain spans, spans that only show in the normalised text), each by start and kind.
 
-    A span is added only if its source differs from the identifier read there
-    and no plain span of its kind overlaps it.
+    A span is added only if its source differs from the identifier read there.
+    Where a plain span of its kind overlaps, it must reach further, and not by a
+    mere typographic dash or space.
     """
     base = detect(text)
     mapped = normalise(text)
-    added = []
+    added = set()
     for a, kind, z in detect(mapped.text) if mapped else ():
         start, end = mapped.start[a], mapped.end[z - 1]
-        if text[start:end] != mapped.text[a:z] \
-                and not any(k == kind and s < end and start < e for s, k, e in base):
-            added.append((start, kind, end))
-    return base, sorted(set(added))
+        source = text[start:end]
+        met = [(s, e) for s, k, e in base if k == kind and s < end and start < e]
+        if source != mapped.text[a:z] and not (met and (
+                any(s <= start and end <= e for s, e in met)
+                or any(unicodedata.category(c) in ("Pd", "Zs") and not c.isascii() for c in source))):
+            added.add((start, kind, end))
+    return base, sorted(added)
 
 
 def _joined(spans: list[Span]) -> str:
