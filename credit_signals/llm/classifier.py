@@ -86,9 +86,12 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 
 
-def fit(buckets: list[np.ndarray], values: list[np.ndarray], dense: np.ndarray, labels: np.ndarray, epochs: int = 10,
+def fit(buckets: list[np.ndarray], values: list[np.ndarray], dense: np.ndarray, labels: np.ndarray, steps: int = 200,
         batch: int = 250, rate: float = 0.02, decay: float = 1e-4, seed: int = 42) -> Machine:
-    """A machine fitted by Adam on log loss; without labels of both kinds it answers their share (1/2 if none)."""
+    """A machine fitted by about ``steps`` steps of Adam on log loss.
+
+    Without labels of both kinds it answers their share (1/2 if there are none).
+    """
     rng = np.random.default_rng(seed)
     wide = dense.shape[1]
     size = BUCKETS + wide
@@ -102,7 +105,7 @@ def fit(buckets: list[np.ndarray], values: list[np.ndarray], dense: np.ndarray,
         return m
     table = np.concatenate([m.linear[:, None], m.factors], axis=1)       # one row per feature: w_i, v_i
     first, second, step = np.zeros_like(table), np.zeros_like(table), 0
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(labels))
         for at in range(0, len(order), batch):
             part = order[at:at + batch]
