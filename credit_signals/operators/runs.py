@@ -44,6 +44,21 @@ def page(runs: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
     return newest_first(runs).offset(size * (number - 1)).limit(size)
 
 
+def page_after(runs: DataFrame, created_at, job_id, size: int = PAGE_SIZE) -> DataFrame:
+    """The page after the row (created_at, job_id), newest first.
+
+    A cursor keeps every page a top-``size``, however deep; a page number makes
+    one task hold all rows before it.  NULL times come last, by ``job_id``.
+    """
+    c, j = F.col("created_at"), F.col("job_id")
+    if created_at is None:
+        later = c.isNull() & (j < _lit(job_id))
+    else:
+        at = _lit(created_at)
+        later = c.isNull() | (c < at) | ((c == at) & (j < _lit(job_id)))
+    return newest_first(runs.where(later)).limit(size)
+
+
 def project(runs: DataFrame, is_staff: bool) -> DataFrame:
     """9 public columns; staff also get the error message and batch id."""
     return runs.select(*(STAFF_COLUMNS if is_staff else PUBLIC_COLUMNS))
@@ -67,6 +82,7 @@ def rejection_reason() -> Column:
         "; ",
         F.when(~F.col("status").isin(*STATUSES) | F.col("status").isNull(), F.lit("invalid status")),
         F.when(~F.col("job_type").isin(*JOB_TYPES) | F.col("job_type").isNull(), F.lit("invalid job_type")),
+        F.when(F.col("job_name").isNull() | (F.trim("job_name") == ""), F.lit("missing job_name")),
         F.when(F.length("job_name") > MAX_NAME_LENGTH, F.lit("job_name too long")),
     )
     return F.when(reasons != "", reasons)
@@ -86,8 +102,13 @@ def lookup(runs: DataFrame, job_id, user_id, is_staff: bool) -> DataFrame:
     return visible_runs(runs, user_id, is_staff).where(F.col("job_id") == _lit(job_id))
 
 
+def retry(runs: DataFrame, job_id, user_id, is_staff: bool) -> DataFrame:
+    """The reset row of one job the caller may see; no row if it is not FAILED."""
+    return retry_reset(lookup(runs, job_id, user_id, is_staff).where(F.col("status") == "FAILED"))
+
+
 def retry_reset(runs: DataFrame) -> DataFrame:
-    """FAILED jobs back to PENDING with times and error cleared; others unchanged."""
+    """Set form, for operators: FAILED jobs back to PENDING with times and error cleared; others unchanged."""
     failed = F.col("status") == "FAILED"
     def cleared(c: str) -> Column:
         return F.when(failed, F.lit(None)).otherwise(F.col(c))

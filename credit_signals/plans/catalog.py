@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,17 +113,29 @@ def load_counts(spark, sf):
     return RD.load_counts({"accounts": _acc(spark, sf), "bureau": _bur(spark, sf)})
 
 
-def _profile_values() -> str:
-    rows = []
-    for i, f in enumerate(schemas.ACCOUNTS.fields):
-        rows.append(f"({i + 1}, '{f.name}', '{f.dataType.simpleString()}', true)")
-    return ("SELECT CAST(position AS INTEGER) AS position, column_name, data_type, nullable FROM (VALUES "
-            + ", ".join(rows) + ") t(position, column_name, data_type, nullable)")
+_TYPES_SQL = " ".join(f"WHEN '{d}' THEN '{t}'" for d, t in (
+    ("BIGINT", "bigint"), ("INTEGER", "int"), ("DOUBLE", "double"), ("VARCHAR", "string"), ("TIMESTAMP", "timestamp_ntz")))
 
 
-@register("schema_profile", _profile_values())
+@register("schema_profile", "SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name, "
+                            f"CASE column_type {_TYPES_SQL} ELSE column_type END AS data_type, "
+                            "\"null\" = 'YES' AS nullable FROM (DESCRIBE orders)")
 def schema_profile(spark, sf):
-    return RD.schema_profile(_acc(spark, sf))
+    """Column list of a given table as its files declare it."""
+    return RD.schema_profile(fx.table(spark, sf, "orders"))
+
+
+_WIDE_KEY = "o_orderkey + 10000000000"
+
+
+@register("account_keys_wide", "SELECT count(*) AS keys, count(DISTINCT concat('A', CAST(" + _WIDE_KEY + " AS VARCHAR))) "
+                               "AS distinct_ids, min(concat('A', CAST(" + _WIDE_KEY + " AS VARCHAR))) AS first_id, "
+                               "max(" + _WIDE_KEY + ") AS last_number FROM orders")
+def account_keys_wide(spark, sf):
+    """Ids of numbers with more than nine digits stay apart and give their number back."""
+    ids = fx.table(spark, sf, "orders").select(fx.account_key(F.expr(_WIDE_KEY)).alias("account_id"))
+    return ids.agg(F.count(F.lit(1)).alias("keys"), F.count_distinct("account_id").alias("distinct_ids"),
+                   F.min("account_id").alias("first_id"), F.max(fx.key_number()).alias("last_number"))
 
 
 @register("preview_accounts", O.sql(BASE, "SELECT * FROM accounts ORDER BY account_id LIMIT 5"))
@@ -220,6 +233,22 @@ def conform_scored(spark, sf):
     return M.conform_scored(M.score_with_weights(_dirty_features(spark, sf), run_ts=RUN_TS))
 
 
+_DDL_SQL = O.SCORED_CONFORMED.replace("AS debt_stress_score", "AS debt_stress")
+
+
+@register("conform_scored_ddl", O.sql(SCORED, f"SELECT {_DDL_SQL} FROM scored"))
+def conform_scored_ddl(spark, sf):
+    """The names of the declared warehouse table."""
+    return M.conform_scored(_pinned(spark, sf), schemas.DDL_NAMES)
+
+
+@register("positive_probability_pinned", O.sql(SCORED, "SELECT account_id, risk_score AS score FROM scored"))
+def positive_probability_pinned(spark, sf):
+    """Element 1 of a probability vector, here built from the pinned score."""
+    p = array_to_vector(F.array(1 - F.col("risk_score"), F.col("risk_score")))
+    return _pinned(spark, sf).select("account_id", vector_to_array(p)[1].alias("score"))
+
+
 @register("high_risk_sample", O.sql(FEAT, "SELECT account_id, credit_score, debt_ratio, delinquency_risk_score, "
                                           "high_risk_flag FROM features WHERE high_risk_flag = 1 "
                                           "ORDER BY account_id LIMIT 5"))
@@ -267,10 +296,17 @@ def filter_high_risk(spark, sf):
     return FT.high_risk(_features(spark, sf))
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def _written_features(spark, sf) -> DataFrame:
-    path = scratch_path(spark, "features")
-    W.write_features(_features(spark, sf), path)
-    return RD.read_features(spark, path)
+    """The feature table, written once per application and staged input."""
+    key = (app_id(spark), fx.stage_inputs(spark, sf)["accounts_table"])
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "features")
+        W.write_features(_features(spark, sf), path)
+        _WRITTEN[key] = path
+    return RD.read_features(spark, _WRITTEN[key])
 
 
 @register("pruned_high_risk", O.sql(FEAT, "SELECT * FROM features WHERE high_risk_flag = 1"))
@@ -381,6 +417,26 @@ def split_counts(spark, sf):
     return _features(spark, sf).groupBy(M.split_label().alias("split")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+NULL_KEYS = BASE + [O.null_key_cte("accounts", O.ACCOUNT_COLS, "acc_nk")]
+_NK_SPLIT = f"CASE WHEN {O.HASH_BUCKET} < 8 THEN 'train' ELSE 'test' END"
+
+
+@register("hash_split_null_keys", O.sql(NULL_KEYS, f"SELECT {_NK_SPLIT} AS split, count(*) AS row_count, "
+                                                   "count(account_id) AS with_key FROM acc_nk GROUP BY 1"))
+def hash_split_null_keys(spark, sf):
+    """The two frames themselves: every row is in one of them, rows without a key in the test part."""
+    train, test = M.hash_split(fx.null_keys(_acc(spark, sf)).select("account_id"))
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return both.groupBy("split").agg(F.count(F.lit(1)).alias("row_count"), F.count("account_id").alias("with_key"))
+
+
+@register("split_counts_null_keys", O.sql(NULL_KEYS, f"SELECT {_NK_SPLIT} AS split, count(*) AS row_count "
+                                                     "FROM acc_nk GROUP BY 1"))
+def split_counts_null_keys(spark, sf):
+    return (fx.null_keys(_acc(spark, sf)).groupBy(M.split_label().alias("split"))
+            .agg(F.count(F.lit(1)).alias("row_count")))
+
+
 @register("score_pinned", O.sql(SCORED, "SELECT account_id, risk_score AS score FROM scored"))
 def score_pinned(spark, sf):
     return _pinned(spark, sf).select("account_id", F.col("risk_score").alias("score"))
@@ -401,6 +457,19 @@ def auc_pinned(spark, sf):
     return M.grid_auc(_pinned(spark, sf))
 
 
+_MISSING = ("missing AS (SELECT risk_score, CASE WHEN " + O.KEY_NUMBER + " % 37 = 4 THEN NULL "
+            "ELSE serious_delinquency END AS serious_delinquency FROM scored)")
+
+
+@register("auc_missing_labels", O.sql(SCORED + [_MISSING, O.grid_auc_sql("missing")],
+                                      "SELECT auc, (SELECT count(*) FROM missing WHERE serious_delinquency IS NULL) "
+                                      "AS skipped_rows FROM auc"))
+def auc_missing_labels(spark, sf):
+    """Rows without a label take no part and are counted."""
+    label = F.when(fx.key_number() % 37 == 4, F.lit(None)).otherwise(F.col(R.LABEL_COL))
+    return M.grid_auc(_pinned(spark, sf).withColumn(R.LABEL_COL, label), report_skipped=True)
+
+
 @register("model_verdict", O.sql(SCORED + [O.grid_auc_sql("scored")],
                                  "SELECT auc, CASE WHEN auc > 7e-1 THEN 'Good' ELSE 'Needs improvement' END AS verdict "
                                  "FROM auc"))
@@ -425,10 +494,16 @@ def _fitted(spark, sf) -> M.TrainResult:
     inputs never change under their key, so neither does the fit."""
     key = (app_id(spark), fx.stage_inputs(spark, sf)["accounts_table"])
     if key not in _FITTED:
-        _FITTED[key] = M.train_model(M.prepare_features(_features(spark, sf)))
+        _FITTED[key] = M.train_model(M.prepare_features(_written_features(spark, sf)))
     return _FITTED[key]
 
 
+def forget_fits() -> None:
+    """Drop the fits and written tables that the queries share, so that a timing contains them."""
+    _FITTED.clear()
+    _WRITTEN.clear()
+
+
 @register("model_coefficients")
 def model_coefficients(spark, sf):
     return M.model_coefficients(spark, _fitted(spark, sf).model)
@@ -457,9 +532,34 @@ def positive_probability(spark, sf):
 
 @register("random_split_counts")
 def random_split_counts(spark, sf):
-    train, test = M.random_split(M.prepare_features(_features(spark, sf)))
-    return (train.select(F.lit("train").alias("split")).unionByName(test.select(F.lit("test").alias("split")))
-            .groupBy("split").agg(F.count(F.lit(1)).alias("row_count")))
+    return (_written_features(spark, sf).groupBy(M.random_split_label().alias("split"))
+            .agg(F.count(F.lit(1)).alias("row_count")))
+
+
+@register("random_split_check", O.sql(FEAT, "SELECT count(*) AS total_rows, count(DISTINCT account_id) AS distinct_keys, "
+                                            "0 AS keys_in_both, true AS near_share FROM features"))
+def random_split_check(spark, sf):
+    """The two parts hold all rows, share no key, and the train part has about its share (within five points)."""
+    train, test = M.random_split(_written_features(spark, sf).select("account_id"))
+    both = train.withColumn("t", F.lit(1)).unionByName(test.withColumn("t", F.lit(0)))
+    keys = both.groupBy("account_id").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("t"))
+    return keys.agg(F.sum("n").alias("total_rows"), F.count(F.lit(1)).alias("distinct_keys"),
+                    F.count_if((F.col("t") > 0) & (F.col("t") < F.col("n"))).alias("keys_in_both"),
+                    (F.abs(F.sum("t") / F.sum("n") - 0.8) < 0.05).alias("near_share"))
+
+
+@register("fitted_score_check", O.sql(FEAT, "SELECT count(*) AS total_rows, 0 AS differing, 0 AS outside_range, "
+                                            "0 AS wrong_prediction FROM features"))
+def fitted_score_check(spark, sf):
+    """The fitted model's probability against the expression of its own weights, row by row."""
+    model = _fitted(spark, sf).model
+    scored = M.score_accounts(model, M.prepare_features(_written_features(spark, sf)), run_ts=RUN_TS)
+    expected = M.LinearScore.from_model(model).probability()
+    p = F.col("risk_score")
+    return scored.agg(F.count(F.lit(1)).alias("total_rows"),
+                      F.count_if(~(F.abs(p - expected) <= 1e-9)).alias("differing"),
+                      F.count_if(~p.between(0, 1)).alias("outside_range"),
+                      F.count_if((p > 0.5) != (F.col("prediction") == 1)).alias("wrong_prediction"))
 
 
 # --- 2.7 aggregations, reports, limits ---------------------------------------------------------
@@ -595,6 +695,7 @@ _REASON_SQL = ("nullif(concat_ws('; ', "
                "THEN 'invalid status' END, "
                "CASE WHEN job_type IS NULL OR job_type NOT IN ('feature_engineering', 'risk_scorer', 'batch_pipeline') "
                "THEN 'invalid job_type' END, "
+               "CASE WHEN job_name IS NULL OR trim(job_name) = '' THEN 'missing job_name' END, "
                "CASE WHEN length(job_name) > 200 THEN 'job_name too long' END), '')")
 
 
@@ -609,12 +710,45 @@ def runs_rejected(spark, sf):
     return RN.rejected_runs(_runs(spark, sf))
 
 
+_NAMELESS = ("nameless AS (SELECT * REPLACE (CASE WHEN job_id % 97 = 3 THEN NULL WHEN job_id % 101 = 5 THEN '' "
+             "WHEN job_id % 103 = 7 THEN '  ' ELSE job_name END AS job_name) FROM runs)")
+
+
+@register("runs_rejected_names", O.sql(RUNS + [_NAMELESS], f"SELECT job_id, job_name, job_type, status, {_REASON_SQL} AS reason "
+                                                           f"FROM nameless WHERE {_REASON_SQL} IS NOT NULL"))
+def runs_rejected_names(spark, sf):
+    """Jobs without a name, or with a blank one, are rejected with a reason of their own."""
+    j = F.col("job_id")
+    name = (F.when(j % 97 == 3, F.lit(None).cast("string")).when(j % 101 == 5, F.lit("")).when(j % 103 == 7, F.lit("  "))
+            .otherwise(F.col("job_name")))
+    return RN.rejected_runs(_runs(spark, sf).withColumn("job_name", name))
+
+
+_CURSOR = "(SELECT max(created_at) FROM runs WHERE status = 'FAILED')"
+_CURSOR_ID = f"(SELECT max(job_id) FROM runs WHERE status = 'FAILED' AND created_at = {_CURSOR})"
+
+
+@register("runs_after_cursor", O.sql(RUNS, f"SELECT * FROM runs WHERE created_at < {_CURSOR} OR (created_at = {_CURSOR} "
+                                           f"AND job_id < {_CURSOR_ID}) ORDER BY created_at DESC, job_id DESC LIMIT 20"))
+def runs_after_cursor(spark, sf):
+    """The page after the newest failed job."""
+    runs = _runs(spark, sf)
+    at = runs.where(F.col("status") == "FAILED").agg(F.max(F.struct("created_at", "job_id")).alias("c")) \
+        .select("c.*").first()                                       # the request's cursor, two literals
+    return RN.page_after(runs, F.lit(at[0]).cast("timestamp_ntz"), at[1])
+
+
+_OWNER_OF_FAILED = "(SELECT arg_max(submitted_by, job_id) FROM runs WHERE status = 'FAILED')"
+_FAILED_ID = "(SELECT max(job_id) FROM runs WHERE status = 'FAILED')"
+
+
 @register("run_lookup", O.sql(RUNS, f"SELECT * FROM runs WHERE submitted_by = {O.CURRENT_USER} "
                                     f"AND job_id = (SELECT max(job_id) FROM runs)"))
 def run_lookup(spark, sf):
     runs = _runs(spark, sf)
-    newest = runs.agg(F.max("job_id")).first()[0]          # the requested id, a literal
-    return RN.lookup(runs, newest, _current_user(runs), is_staff=False)
+    # the request's id and user, two literals from one scan
+    newest, user = runs.agg(F.max("job_id"), F.max_by("submitted_by", "job_id")).first()
+    return RN.lookup(runs, newest, user, is_staff=False)
 
 
 _RETRY_SQL = ("SELECT job_id, job_name, job_type, submitted_by, "
@@ -628,3 +762,12 @@ _RETRY_SQL = ("SELECT job_id, job_name, job_type, submitted_by, "
 @register("runs_retry_reset", O.sql(RUNS, _RETRY_SQL))
 def runs_retry_reset(spark, sf):
     return RN.retry_reset(_runs(spark, sf))
+
+
+@register("run_retry", O.sql(RUNS, _RETRY_SQL + f" WHERE status = 'FAILED' AND submitted_by = {_OWNER_OF_FAILED} "
+                                                f"AND job_id = {_FAILED_ID}"))
+def run_retry(spark, sf):
+    """One failed job of its submitter, reset."""
+    runs = _runs(spark, sf)
+    job, user = runs.where(F.col("status") == "FAILED").agg(F.max("job_id"), F.max_by("submitted_by", "job_id")).first()
+    return RN.retry(runs, job, user, is_staff=False)

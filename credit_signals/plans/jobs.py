@@ -26,6 +26,7 @@ from credit_signals.sources import readers as RD
 @dataclass
 class FeatureJobResult:
     accounts_loaded: int
+    bureau_loaded: int
     total_accounts: int
     high_risk_accounts: int
     high_risk_pct: float | None
@@ -44,7 +45,7 @@ def run_features(spark: SparkSession, accounts_path: str, bureau_path: str, out_
                 .agg(F.count(F.lit(1)).alias("n")).collect()}          # <= 2 rows
     total, high = sum(per_flag.values()), per_flag.get(1, 0)
     pct = round(high * 100.0 / total, 2) if total else None
-    return FeatureJobResult(accounts.count(), total, high, pct, out_path)
+    return FeatureJobResult(accounts.count(), bureau.count(), total, high, pct, out_path)
 
 
 @dataclass
@@ -59,8 +60,8 @@ class ScoringJobResult:
 
 def run_scoring(spark: SparkSession, features_path: str, target: str, fmt: str = "parquet",
                 options: dict | None = None, run_ts: str | _dt.datetime | None = None,
-                split: str = "hash", max_iter: int = M.MAX_ITER, auc: str = "evaluator",
-                replace_days_only: bool = False) -> ScoringJobResult:
+                split: str = "hash", max_iter: int = M.MAX_ITER, auc: str = "grid",
+                replace_days_only: bool = False, names: dict[str, str] | None = None) -> ScoringJobResult:
     """Fit on the train split, report AUC on the test split, score every
     account, band it, and overwrite the warehouse table.
 
@@ -73,8 +74,8 @@ def run_scoring(spark: SparkSession, features_path: str, target: str, fmt: str =
     features = M.fill_feature_nulls(RD.read_features(spark, features_path))
     scored = M.score_with_weights(features.withColumn(R.LABEL_COL, F.col(R.LABEL_COL).cast("double")),
                                   M.LinearScore.from_model(trained.model), run_ts=run_ts)
-    W.write_scored(scored, target, fmt=fmt, options=options, replace_days_only=replace_days_only)
-    written = W.read_scored(spark, target).count() if fmt == "parquet" else -1
+    W.write_scored(scored, target, fmt=fmt, options=options, replace_days_only=replace_days_only, names=names)
+    written = features.count()            # every feature row is written; this reads Parquet footers only
     return ScoringJobResult(trained.model, trained.auc, trained.train_rows, trained.test_rows,
                             written, target)
 
@@ -136,7 +137,7 @@ def main(argv: list[str] | None = None) -> int:
     sc.add_argument("--option", action="append", default=[], help="key=value writer option")
     sc.add_argument("--run-ts", default=None)
     sc.add_argument("--replace-days-only", action="store_true", help="dynamic overwrite of the written days")
-    sc.add_argument("--auc", choices=("evaluator", "grid"), default="evaluator")
+    sc.add_argument("--auc", choices=("evaluator", "grid"), default="grid")
     ve = sub.add_parser("verify", help="verification report of a feature table")
     ve.add_argument("--features", required=True)
     sm = sub.add_parser("smoke", help="row count, column list and first rows of an accounts table")

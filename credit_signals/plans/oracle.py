@@ -44,7 +44,7 @@ _PROFILE = """profile AS (
   FROM customer c LEFT JOIN ord ON ord.k = c.c_custkey LEFT JOIN lin ON lin.k = c.c_custkey)"""
 
 _ACC0 = """acc0 AS (
-  SELECT concat('A', lpad(CAST(k AS VARCHAR), 9, '0')) AS account_id,
+  SELECT concat('A', repeat('0', greatest(0, 9 - length(CAST(k AS VARCHAR)))), CAST(k AS VARCHAR)) AS account_id,
          CAST(least(850, greatest(300, 500 + CAST(floor(c_acctbal * 4e-2) AS INTEGER))) AS INTEGER) AS credit_score,
          CAST(floor(tot / 48000) AS INTEGER) AS monthly_income,
          CAST(floor(greatest(c_acctbal, 0e0)) AS INTEGER) AS balance,
@@ -76,7 +76,7 @@ _ACCOUNTS = f"""accounts AS (
   FROM acc0)"""
 
 _BUREAU = """bureau AS (
-  SELECT concat('A', lpad(CAST(k AS VARCHAR), 9, '0')) AS account_id,
+  SELECT concat('A', repeat('0', greatest(0, 9 - length(CAST(k AS VARCHAR)))), CAST(k AS VARCHAR)) AS account_id,
          CAST(500 + (k * 6151) % 350 AS INTEGER) AS bureau_score,
          CAST(inq AS INTEGER) AS inquiries_last_6mo,
          CAST(coll AS INTEGER) AS collections_last_12mo,
@@ -181,9 +181,9 @@ HASH_BUCKET = "CAST(('0x' || substr(md5(account_id), 1, 8)) AS BIGINT) % 10"
 
 def grid_auc_sql(src: str, score: str = "risk_score", label: str = "serious_delinquency") -> str:
     return f"""cells AS (
-  SELECT floor({score} * 1e4) AS cell, CAST(sum({label}) AS BIGINT) AS pos,
-         CAST(count(*) - sum({label}) AS BIGINT) AS neg
-  FROM {src} WHERE {score} IS NOT NULL AND NOT isnan({score}) GROUP BY floor({score} * 1e4)),
+  SELECT floor({score} * 1e4) AS cell, count(*) FILTER (WHERE {label} = 1) AS pos,
+         count(*) FILTER (WHERE {label} = 0) AS neg
+  FROM {src} WHERE {score} IS NOT NULL AND NOT isnan({score}) AND {label} IN (0, 1) GROUP BY floor({score} * 1e4)),
 ranked AS (
   SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
          AS neg_below FROM cells),

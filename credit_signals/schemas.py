@@ -34,11 +34,14 @@ FEATURES = T.StructType(ACCOUNTS.fields + BUREAU.fields[1:] + DERIVED.fields)
 
 # Warehouse table (STRING / FLOAT64 / INTEGER / TIMESTAMP).
 SCORED = _struct(
-    ("account_id", _S), ("score", _D), ("risk_band", _S), ("scored_at", T.TimestampNTZType()),
+    ("account_id", _S), ("score", _D), ("risk_band", _S), ("scored_at", T.TimestampType()),
     ("model_version", _S), ("delinquency_risk_score", _D), ("debt_stress_score", _L),
     ("high_risk_flag", _L), ("credit_score", _L), ("debt_ratio", _D), ("monthly_income", _L),
 )
 
+# Fixed value: the declared warehouse table names one column differently.
+DDL_NAMES = {"debt_stress_score": "debt_stress"}
+
 # Where the scored frame's columns come from, for the 11-column projection.
 SCORED_SOURCES = {"score": "risk_score", "debt_stress_score": "debt_stress"}
 

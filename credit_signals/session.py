@@ -92,6 +92,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="credit-signals-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -13,6 +13,7 @@ from credit_signals.operators.model import conform_scored
 
 FEATURE_PARTITION = "high_risk_flag"
 SCORED_PARTITION = "scored_date"
+FILE_FORMATS = frozenset({"parquet", "orc", "json", "csv"})
 
 
 def write_features(df: DataFrame, path: str, mode: str = "overwrite", compact: bool = False) -> None:
@@ -29,16 +30,25 @@ def write_features(df: DataFrame, path: str, mode: str = "overwrite", compact: b
 
 
 def write_scored(scored: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None,
-                 mode: str = "overwrite", by_day: bool = True, replace_days_only: bool = False) -> None:
+                 mode: str = "overwrite", by_day: bool | None = None, replace_days_only: bool = False,
+                 names: dict[str, str] | None = None) -> None:
     """Conform to the warehouse schema and overwrite the target.
 
     ``fmt``/``options`` select any DataFrameWriter format (a warehouse
-    connector on a cluster; Parquet by default).  The table is partitioned by
-    the day of ``scored_at``.  By default the whole table is replaced, as in
-    the reference; ``replace_days_only`` replaces only the days being written
-    (dynamic partition overwrite), so earlier runs' days stay.
+    connector on a cluster; Parquet by default).  A Parquet table is laid out
+    by the day of ``scored_at`` (a 12th column, the folder); any other format
+    gets exactly the 11 columns unless ``by_day`` asks for day folders of a file
+    format - a connector partitions by its own options.  By default the whole
+    table is replaced; ``replace_days_only`` replaces only the days being
+    written (dynamic partition overwrite), so earlier runs' days stay.
+    ``names`` renames target columns (``schemas.DDL_NAMES``).
     """
-    out = conform_scored(scored)
+    by_day = fmt == "parquet" if by_day is None else by_day
+    if by_day and fmt not in FILE_FORMATS:
+        raise ValueError(f"day folders are for {sorted(FILE_FORMATS)}; pass {fmt!r} its own partition options")
+    if replace_days_only and not by_day:
+        raise ValueError("replace_days_only needs a table laid out by day")
+    out = conform_scored(scored, names)
     writer = out.withColumn(SCORED_PARTITION, F.to_date("scored_at")) if by_day else out
     opts = dict(options or {})
     if replace_days_only:

@@ -82,9 +82,19 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
             .fillna(0, subset=counts))
 
 
+INT_MAX = 2_147_483_647
+
+
+def _int(c: Column) -> Column:
+    """As a 32-bit integer; a value beyond its range becomes the nearest end."""
+    return F.least(F.lit(INT_MAX), F.greatest(F.lit(-INT_MAX - 1), c)).cast("int")
+
+
 def account_key(k: str | Column = "k") -> Column:
+    """``A`` and the number, padded to nine digits; longer numbers keep all their digits."""
     k = F.col(k) if isinstance(k, str) else k
-    return F.concat(F.lit("A"), F.lpad(k.cast("string"), 9, "0"))
+    digits = k.cast("string")
+    return F.concat(F.lit("A"), F.lpad(digits, F.greatest(F.lit(9), F.length(digits)), F.lit("0")))
 
 
 def key_number(account_id: str | Column = "account_id") -> Column:
@@ -100,19 +110,19 @@ def accounts_from_profile(profile: DataFrame) -> DataFrame:
         account_key().alias("account_id"),
         F.least(F.lit(850), F.greatest(F.lit(300), F.lit(500) + F.floor(F.col("c_acctbal") * 0.04)
                                        .cast("int"))).alias("credit_score"),
-        F.floor(tot / 48000).cast("int").alias("monthly_income"),
-        F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0))).cast("int").alias("balance"),
+        _int(F.floor(tot / 48000)).alias("monthly_income"),
+        _int(F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0)))).alias("balance"),
         F.when(tot == 0, F.lit(0.01)).otherwise(
-            F.least(F.lit(0.99), F.greatest(F.lit(0.01), F.floor(f * 10000 / tot).cast("double") / 1e4))
+            F.least(F.lit(0.99), F.greatest(F.lit(0.01), F.floor(f.cast("double") * 10000 / tot).cast("double") / 1e4))
         ).alias("debt_ratio"),
-        F.col("d30").cast("int").alias("delinquency_30_days"),
-        F.col("d60").cast("int").alias("delinquency_60_days"),
-        F.col("d90").cast("int").alias("delinquency_90_days"),
-        F.col("n").cast("int").alias("open_credit_lines"),
+        _int(F.col("d30")).alias("delinquency_30_days"),
+        _int(F.col("d60")).alias("delinquency_60_days"),
+        _int(F.col("d90")).alias("delinquency_90_days"),
+        _int(F.col("n")).alias("open_credit_lines"),
         (k % 6).cast("int").alias("dependents"),
         (F.lit(18) + (k * 7) % 62).cast("int").alias("age"),
-        F.col("t90").cast("int").alias("times_90_days_late"),
-        F.col("u").cast("int").alias("real_estate_loans"),
+        _int(F.col("t90")).alias("times_90_days_late"),
+        _int(F.col("u")).alias("real_estate_loans"),
         ((k * 7919 + 17) % 1000).alias("_draw"),
         F.date_format("first_order", "yyyy-MM-dd").alias("account_open_date"),
     )
@@ -126,11 +136,11 @@ def bureau_from_profile(profile: DataFrame) -> DataFrame:
     return profile.where(k % 10 != 0).select(
         account_key().alias("account_id"),
         (F.lit(500) + (k * 6151) % 350).cast("int").alias("bureau_score"),
-        F.col("inq").cast("int").alias("inquiries_last_6mo"),
-        F.col("coll").cast("int").alias("collections_last_12mo"),
+        _int(F.col("inq")).alias("inquiries_last_6mo"),
+        _int(F.col("coll")).alias("collections_last_12mo"),
         F.when(k % 11 == 0, 1).otherwise(0).alias("public_records"),
         F.when(tot == 0, F.lit(0.0)).otherwise(
-            F.floor(F.col("p") * 10000 / tot).cast("double") / 1e4).alias("revolving_utilization"),
+            F.floor(F.col("p").cast("double") * 10000 / tot).cast("double") / 1e4).alias("revolving_utilization"),
         F.lit(BUREAU_DATE).alias("bureau_updated_date"),
     )
 
@@ -145,13 +155,15 @@ def bureau_from_profile(profile: DataFrame) -> DataFrame:
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 8
+MAX_BUCKETS = 100_000              # default of spark.sql.sources.bucketing.maxBuckets
 
 _STAGED: dict[tuple[str, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
 
 
-def bucket_count(rows: int) -> int:
-    return max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET))
+def bucket_count(rows: int, most: int = MAX_BUCKETS) -> int:
+    """About one bucket per million rows; Spark allows ``most`` buckets, which then hold more rows each."""
+    return min(most, max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
 
 
 def _write_bucketed(df: DataFrame, path: str, table_name: str, buckets: int) -> None:
@@ -175,7 +187,8 @@ def stage_inputs(spark: SparkSession, sf_dir: str, force: bool = False) -> dict[
         paths = {name: scratch_path(spark, f"staged-{name}") for name in ("profile", "accounts", "bureau")}
         customer_profile(spark, sf_dir).write.mode("overwrite").parquet(paths["profile"])
         profile = spark.read.parquet(paths["profile"])
-        buckets = bucket_count(profile.count())
+        most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", str(MAX_BUCKETS)))
+        buckets = bucket_count(profile.count(), most)
         tag = paths["accounts"].rsplit("-", 1)[-1]
         for name, df in (("accounts", accounts_from_profile(profile)), ("bureau", bureau_from_profile(profile))):
             paths[f"{name}_table"] = f"credit_signals_{name}_{tag}"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,10 +41,16 @@ def _read(spark: SparkSession, source: str, schema: T.StructType) -> DataFrame:
     Files are read with their own footer schema and then cast: integer
     columns written as 64-bit (pandas' default) cannot be read through a
     declared 32-bit schema, but cast fine (ANSI: an out-of-range value
-    raises).  A missing column raises.  When the types already match, the
+    raises).  A folder without files (an empty table) is read with the declared
+    schema.  A missing column raises.  When the types already match, the
     frame is returned as read (no extra projection).
     """
-    df = spark.table(source) if is_table(spark, source) else spark.read.parquet(source)
+    try:
+        df = spark.table(source) if is_table(spark, source) else spark.read.parquet(source)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        df = spark.read.schema(schema).parquet(source)
     return schemas.conform(df, schema)
 
 

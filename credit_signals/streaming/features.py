@@ -12,6 +12,7 @@ key holding a third of the bureau does not make one straggler per batch.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,10 +28,17 @@ from credit_signals.sources.readers import read_bureau
 def feature_stream(spark: SparkSession, accounts_dir: str, bureau_path: str,
                    rules: RiskRules = DEFAULT_RULES, max_files_per_trigger: int | None = None,
                    **join_opts) -> DataFrame:
-    reader = spark.readStream.schema(schemas.ACCOUNTS)
+    # files are read with their own types (64-bit integers too) and cast, as the batch reader does
+    try:
+        found = spark.read.parquet(accounts_dir).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        found = schemas.ACCOUNTS
+    reader = spark.readStream.schema(found)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    accounts = reader.parquet(accounts_dir)
+    accounts = schemas.conform(reader.parquet(accounts_dir), schemas.ACCOUNTS)
     # hot bureau keys (found once on the static side) are split over salt slices
     joined = left_join(accounts, read_bureau(spark, bureau_path), "account_id", **join_opts)
     return derive_signals(fill_bureau_defaults(joined), rules)
