@@ -4,32 +4,29 @@ Semantics are those of ``left.join(right, key, "left")``: every left row is
 kept, duplicate right keys fan out, a NULL key matches nothing, and the output
 is the key, then the left columns, then the right columns.
 
-Hot keys.  Keys are sampled on both sides (a sample of the key column only; a
-frequent-items sketch names the candidates, so the distinct keys are never
-shuffled).  A key is hot on a side when its sampled count is at
-least ``1/max_hot_keys`` of that side's sampled rows and its estimated count
-exceeds ``slice_rows``; at most ``max_hot_keys`` keys per side can qualify,
-which bounds the list brought to the driver and broadcast.  Rows of cold keys
-take the plain join - on bucketed inputs with no exchange at all.  Rows of hot
-keys are split in a grid: the left rows of key k in ``L_k`` slices, the right
-rows in ``R_k`` slices (``ceil(n / slice_rows)`` each, 1 on a side where k is
-not hot); each left slice is replicated across the right slices and vice
-versa, so each of the ``L_k x R_k`` join tasks sees about ``slice_rows`` rows
-per side.  Without this, a hot key would sit in one task: adaptive execution
-cannot split the right side of a left join, and no side of a join over
-co-bucketed inputs (it has no shuffle stage to split).
-
-Slices are chosen by a content hash, so a retried task reproduces them in any
-input order.  Exact copies are first collapsed to (row, count) - a partial
-aggregation, map-side - and cut into chunks of at most ``slice_rows`` copies,
-so one row repeated a third of the table spreads like any hot key; the copies
-are re-expanded after the join.  When the right side is split, a key hot there
-was seen in the right table, so each left replica without a match in its
-slice is dropped; otherwise every left row has exactly one replica and stays.
-
-Detection is skipped when the right side's estimated size is under the
-broadcast threshold: it is then broadcast, the left side streams in its file
-splits, and no key can concentrate in one task.
+NULL keys.  Rows without a key match nothing, so they stay out of the join and
+get NULL right columns; otherwise all of them would meet in one task.
+
+Hot keys.  A sample of the key column is counted on both sides.  A key whose
+estimated count exceeds ``slice_rows`` is hot; there are at most rows /
+``slice_rows`` of them, and they stay in a table (written once, broadcast under
+``BROADCAST_KEYS``).  Rows of other keys take the plain join - on bucketed
+inputs with no exchange at all.  Rows of hot keys are split in a grid: the left
+rows of key k in ``L_k`` slices, the right rows in ``R_k`` slices
+(``ceil(n / slice_rows)`` each, 1 where k is not hot); each left slice is
+repeated for the right slices and vice versa, so each of the ``L_k x R_k``
+tasks sees about ``slice_rows`` rows per side.  Adaptive execution cannot do
+this: it splits no right side of a left join, and no join of co-bucketed inputs.
+
+The rows of a side that is split are written once below the shared folder, and
+a row's slice comes from its place in the file.  A retried task finds the same
+slices, exact copies spread like any rows, and no row is grouped, so every
+column type passes through as it is.  Where the right side is split, a key hot
+there was seen in the right table, so a left replica without a match in its
+slice is dropped; otherwise every left row has one replica and stays.
+
+Both ways give the plain join's rows, so the choice between them (no hot key; a
+right side that Spark broadcasts) changes no result.
 """
 
 from __future__ import annotations
@@ -38,37 +35,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from credit_signals.session import scratch_path
+
 DEFAULT_SLICE_ROWS = 1_000_000
-DEFAULT_MAX_HOT_KEYS = 1024
 DEFAULT_SAMPLE_FRACTION = 0.01
+BROADCAST_KEYS = 1_000_000
 SAMPLE_SEED = 17
 
 
 def hot_keys(df: DataFrame, key: str, slice_rows: int = DEFAULT_SLICE_ROWS,
-             max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-             sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> list[tuple[object, int]]:
-    """[(key, slices)] for hot keys of ``df``; at most ``max_hot_keys`` entries.
-
-    Two small jobs over a sample of the key column: a frequent-items sketch
-    (bounded counters per task, merged in one place - no shuffle of the
-    distinct keys) names the candidates, then one grouped count of the
-    candidates (every other row falls in one NULL group) gives their sample
-    counts and the sample total.  The sketch's support is ``1/max_hot_keys``
-    (at least 1e-4, its lower limit).
+             sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> DataFrame:
+    """(k, slices) of the keys of ``df`` whose estimated count exceeds ``slice_rows``.
+
+    A sample of the key column only, counted with a map-side combine.
     """
-    keys = df.select(F.col(key).alias("_hk"))
+    keys = df.select(F.col(key).alias("k")).where("k is not null")
     sampled = keys if sample_fraction >= 1.0 else keys.sample(fraction=sample_fraction, seed=SAMPLE_SEED)
-    support = max(1e-4, 1.0 / max_hot_keys)
-    found = sampled.where(F.col("_hk").isNotNull()).stat.freqItems(["_hk"], support).first()
-    candidates = [c for c in (found[0] if found else []) if c is not None]
-    if not candidates:
-        return []
-    tally = (sampled.groupBy(F.when(F.col("_hk").isin(candidates), F.col("_hk")).alias("_c"))
-             .agg(F.count(F.lit(1)).alias("_n")).collect())          # <= len(candidates) + 1 rows
-    total = sum(r["_n"] for r in tally)
-    scale = 1.0 / min(sample_fraction, 1.0)
-    return [(r["_c"], -(-int(r["_n"] * scale) // slice_rows)) for r in tally
-            if r["_c"] is not None and r["_n"] * max_hot_keys >= total and r["_n"] * scale > slice_rows]
+    rows = F.count(F.lit(1)) / F.lit(min(sample_fraction, 1.0))
+    return (sampled.groupBy("k").agg(rows.alias("n")).where(F.col("n") > slice_rows)
+            .select("k", F.ceil(F.col("n") / slice_rows).cast("int").alias("slices")))
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -96,106 +81,85 @@ def broadcast_planned(df: DataFrame) -> bool:
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, *, skew_guard: bool = True,
-              slice_rows: int = DEFAULT_SLICE_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+              slice_rows: int = DEFAULT_SLICE_ROWS,
               sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> DataFrame:
-    """``left LEFT JOIN right USING (key)``; see the module notes for skew."""
-    if slice_rows < 1 or max_hot_keys < 1 or not 0 < sample_fraction <= 1:
-        raise ValueError("slice_rows and max_hot_keys must be positive, sample_fraction in (0, 1]")
+    """``left LEFT JOIN right USING (key)``; see the module notes for skew.
+
+    ``skew_guard=False`` is for inputs whose keys are known to be unique: no
+    sample is taken.
+    """
+    if slice_rows < 1 or not 0 < sample_fraction <= 1:
+        raise ValueError("slice_rows must be positive, sample_fraction in (0, 1]")
     if not skew_guard or broadcast_planned(right):
         return left.join(right, key, "left")
-    grid: dict[object, list[int]] = {}
-    # a streaming left side cannot be sampled; its keys stay in one slice
-    left_hot = [] if left.isStreaming else hot_keys(left, key, slice_rows, max_hot_keys, sample_fraction)
-    for k, n in left_hot:
-        grid.setdefault(k, [1, 1])[0] = n
-    for k, n in hot_keys(right, key, slice_rows, max_hot_keys, sample_fraction):
-        grid.setdefault(k, [1, 1])[1] = n
-    if not grid:
-        return left.join(right, key, "left")
-    return split_left_join(left, right, key, [(k, ls, rs) for k, (ls, rs) in grid.items()], slice_rows)
+    on_right = hot_keys(right, key, slice_rows, sample_fraction).withColumnRenamed("slices", "rs")
+    if left.isStreaming:                         # a stream cannot be sampled; its keys stay in one slice
+        hot = on_right.withColumn("ls", F.lit(1))
+    else:
+        on_left = hot_keys(left, key, slice_rows, sample_fraction).withColumnRenamed("slices", "ls")
+        hot = on_left.join(on_right, "k", "full")
+    hot = _written(hot.select("k", F.coalesce("ls", F.lit(1)).alias("ls"), F.coalesce("rs", F.lit(1)).alias("rs")),
+                   "hot-keys")
+    if hot.isEmpty():
+        return _around_null_keys(left, right, key, lambda rows: rows.join(right, key, "left"))
+    return split_left_join(left, right, key, hot)
 
 
-def _chunks(df: DataFrame, key: str, slices: str, slice_rows: int) -> DataFrame:
-    """Collapse exact copies to (row, _n), cut into chunks of <= slice_rows,
-    and pick each chunk's slice from a content hash.
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Rows are grouped as one struct, not column by column: a grouping that
-    contained the bare key would be satisfied by a bucketed input's key
-    partitioning, so all rows of a hot key would be aggregated in the one task
-    that scans their bucket.  Grouping by the struct forces a partial
-    aggregation followed by an exchange on the whole row, and lets the hot
-    branch's scan fall back to splittable (non-bucketed) reads.
-    """
-    cols = [c for c in df.columns if c != slices]
-    if any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):   # maps cannot be grouped
-        grouped = df.withColumn("_n", F.lit(1).cast("long"))
-    else:
-        grouped = (df.groupBy(F.struct(*cols).alias("_row"), F.col(slices))
-                   .agg(F.count(F.lit(1)).alias("_n"))
-                   .select("_row.*", slices, "_n"))
-    chunked = grouped.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / slice_rows).cast("long") - 1)))
-    return chunked.select(
-        *cols, slices,
-        F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.col("_chunk")), F.col(slices)).cast("int").alias(f"{slices}_at"),
-        F.least(F.lit(slice_rows).cast("long"), F.col("_n") - F.col("_chunk") * slice_rows).alias(f"{slices}_copies"))
 
+def _around_null_keys(left: DataFrame, right: DataFrame, key: str, join) -> DataFrame:
+    """``join`` of the rows with a key, then the rows without one and NULL right columns."""
+    if left.isStreaming or not left.schema[key].nullable:
+        return join(left)
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
+    others = [F.col(c) for c in left.columns if c != key]
+    return join(left.where(F.col(key).isNotNull())).union(left.where(F.col(key).isNull()).select(key, *others, *nothing))
 
-def _spread(n: str) -> Column:
-    return _spread_of(F.col(n))
 
+def _sliced(df: DataFrame, key: str, hot: DataFrame, slices: str, split: bool) -> DataFrame:
+    """(k, row, ls, rs, at) of the hot rows; ``at`` is the row's slice, from its place in a written file."""
+    rows = df.select(F.col(key).alias("k"), F.struct(*[F.col(c) for c in df.columns]).alias("row")).join(hot, "k")
+    if not split:
+        return rows.withColumn("at", F.lit(0))
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    return _written(rows, "hot-rows").select("k", "row", "ls", "rs", F.pmod(place, F.col(slices)).cast("int").alias("at"))
 
-def _spread_of(n: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), n - 1))
 
+def _repeat(n: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-def split_left_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple[object, int, int]],
-                    slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
-    """The plain left join; rows of ``hot`` keys ((key, left slices, right
-    slices)) go through a salted grid join, all other rows through the plain
-    join.  Keys never cross branches, so the union is exact.
 
-    The hot list (<= 2 x max_hot_keys entries) is used as literals: an IN
-    filter (pushed to the Parquet scan) splits the branches and a literal map
-    gives each key's slice counts.  Both are plain Filter/Project nodes, so the
-    cold branch keeps a bucketed, exchange-free join while the hot branch's
-    scans fall back to splittable reads.
+def split_left_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | list[tuple]) -> DataFrame:
+    """The plain left join, with the rows of ``hot`` keys (k, ls, rs) joined on a salted grid.
 
-    Precondition (met by ``left_join``, which takes right slices from a sample
-    of the right table): a key with more than one right slice occurs in the
-    right table, so its left rows have matches in some slice.
+    Keys never cross branches, so the union is exact.  Precondition (met by
+    ``left_join``, which takes right slices from a sample of the right table): a
+    key with more than one right slice occurs in the right table.
     """
-    key_type = left.schema[key].dataType
-
-    def lit(k) -> Column:
-        return F.lit(k).cast(key_type)
-
-    keys = [lit(k) for k, _, _ in hot]
-    ls_of = F.create_map(*[x for k, ls, _ in hot for x in (lit(k), F.lit(ls))])
-    rs_of = F.create_map(*[x for k, _, rs in hot for x in (lit(k), F.lit(rs))])
-    is_hot = F.col(key).isin(keys)
+    if isinstance(hot, list):
+        kind = T.StructType([T.StructField("k", left.schema[key].dataType), T.StructField("ls", T.IntegerType()),
+                             T.StructField("rs", T.IntegerType())])
+        hot = left.sparkSession.createDataFrame(hot, kind)
+    n, split_left, split_right = hot.agg(F.count(F.lit(1)), F.max("ls") > 1, F.max("rs") > 1).first()
+    hot = F.broadcast(hot) if n <= BROADCAST_KEYS else hot
+    names = hot.select(F.col("k").alias(key))
     left_cols = [c for c in left.columns if c != key]
     right_cols = [c for c in right.columns if c != key]
 
-    cold_filter = F.col(key).isNull() | ~is_hot
-    cold = left.where(cold_filter).join(right.where(cold_filter), key, "left")
-
-    if all(ls == 1 for _, ls, _ in hot):
-        # no left key is split: each left row is its own chunk (no aggregation,
-        # so this also works when the left side is a stream)
-        lq = left.where(is_hot).select(*left.columns, F.lit(1).alias("_ls"), F.lit(0).alias("_ls_at"),
-                                       F.lit(1).cast("long").alias("_ls_copies"))
-    else:
-        lq = _chunks(left.where(is_hot).withColumn("_ls", ls_of[F.col(key)]), key, "_ls", slice_rows)
-    lq = lq.withColumn("_rs", rs_of[F.col(key)]).withColumn("_rj", _spread("_rs"))
-    rq = (_chunks(right.where(is_hot).withColumn("_rs", rs_of[F.col(key)]), key, "_rs", slice_rows)
-          .withColumn("_lj", _spread_of(ls_of[F.col(key)]))
-          .select(F.col(key).alias("_rk"), *right_cols, "_rs_at", "_rs_copies", "_lj",
-                  F.lit(True).alias("_matched")))
-    joined = lq.join(rq, (F.col(key) == F.col("_rk")) & (F.col("_ls_at") == F.col("_lj"))
-                     & (F.col("_rj") == F.col("_rs_at")), "left")
-    kept = joined.where((F.col("_rs") == 1) | F.col("_matched").isNotNull())
-    copies = F.col("_ls_copies") * F.coalesce(F.col("_rs_copies"), F.lit(1).cast("long"))
-    warm = kept.select(key, *left_cols, *right_cols,
-                       F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("_copy")).drop("_copy")
-    return cold.unionByName(warm)
+    def grid(rows: DataFrame) -> DataFrame:
+        cold = rows.join(names, key, "left_anti").join(right.join(names, key, "left_anti"), key, "left")
+        lq = _sliced(rows, key, hot, "ls", bool(split_left)).withColumn("rj", _repeat("rs")).alias("l")
+        rq = _sliced(right, key, hot, "rs", bool(split_right)).withColumn("lj", _repeat("ls")).alias("r")
+        pairs = lq.join(rq, (F.col("l.k") == F.col("r.k")) & (F.col("l.at") == F.col("r.lj"))
+                        & (F.col("l.rj") == F.col("r.at")), "left")
+        kept = pairs.where((F.col("l.rs") == 1) | F.col("r.k").isNotNull())
+        warm = kept.select(F.col("l.row").getField(key).alias(key),
+                           *[F.col("l.row").getField(c).alias(c) for c in left_cols],
+                           *[F.col("r.row").getField(c).alias(c) for c in right_cols])
+        return cold.union(warm)
+
+    return _around_null_keys(left, right, key, grid)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from credit_signals import schemas
 from credit_signals.functions import rules as R
 from credit_signals.operators import features as FT
+from credit_signals.operators import joins as J
 from credit_signals.operators import model as M
 from credit_signals.operators import reports as RP
 from credit_signals.operators import runs as RN
@@ -62,7 +63,7 @@ def _bur(spark, sf):
 
 
 def _features(spark, sf) -> DataFrame:
-    return FT.engineer_features(_acc(spark, sf), _bur(spark, sf))
+    return FT.engineer_features(_acc(spark, sf), _bur(spark, sf), skew_guard=False)
 
 
 def _dirty_features(spark, sf) -> DataFrame:
@@ -148,7 +149,7 @@ def preview_accounts(spark, sf):
 
 @register("join_accounts_bureau", O.sql(BASE + [O.joined_cte()], "SELECT * FROM joined"))
 def join_accounts_bureau(spark, sf):
-    return FT.join_accounts_bureau(_acc(spark, sf), _bur(spark, sf))
+    return FT.join_accounts_bureau(_acc(spark, sf), _bur(spark, sf), skew_guard=False)
 
 
 @register("join_fanout", O.sql(BASE + [O.bureau_dup_cte(), O.joined_cte("accounts", "bureau_dup")],
@@ -165,6 +166,45 @@ def join_null_keys(spark, sf):
     return FT.join_accounts_bureau(fx.null_keys(_acc(spark, sf)), fx.null_keys(_bur(spark, sf)))
 
 
+# Orders are all hot on their priority (five values): the grid path itself, on whole given tables.
+_BY_PRIORITY = "SELECT o_orderpriority, count(*) AS orders_of_priority FROM orders GROUP BY o_orderpriority"
+HOT_SLICE_ROWS = 200
+
+
+def _grid(left, right, key):
+    hot = J.hot_keys(left, key, HOT_SLICE_ROWS, 1.0).withColumnRenamed("slices", "ls") \
+        .join(J.hot_keys(right, key, HOT_SLICE_ROWS, 1.0).withColumnRenamed("slices", "rs"), "k", "full") \
+        .select("k", F.coalesce("ls", F.lit(1)).alias("ls"), F.coalesce("rs", F.lit(1)).alias("rs"))
+    return J.split_left_join(left, right, key, hot)
+
+
+def _priorities(orders):
+    return orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders_of_priority"))
+
+
+@register("join_hot_left", f"SELECT o_orderpriority, o_orderkey, orders_of_priority FROM orders LEFT JOIN ({_BY_PRIORITY}) p "
+                           "USING (o_orderpriority)")
+def join_hot_left(spark, sf):
+    orders = fx.table(spark, sf, "orders")
+    return _grid(orders.select("o_orderpriority", "o_orderkey"), _priorities(orders), "o_orderpriority")
+
+
+@register("join_hot_right", f"SELECT o_orderpriority, orders_of_priority, o_orderkey FROM ({_BY_PRIORITY}) p LEFT JOIN "
+                            "(SELECT o_orderpriority, o_orderkey FROM orders) o USING (o_orderpriority)")
+def join_hot_right(spark, sf):
+    orders = fx.table(spark, sf, "orders")
+    return _grid(_priorities(orders), orders.select("o_orderpriority", "o_orderkey"), "o_orderpriority")
+
+
+@register("join_hot_null_keys", "SELECT o_orderpriority, o_orderkey, orders_of_priority FROM (SELECT CASE WHEN o_orderkey % 41 = 2 "
+                                f"THEN NULL ELSE o_orderpriority END AS o_orderpriority, o_orderkey FROM orders) o "
+                                f"LEFT JOIN ({_BY_PRIORITY}) p USING (o_orderpriority)")
+def join_hot_null_keys(spark, sf):
+    orders = fx.table(spark, sf, "orders")
+    key = F.when(F.col("o_orderkey") % 41 != 2, F.col("o_orderpriority")).alias("o_orderpriority")
+    return _grid(orders.select(key, "o_orderkey"), _priorities(orders), "o_orderpriority")
+
+
 # --- 2.3 fills, projections, scalar expressions ----------------------------------------------
 
 _BUREAU_OUT = ", ".join(O.BUREAU_COLS)
@@ -172,7 +212,7 @@ _BUREAU_OUT = ", ".join(O.BUREAU_COLS)
 
 @register("fill_bureau_defaults", O.sql(BASE + O.features_ctes(), f"SELECT {_BUREAU_OUT} FROM features_f"))
 def fill_bureau_defaults(spark, sf):
-    joined = FT.join_accounts_bureau(_acc(spark, sf), _bur(spark, sf))
+    joined = FT.join_accounts_bureau(_acc(spark, sf), _bur(spark, sf), skew_guard=False)
     return FT.fill_bureau_defaults(joined).select(*O.BUREAU_COLS)
 
 

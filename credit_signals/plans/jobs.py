@@ -21,6 +21,7 @@ from credit_signals.operators import features as FT
 from credit_signals.operators import model as M
 from credit_signals.sinks import writers as W
 from credit_signals.sources import readers as RD
+from credit_signals.sources.fixtures import has_unique_keys
 
 
 @dataclass
@@ -39,6 +40,8 @@ def run_features(spark: SparkSession, accounts_path: str, bureau_path: str, out_
     table, write it partitioned by flag."""
     accounts = RD.read_accounts(spark, accounts_path)
     bureau = RD.read_bureau(spark, bureau_path)
+    if has_unique_keys(accounts_path) and has_unique_keys(bureau_path):
+        join_opts = {"skew_guard": False, **join_opts}
     W.write_features(FT.engineer_features(accounts, bureau, rules, **join_opts), out_path, compact=compact)
     per_flag = {r["high_risk_flag"]: r["n"] for r in
                 RD.read_features(spark, out_path).groupBy("high_risk_flag")

@@ -108,8 +108,8 @@ def accounts_from_profile(profile: DataFrame) -> DataFrame:
     tot, f = F.col("tot"), F.col("f")
     base = profile.select(
         account_key().alias("account_id"),
-        F.least(F.lit(850), F.greatest(F.lit(300), F.lit(500) + F.floor(F.col("c_acctbal") * 0.04)
-                                       .cast("int"))).alias("credit_score"),
+        F.least(F.lit(850), F.greatest(F.lit(300), F.lit(500) + F.floor(F.col("c_acctbal") * 0.04)))
+        .cast("int").alias("credit_score"),
         _int(F.floor(tot / 48000)).alias("monthly_income"),
         _int(F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0)))).alias("balance"),
         F.when(tot == 0, F.lit(0.01)).otherwise(
@@ -158,6 +158,7 @@ MIN_BUCKETS = 8
 MAX_BUCKETS = 100_000              # default of spark.sql.sources.bucketing.maxBuckets
 
 _STAGED: dict[tuple[str, str], dict[str, str]] = {}
+_STAGED_TABLES: set[str] = set()
 _LOCK = threading.Lock()
 
 
@@ -193,11 +194,17 @@ def stage_inputs(spark: SparkSession, sf_dir: str, force: bool = False) -> dict[
         for name, df in (("accounts", accounts_from_profile(profile)), ("bureau", bureau_from_profile(profile))):
             paths[f"{name}_table"] = f"credit_signals_{name}_{tag}"
             _write_bucketed(df, paths[name], paths[f"{name}_table"], buckets)
+            _STAGED_TABLES.add(paths[f"{name}_table"])
         paths["buckets"] = str(buckets)
         _STAGED[key] = paths
         return paths
 
 
+def has_unique_keys(source: str) -> bool:
+    """Whether ``source`` is a table staged here: its keys are unique, so a join need not look for hot ones."""
+    return source in _STAGED_TABLES
+
+
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from credit_signals.sources.readers import read_accounts
     return read_accounts(spark, stage_inputs(spark, sf_dir)["accounts_table"])

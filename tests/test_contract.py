@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credit_signals import schemas, session as S
+from credit_signals import schemas
 from credit_signals.operators import model as M
 from credit_signals.operators import runs as RN
 from credit_signals.plans import jobs
-from credit_signals.session import scratch_path
+from credit_signals.session import checkpoint_dir, scratch_path
 from credit_signals.sinks import writers as W
 from credit_signals.sources import fixtures as fx
 from credit_signals.sources import readers as RD
@@ -137,7 +137,7 @@ def test_a_cluster_must_name_its_shared_folder():
         sparkContext = Context()
 
     with pytest.raises(RuntimeError):
-        S.checkpoint_dir(Session())
+        checkpoint_dir(Session())
 
 
 def test_run_rules(spark):

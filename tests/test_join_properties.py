@@ -21,7 +21,7 @@ def test_detected_split_equals_plain(spark, left, right, slice_rows):
     try:
         l_df = spark.createDataFrame(left, "k string, lv int")
         r_df = spark.createDataFrame(right, "k string, rv int")
-        got = left_join(l_df, r_df, "k", slice_rows=slice_rows, max_hot_keys=1000, sample_fraction=1.0)
+        got = left_join(l_df, r_df, "k", slice_rows=slice_rows, sample_fraction=1.0)
         assert _same(got, l_df.join(r_df, "k", "left"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
@@ -39,5 +39,5 @@ def test_any_grid_equals_plain(spark, left, right, slice_rows, grid):
     r_df = spark.createDataFrame(right, "k string, rv int")
     if not hot:
         return
-    got = split_left_join(l_df, r_df, "k", hot, slice_rows)
+    got = split_left_join(l_df, r_df, "k", hot)
     assert _same(got, l_df.join(r_df, "k", "left"))

@@ -18,9 +18,9 @@ def _optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cartesian_or_python_in_plan(spark, name):
-    plan = _physical(E.queries()[name](spark, SF001))
+    plan = _physical(catalog.queries()[name](spark, SF001))
     assert not [f for f in FORBIDDEN if f in plan]
 
 

@@ -37,7 +37,7 @@ SCRIPT = textwrap.dedent("""
     left = spark.createDataFrame([("h", i %% 3) for i in range(30)] + [("a", 7), (None, 8)], "k string, lv long")
     right = spark.createDataFrame([("h", 1)] * 25 + [("h", 2)] * 5 + [("a", 3), ("b", 4)], "k string, rv long")
     right = right.repartition(4).withColumn("rv", flaky("rv"))
-    got = split_left_join(left, right, "k", [("h", 2, 3)], slice_rows=4)
+    got = split_left_join(left, right, "k", [("h", 2, 3)])
     want = left.join(right, "k", "left")
     a = sorted(map(tuple, got.collect()), key=repr)
     b = sorted(map(tuple, want.collect()), key=repr)

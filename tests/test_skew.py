@@ -22,17 +22,17 @@ def _same(a, b):
 def test_salted_equals_plain_with_exact_copies(spark):
     left, right = _pair(spark)
     plain = left.join(right, "k", "left")
-    salted = split_left_join(left, right, "k", [("h", 1, 7), ("a", 1, 2)], slice_rows=4)
+    salted = split_left_join(left, right, "k", [("h", 1, 7), ("a", 1, 2)])
     assert salted.columns == plain.columns == ["k", "lv", "rv"]
     assert _same(salted, plain)
     assert salted.count() == 3 * 50 + 2 + 1 + 1 + 1
 
 
-def test_hot_keys_are_bounded_and_never_null(spark):
-    _, right = _pair(spark.builder.getOrCreate())
-    hot = hot_keys(right, "k", slice_rows=1, max_hot_keys=2, sample_fraction=1.0)
-    assert len(hot) <= 2 and all(k is not None for k, _ in hot)
-    assert dict(hot)["h"] == 50
+def test_hot_keys_are_those_above_a_slice_and_never_null(spark):
+    _, right = _pair(spark)
+    assert {r.k: r.slices for r in hot_keys(right, "k", slice_rows=1, sample_fraction=1.0).collect()} == {"h": 50, "a": 2}
+    many = spark.range(6000).selectExpr("concat('k', id % 2000) as k")          # no floor on their number
+    assert hot_keys(many, "k", slice_rows=2, sample_fraction=1.0).count() == 2000
 
 
 @pytest.fixture
@@ -46,7 +46,7 @@ def no_broadcast(spark):
 @pytest.mark.parametrize("slice_rows", [1, 3, 1000])
 def test_left_join_matches_plain(spark, no_broadcast, slice_rows):
     left, right = _pair(spark)
-    got = left_join(left, right, "k", slice_rows=slice_rows, max_hot_keys=100, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=slice_rows, sample_fraction=1.0)
     salted = "Generate" in got._jdf.queryExecution().executedPlan().toString()
     assert salted == (slice_rows < 50)          # 'h' has 50 right rows, 3 left rows
     assert _same(got, left.join(right, "k", "left"))
@@ -58,25 +58,23 @@ def test_small_right_side_skips_detection(spark):
     path = scratch_path(spark, "t-small-right")
     right.write.parquet(path)
     right = spark.read.parquet(path)            # a file scan has a size estimate
-    got = left_join(left, right, "k", slice_rows=1, max_hot_keys=100, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=1, sample_fraction=1.0)
     assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
     assert _same(got, left.join(right, "k", "left"))
 
 
 def test_hot_right_rows_are_spread_over_slices(spark):
     left, right = _pair(spark)
-    salted = split_left_join(left, right.repartition(4), "k", [("h", 1, 5)], slice_rows=10)
+    salted = split_left_join(left, right.repartition(4), "k", [("h", 1, 5)])
     assert salted.where(F.col("k") == "h").count() == 150
-    # 40 copies of one row in chunks of <= 10, each chunk in one slice: several slices used
-    from credit_signals.operators import joins as J
     parts = (salted.where(F.col("k") == "h").groupBy("lv", "rv").count().collect())
     assert {(r.lv, r.rv): r["count"] for r in parts}[(1, 10)] == 40
 
 
 def test_copies_are_chunked_deterministically(spark):
     left, right = _pair(spark)
-    a = split_left_join(left, right, "k", [("h", 2, 5)], slice_rows=3)
-    b = split_left_join(left, right.repartition(3), "k", [("h", 2, 5)], slice_rows=3)
+    a = split_left_join(left, right, "k", [("h", 2, 5)])
+    b = split_left_join(left, right.repartition(3), "k", [("h", 2, 5)])
     assert _same(a, b) and _same(a, left.join(right, "k", "left"))
 
 
@@ -96,14 +94,14 @@ def _grid_pair(spark):
 def test_grid_join_equals_plain_on_both_sides(spark, no_broadcast, slice_rows):
     left, right = _grid_pair(spark)
     plain = left.join(right, "k", "left")
-    got = left_join(left, right, "k", slice_rows=slice_rows, max_hot_keys=100, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=slice_rows, sample_fraction=1.0)
     assert got.columns == plain.columns
     assert _same(got, plain)
 
 
 def test_explicit_grid_with_left_only_and_unmatched_hot_keys(spark):
     left, right = _grid_pair(spark)
-    got = split_left_join(left, right, "k", [("L", 3, 1), ("M", 4, 1), ("B", 2, 3), ("R", 1, 4)], slice_rows=3)
+    got = split_left_join(left, right, "k", [("L", 3, 1), ("M", 4, 1), ("B", 2, 3), ("R", 1, 4)])
     plain = left.join(right, "k", "left")
     assert _same(got, plain)
     assert got.where((F.col("k") == "M") & F.col("rv").isNull()).count() == 12
@@ -115,27 +113,60 @@ def test_cold_branch_keeps_bucketed_join(spark, no_broadcast):
     from conftest import SF001
     from credit_signals.sources import fixtures as fx
     a, b = fx.accounts(spark, SF001), fx.bureau(spark, SF001)
-    got = split_left_join(a, b, "account_id", [("A000000001", 2, 2)], slice_rows=1)
+    got = split_left_join(a, b, "account_id", [("A000000001", 2, 2)])
     assert _same(got, a.join(b, "account_id", "left"))
     plan = got._jdf.queryExecution().executedPlan().toString()
-    cold, hot = plan.split("Union", 1)[1].split("+- Project", 1)
-    assert "SortMergeJoin" in cold and "Exchange" not in cold          # co-bucketed, no shuffle
-    assert re.findall(r"Bucketed: (\w+)", cold) == ["true", "true"]
-    assert re.findall(r"Bucketed: (\w+)", hot) == ["false", "false"]  # hot rows read in file splits
+    cold = plan.split("Union", 1)[1].split("hot-rows", 1)[0]
+    assert re.findall(r"Bucketed: (\w+)", cold)[:2] == ["true", "true"]
+    shuffled = [x for x in plan.splitlines() if "Exchange hashpartitioning(account_id" in x]
+    assert "SortMergeJoin" in cold and not shuffled                    # co-bucketed, no shuffle of the cold rows
 
 
 def test_long_keys(spark, no_broadcast):
     left = spark.createDataFrame([(1, "a")] * 5 + [(2, "b"), (None, "n")], "k long, lv string")
     right = spark.createDataFrame([(1, "x")] * 6 + [(3, "y")], "k long, rv string")
-    got = left_join(left, right, "k", slice_rows=2, max_hot_keys=10, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=2, sample_fraction=1.0)
     assert _same(got, left.join(right, "k", "left"))
 
 
-def test_chunk_salts_do_not_depend_on_input_order(spark):
-    from credit_signals.operators.joins import _chunks
-    _, right = _pair(spark)
-    right = right.withColumn("_rs", F.lit(4))
-    a = _chunks(right, "k", "_rs", 7)
-    b = _chunks(right.repartition(5).orderBy(F.rand(3)), "k", "_rs", 7)
-    assert _same(a, b)                      # same (row, slice, copies) whatever the order
-    assert a.agg(F.sum("_rs_copies")).first()[0] == right.count()
+def test_copies_spread_over_the_slices(spark):
+    from credit_signals.operators.joins import _sliced
+    right = spark.createDataFrame([("h", 10)] * 400, "k string, rv int")
+    hot = spark.createDataFrame([("h", 1, 4)], "k string, ls int, rs int")
+    rows = _sliced(right, "k", hot, "rs", True)
+    first = sorted((r.at, r["count"]) for r in rows.groupBy("at").count().collect())
+    assert sum(n for _, n in first) == 400 and len(first) == 4 and min(n for _, n in first) > 60
+    assert first == sorted((r.at, r["count"]) for r in rows.repartition(3).groupBy("at").count().collect())
+
+
+def test_columns_pass_through_as_they_are(spark, no_broadcast):
+    left = spark.createDataFrame([("h", 1, {"a": 1}, -0.0)] * 3 + [("h", 2, {}, 0.0), (None, 3, None, None)],
+                                 "k string, v int, m map<string,int>, z double")
+    right = spark.createDataFrame([("h", 7, 0.5)] * 3 + [("c", 8, None)], "k string, v int, x double")
+    got = left_join(left, right, "k", slice_rows=2, sample_fraction=1.0)
+    plain = left.join(right, "k", "left")
+    assert got.columns == plain.columns == ["k", "v", "m", "z", "v", "x"]                  # equal names stay
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))          # -0.0 and maps too
+    assert repr(got.collect()).count("-0.0") == 9
+
+
+def test_collated_keys(spark, no_broadcast):
+    left = spark.sql("select k collate UTF8_LCASE as k, v from values ('Foo', 1), ('FOO', 2), ('foo', 3), ('bar', 4) t(k, v)")
+    right = spark.sql("select k collate UTF8_LCASE as k, w from values ('fOO', 10), ('FOo', 11), ('Baz', 12) t(k, w)")
+    got = left_join(left, right, "k", slice_rows=1, sample_fraction=1.0)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, left.join(right, "k", "left").collect()), key=repr)
+
+
+def test_fifty_thousand_by_fifty_thousand_copies(spark, no_broadcast):
+    left = spark.range(50_000).select(F.lit("h").alias("k"), F.lit(1).alias("v"))
+    right = spark.range(50_000).select(F.lit("h").alias("k"), F.lit(2).alias("w"))
+    got = left_join(left, right, "k", slice_rows=5_000, sample_fraction=1.0).limit(1_000)
+    assert got.count() == 1_000
+    exact = left_join(left.limit(600), right.limit(700), "k", slice_rows=100, sample_fraction=1.0)
+    assert exact.count() == 420_000
+
+
+def test_null_keys_stay_out_of_the_join(spark, no_broadcast):
+    left, right = _pair(spark)
+    plan = left_join(left, right, "k", slice_rows=1000, sample_fraction=1.0)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "isnull(k" in plan
