@@ -118,11 +118,13 @@ def main(argv: list[str] | None = None) -> int:
     import argparse
     import json
 
-    from credit_signals.session import session
+    from credit_signals.session import session, sizing_conf
     from credit_signals.sources import fixtures
 
     ap = argparse.ArgumentParser(prog="credit_signals.plans.jobs")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--input-gb", type=int, default=None, help="size partitions for this much input ...")
+    ap.add_argument("--cores", type=int, default=None, help="... on this many cores")
     sub = ap.add_subparsers(dest="job", required=True)
     st = sub.add_parser("stage", help="derive accounts and bureau tables from the driver tables")
     st.add_argument("--tables", required=True)
@@ -148,7 +150,8 @@ def main(argv: list[str] | None = None) -> int:
     sm.add_argument("--rows", type=int, default=5)
     args = ap.parse_args(argv)
 
-    spark = session(f"credit-signals-{args.job}", master=args.master)
+    sizes = sizing_conf(args.input_gb << 30, args.cores) if args.input_gb and args.cores else None
+    spark = session(f"credit-signals-{args.job}", master=args.master, extra_conf=sizes)
     if args.job == "stage":
         out = fixtures.stage_inputs(spark, args.tables)
     elif args.job == "features":

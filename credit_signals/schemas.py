@@ -80,9 +80,3 @@ def conform(df: DataFrame, schema: T.StructType, sources: dict[str, str] | None
     if missing:
         raise SchemaMismatch(f"missing column(s) for the target schema: {missing}")
     return df.select(*cols)
-
-
-def require_columns(df: DataFrame, names) -> None:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise SchemaMismatch(f"missing column(s): {missing}")

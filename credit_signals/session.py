@@ -41,8 +41,7 @@ def session(app_name: str = "credit-signals", master: str | None = None,
     return spark
 
 
-def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
-                max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of Parquet.
 
     Scan splits of 512 MB keep the task count near input / 512 MB (200k tasks
@@ -51,7 +50,7 @@ def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     execution then coalesces small ones to the advisory size and splits skewed
     ones, so every partition fits in executor memory with room to spill.
     """
-    shuffle = max(2 * total_cores, min(max_shuffle_partitions, -(-input_bytes // target_partition_bytes)))
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(512 << 20),
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -2,7 +2,6 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF001
 from credit_signals.plans import catalog as C
 
@@ -18,9 +17,9 @@ def _optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(catalog.queries()))
+@pytest.mark.parametrize("name", sorted(C.queries()))
 def test_no_cartesian_or_python_in_plan(spark, name):
-    plan = _physical(catalog.queries()[name](spark, SF001))
+    plan = _physical(C.queries()[name](spark, SF001))
     assert not [f for f in FORBIDDEN if f in plan]
 
 

@@ -87,7 +87,7 @@ def test_score_accounts_takes_weights_or_model(spark):
 def test_sizing_conf_bounds():
     from credit_signals.session import sizing_conf
     big = sizing_conf(100 << 40, 8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600        # 256 MB each, no cap
     small = sizing_conf(1 << 20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
 
