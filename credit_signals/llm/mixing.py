@@ -13,12 +13,13 @@ round below the shared folder.
 """
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import free_name, materialise, ship, utf8
 
+CELLS_PER_TASK = 100_000
 DIMENSIONS = ("source", "lang", "topic")
 _FORM = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("topic", T.StringType())])
 _SIGNS, _CAPITALS = b"#*$%&|<>{}=", bytes(range(65, 91))
@@ -78,25 +79,23 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: i
     ``tolerance`` of itself, or after ``rounds``; where the caps do not allow the
     targets, the last round is the answer.
     """
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    total, n = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.count(F.lit(1))).first()
+    parts = 1 + n // CELLS_PER_TASK              # a small table is raked without an exchange
     most = F.col("tokens") / F.lit(keep)
-    at = cells.withColumn("weight", F.col("tokens").cast("double"))
-    targets = {d: materialise(t.withColumn("want", F.col("share") * F.lit(float(total))).select("level", "want"), "targets")
+    at = cells.coalesce(parts).withColumn("weight", F.col("tokens").cast("double"))
+    targets = {d: materialise(t.coalesce(parts).withColumn("want", F.col("share") * F.lit(float(total))).select("level", "want"), "targets")
                for d, t in targets.items()}
     for _ in range(rounds if total else 0):
         at = at.withColumn("before", F.col("weight"))
-        for last, (d, target) in enumerate(targets.items(), 1 - len(targets)):
+        for d, target in targets.items():
             factor = at.groupBy(F.col(d).alias("level")).agg(F.sum("weight").alias("has")).join(target, "level") \
                 .select(F.col("level").alias(d), F.when(F.col("has") > 0, F.col("want") / F.col("has")).otherwise(0.0).alias("factor"))
             at = at.join(factor, d, "left").withColumn(
                 "weight", F.least(F.col("weight") * F.coalesce("factor", F.lit(0.0)), most)).drop("factor")
-            if not last:                         # measured while the round's last step is written
-                change = Observation()
-                at = at.observe(change, F.max(F.when(F.col("before") > 0, F.abs(F.col("weight") / F.col("before") - 1)))
-                                .alias("most"))
-            at = materialise(at, "cells")
+            at = materialise(at.coalesce(parts), "cells").coalesce(parts)
+        change = at.agg(F.max(F.when(F.col("before") > 0, F.abs(F.col("weight") / F.col("before") - 1)))).first()[0]
         at = at.drop("before")
-        if (change.get["most"] or 0.0) <= tolerance:
+        if (change or 0.0) <= tolerance:
             break
     return at.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") / most))
                          .otherwise(F.lit(keep)))
