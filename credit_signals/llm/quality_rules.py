@@ -28,7 +28,7 @@ class RepetitionLimits:
 
     min_words: int = 20
     max_repeat_words_pct: int = 30
-    max_ngram_share: tuple[float, ...] = (0.30, 0.26, 0.24)     # for LENGTHS
+    max_ngram_share: tuple[float, ...] = (0.35, 0.32, 0.32)     # for LENGTHS
     max_line_share: float = 0.30
     max_symbols_per_word: float = 0.3
 
