@@ -159,3 +159,9 @@ def test_stream_reads_64_bit_files(spark):
     bureau = fx.stage_inputs(spark, "/root/testdata/sf0.001")["bureau"]
     start_feature_stream(spark, src, bureau, out).awaitTermination()
     assert RD.read_features(spark, out).count() == 150
+
+
+def test_entry_registers_the_catalogue(spark):
+    import __spark_entry__ as E
+    from credit_signals.plans import catalog
+    assert set(catalog.queries()) <= set(E.queries()) and set(catalog.oracle_sql()) <= set(E.oracle_sql())

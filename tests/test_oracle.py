@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as E
 from compare import compare
 from conftest import SF001
+from credit_signals.plans import catalog
 
-SQL = E.oracle_sql()
-ALL = E.queries()
+SQL = catalog.oracle_sql()
+ALL = catalog.queries()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
