@@ -8,7 +8,7 @@ The template is ``<turn>ROLE<text>TEXT</turn>`` per turn, one per line.  Control
 strings inside roles and texts are escaped: a backslash is doubled, and one is
 put after the ``<`` of a control string, so none of the three can occur in
 them.  The control strings are tokens of their own, therefore no token crosses
-the edge of a text, and a conversation that is longer than ``SEGMENT`` characters
+the edge of a text, and a conversation that is longer than ``segment_chars`` characters
 may be cut after any ``</turn>`` without changing a token.
 """
 
@@ -141,14 +141,14 @@ def _in_order(turns: DataFrame, id_col: str, turn_col: str, role_col: str, text_
 
 
 def format_digests(turns: DataFrame, tokenizer_path: str, id_col: str = "conv_id", turn_col: str = "turn",
-                   role_col: str = "role", text_col: str = "text") -> DataFrame:
+                   role_col: str = "role", text_col: str = "text", segment_chars: int = SEGMENT) -> DataFrame:
     """One row per conversation, read back from its formatted and masked output.
 
     Rows of a conversation are ordered by turn (null first), then role and text;
     repeated rows count as often as they occur.  Null roles and texts count as
     empty, rows with a null id form one conversation.  A conversation streams
     through one task in segments, because its digest needs its order; memory is
-    bounded by ``SEGMENT`` and the longest turn.  An empty table gives an empty
+    bounded by ``segment_chars`` and the longest turn.  An empty table gives an empty
     result; other columns of ``turns`` play no part.
     """
     rows = _in_order(turns, id_col, turn_col, role_col, text_col)
@@ -168,7 +168,7 @@ def format_digests(turns: DataFrame, tokenizer_path: str, id_col: str = "conv_id
                         now.add(held, tokenizer)
                         out.append(now.row())
                     now, held, size = _Digest(conv_id), [], 0
-                elif size >= SEGMENT:
+                elif size >= segment_chars:
                     now.add(held, tokenizer)
                     held, size = [], 0
                 held.append((role, text))
@@ -184,7 +184,7 @@ def format_digests(turns: DataFrame, tokenizer_path: str, id_col: str = "conv_id
 
 
 def format_segments(turns: DataFrame, tokenizer_path: str, id_col: str = "conv_id", turn_col: str = "turn",
-                    role_col: str = "role", text_col: str = "text") -> DataFrame:
+                    role_col: str = "role", text_col: str = "text", segment_chars: int = SEGMENT) -> DataFrame:
     """The training rows themselves: (id, segment, formatted, ids, mask), segments of whole turns in order.
 
     The concatenation of a conversation's segments is its formatted text and its
@@ -212,7 +212,7 @@ def format_segments(turns: DataFrame, tokenizer_path: str, id_col: str = "conv_i
         now, segment, held, size = None, 0, [], 0
         for batch in batches:
             for conv_id, role, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (now != conv_id or size >= SEGMENT):
+                if held and (now != conv_id or size >= segment_chars):
                     yield one(now, segment, held)
                     segment, held, size = (segment + 1 if now == conv_id else 0), [], 0
                 now = conv_id

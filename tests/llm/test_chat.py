@@ -62,15 +62,14 @@ def brute(rows):
 
 
 @pytest.mark.parametrize("segment", [1, 1 << 20])
-def test_rows(spark, monkeypatch, segment):
-    monkeypatch.setattr(chat, "SEGMENT", segment)            # cutting a conversation changes nothing
-    got = chat.format_digests(conversations(spark), PATH).drop("n_tokens", "loss_tokens")
+def test_rows(spark, segment):               # cutting a conversation changes nothing
+    got = chat.format_digests(conversations(spark), PATH, segment_chars=segment).drop("n_tokens", "loss_tokens")
     assert Counter(tuple(r) for r in got.collect()) == brute(ROWS)
 
 
 def test_segments_join_to_the_whole(spark):
     tokenizer = chat.chat_tokenizer(MODEL)
-    rows = chat.format_segments(conversations(spark), PATH).orderBy("conv_id", "segment").collect()
+    rows = chat.format_segments(conversations(spark), PATH, segment_chars=500).orderBy("conv_id", "segment").collect()
     five = [r for r in rows if r.conv_id == 5]
     whole, _ = chat.render([(r, t) for _, _, r, t in ROWS[-400:]])
     assert "".join(r.formatted for r in five) == whole
