@@ -53,7 +53,8 @@ def tempered(cells: DataFrame, dimension: str, alpha: float) -> DataFrame:
     """(level, share): shares in proportion to the token share to the power ``alpha`` (1: as it is, 0: equal)."""
     levels = cells.groupBy(F.col(dimension).alias("level")).agg(F.sum("tokens").alias("t")).where("t > 0") \
         .select("level", F.pow(F.col("t").cast("double"), F.lit(alpha)).alias("p"))
-    return levels.crossJoin(F.broadcast(levels.agg(F.sum("p").alias("all")))).select("level", (F.col("p") / F.col("all")).alias("share"))
+    every = levels.agg(F.sum("p")).first()[0] or 1.0
+    return levels.select("level", (F.col("p") / F.lit(every)).alias("share"))
 
 
 def given(cells: DataFrame, dimension: str, shares: dict[str, float]) -> DataFrame:
@@ -62,12 +63,11 @@ def given(cells: DataFrame, dimension: str, shares: dict[str, float]) -> DataFra
     named = spark.createDataFrame([(k, float(v)) for k, v in shares.items()], "level string, named double")
     levels = cells.groupBy(F.col(dimension).alias("level")).agg(F.sum("tokens").alias("t")).where("t > 0") \
         .join(named, "level", "left")
-    sums = levels.agg(F.sum(F.when(F.col("named").isNull(), F.col("t"))).alias("rest"), F.sum("named").alias("got"))
-    left = max(0.0, 1.0 - sum(shares.values()))
-    share = F.coalesce("named", F.lit(left) * F.col("t") / F.col("rest"))
-    out = levels.crossJoin(F.broadcast(sums)).select("level", share.alias("share"))
-    return out.crossJoin(F.broadcast(out.agg(F.sum("share").alias("all")))) \
-        .select("level", F.when(F.col("all") > 0, F.col("share") / F.col("all")).otherwise(0.0).alias("share"))
+    rest, got = levels.agg(F.sum(F.when(F.col("named").isNull(), F.col("t"))), F.sum("named")).first()
+    left = max(0.0, 1.0 - sum(shares.values())) if rest else 0.0
+    every = (left + (got or 0.0)) or 1.0
+    share = F.coalesce("named", F.lit(left) * F.col("t") / F.lit(float(rest or 1)))
+    return levels.select("level", (share / F.lit(every)).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: int = 8,

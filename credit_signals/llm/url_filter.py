@@ -42,15 +42,15 @@ def _decide(urls: DataFrame, rules: DataFrame) -> DataFrame:
     known = rules.select(F.lower("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict") \
         .withColumn("digest", _digest(F.col("rule_host"), F.col("rule_path"))) \
         .withColumn("short", F.substring("digest", 1, HASH_PREFIX))
-    # the lengths of rule paths, as one row: no more of them than the longest rule path has characters
-    lengths = known.agg(F.array_distinct(F.collect_set(F.char_length("rule_path"))).alias("lengths"))
+    # the lengths of rule paths: no more of them than the longest rule path has characters
+    found = known.select(F.char_length("rule_path").alias("n")).where("n is not null").distinct().collect()
+    lengths = F.array(*[F.lit(r.n) for r in found]).cast("array<int>")
     labels = F.split("host", r"\.", -1)
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
         F.slice(labels, i, F.size(labels)), "."))
-    prefixes = F.transform(F.filter("lengths", lambda n: n <= F.char_length("path")),
+    prefixes = F.transform(F.filter(lengths, lambda n: n <= F.char_length("path")),
                            lambda n: F.substring(F.col("path"), F.lit(1), n))
-    asked = urls.crossJoin(F.broadcast(lengths)) \
-        .select("host", "path", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes")) \
+    asked = urls.select("host", "path", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes")) \
         .select("host", "path", "suffix", F.explode("prefixes").alias("prefix")) \
         .withColumn("asked", _digest(F.col("suffix"), F.col("prefix"))) \
         .select("host", "path", "asked", F.substring("asked", 1, HASH_PREFIX).alias("short"))
