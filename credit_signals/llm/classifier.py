@@ -190,9 +190,8 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     def scores(texts: pa.Array, *meta: pa.Array) -> pa.Array:
         out = []
         columns = [c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in meta]
-        raw = utf8(texts)
-        for at in range(0, len(raw), 256):       # bounded memory for long texts
-            rows = [features(b) for b in raw[at:at + 256]]
+        for at in range(0, len(texts), 256):     # bounded memory for long texts
+            rows = [features(b) for b in utf8(texts.slice(at, 256))]
             side = [[c[at + i] for c in columns] for i in range(len(rows))]
             out.append(model.value.score([r[0] for r in rows], [r[1] for r in rows], _dense([r[2] for r in rows], side)))
         return pa.array(np.round(np.concatenate(out), 6) if out else [], pa.float64())

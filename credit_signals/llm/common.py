@@ -3,6 +3,7 @@
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,9 +39,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def utf8(texts: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of a string array; null counts as empty."""
-    return [b if b is not None else b"" for b in texts.cast(pa.binary()).to_pylist()]
+def utf8(texts: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of a string array, a few rows at a time; null counts as empty."""
+    for at in range(0, len(texts), 64):
+        for value in texts.slice(at, 64).cast(pa.binary()).to_pylist():
+            yield value if value is not None else b""
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

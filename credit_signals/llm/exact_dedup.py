@@ -130,20 +130,22 @@ def _routing_bitmap(repeated: DataFrame, bits: int) -> bytes:
 
 def _verified_groups(docs: DataFrame, id_col: str, text_col: str, bitmap: bytes, bits: int) -> DataFrame:
     """Groups of byte-equal normalised texts among the rows that the bitmap lets through."""
-    held, mask = docs.sparkSession.sparkContext.broadcast(bitmap), np.uint64((1 << bits) - 1)
+    held, mask = docs.sparkSession.sparkContext.broadcast(bitmap), (1 << bits) - 1
     kind = docs.schema[id_col].dataType
 
     def route(batches):
         flags = np.unpackbits(np.frombuffer(held.value, np.uint8))
         for batch in batches:
-            raw = utf8(batch.column(1))
-            norm = [_normalised(b) for b in raw]
-            fps = np.fromiter((xxhash.xxh3_64_intdigest(n) for n in norm), np.uint64, len(norm))
-            keep = np.flatnonzero(flags[fps & mask])
+            keep, points, norms = [], [], []
+            for i, raw in enumerate(utf8(batch.column(1))):
+                norm = _normalised(raw)
+                if flags[xxhash.xxh3_64_intdigest(norm) & mask]:
+                    keep.append(i)
+                    points.append(len(raw.decode("utf-8", "replace")))
+                    norms.append(norm)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep)),
-                 pa.array([len(raw[i].decode("utf-8", "replace")) for i in keep], pa.int64()),
-                 pa.array([norm[i] for i in keep], pa.binary())], names=["id", "points", "norm"])
+                [batch.column(0).take(pa.array(keep, pa.int64())), pa.array(points, pa.int64()),
+                 pa.array(norms, pa.binary())], names=["id", "points", "norm"])
 
     schema = T.StructType([T.StructField("id", kind), T.StructField("points", T.LongType()),
                            T.StructField("norm", T.BinaryType())])

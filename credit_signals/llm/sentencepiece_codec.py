@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 from .common import free_name, ship, utf8
 
 SPACE = "▁"
-CACHED_UNITS = 400_000           # per generation; two generations are kept
-CACHED_PAIRS = 1 << 20
+CACHED_UNITS = 60_000            # per generation; two generations are kept
+CACHED_PAIRS = 400_000
 LONGEST_CACHED = 64
 
 
