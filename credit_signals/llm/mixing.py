@@ -3,15 +3,18 @@
 Documents fall into cells (source, language, topic).  The cells' token weights
 are raked: scaled to the target share of every source, then of every language,
 then of every topic, again and again until all three marginals hold.  A cell
-never gets more weight than its documents can give (probability one).  Then
-each document is drawn with its cell's probability, by a hash of its id, so a
-second run draws the same documents.
+never gets more weight than its documents can give (probability one), so the
+share of tokens to draw is lowered until the targets can be met.  Then each
+document is drawn with its cell's probability, by a hash of its id, so a second
+run draws the same documents.
 
 Cells are summed map-side; a source with a third of all rows is one row per
 cell and task.  All raking steps run on the cell table, which is written once a
 round below the shared folder.
 """
 
+import warnings
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +23,8 @@ from pyspark.sql import types as T
 from .common import free_name, materialise, ship, utf8
 
 CELLS_PER_TASK = 100_000
+SHORTFALL = 0.01                 # of a level's target share that may be missing
+TRIES = 8                        # rakings, each with a lower share to draw, to meet the targets
 DIMENSIONS = ("source", "lang", "topic")
 _FORM = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("topic", T.StringType())])
 _SIGNS, _CAPITALS = b"#*$%&|<>{}=", bytes(range(65, 91))
@@ -117,12 +122,66 @@ def _measured(docs: DataFrame, text_col: str, topic_col: str | None) -> tuple[Da
                                          topic.alias("topic"), F.col(f"{m}.n_tokens").alias("n_tokens"))), m
 
 
+def reached(cells: DataFrame, targets: dict[str, DataFrame], weight: str = "weight") -> DataFrame:
+    """(dimension, level, target, reached): the share of all tokens that a level should have and has in ``weight``."""
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
+    out = None
+    for d, target in targets.items():
+        has = cells.groupBy(F.col(d).alias("level")).agg((F.sum(weight) / F.lit(total)).alias("reached"))
+        rows = target.join(has, "level").select(F.lit(d).alias("dimension"), "level", F.col("share").alias("target"), "reached")
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+def _worst(shares: DataFrame) -> float:
+    """The least reached part of a target."""
+    least = shares.where("target > 0").agg(F.min(F.col("reached") / F.col("target"))).first()[0]
+    return 1.0 if least is None else least
+
+
+def fit(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: int = 8) -> tuple[DataFrame, DataFrame, float]:
+    """(raked cells, ``reached`` shares, share to draw): the largest share found, at most ``keep``, that meets the targets.
+
+    No level can give more than all its tokens, which bounds the share; from there it is lowered by what the worst
+    level misses.  Targets that contradict each other are not met by drawing less: then the bound stays, with a warning.
+    """
+    targets = {d: materialise(t, "targets") for d, t in targets.items()}
+    keep = bound = min(keep, keep if not cells.head(1) else _worst(reached(cells, targets, "tokens")))
+    first = None
+    for _ in range(TRIES):
+        raked = rake(cells, targets, keep, rounds)
+        shares = materialise(reached(raked, targets), "shares")
+        worst = _worst(shares)
+        if worst >= 1 - SHORTFALL:
+            return raked, shares, keep
+        if first and worst < last + SHORTFALL / 10:              # drawing less does not help
+            break
+        first, last = first or (raked, shares, worst), worst
+        keep *= max(worst, 0.5)
+    warnings.warn(f"mixing: the targets cannot be met; the worst level reaches {first[2]:.3f} of its share", stacklevel=2)
+    return first[0], first[1], bound
+
+
+def _fitted(measured: DataFrame, targets: dict[str, dict[str, float]] | None, alpha: float, keep: float,
+            rounds: int) -> tuple[DataFrame, DataFrame, float]:
+    cells = materialise(measured.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    wanted = {d: given(cells, d, targets[d]) if targets and d in targets else tempered(cells, d, alpha) for d in DIMENSIONS}
+    return fit(cells, wanted, keep, rounds)
+
+
 def fitted_cells(measured: DataFrame, targets: dict[str, dict[str, float]] | None, alpha: float, keep: float,
                  rounds: int) -> DataFrame:
     """The raked cells of rows with the three dimensions and n_tokens."""
-    cells = materialise(measured.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
-    wanted = {d: given(cells, d, targets[d]) if targets and d in targets else tempered(cells, d, alpha) for d in DIMENSIONS}
-    return rake(cells, wanted, keep, rounds)
+    return _fitted(measured, targets, alpha, keep, rounds)[0]
+
+
+def shares(docs: DataFrame, text_col: str = "text", topic_col: str | None = None,
+           targets: dict[str, dict[str, float]] | None = None, alpha: float = 0.8, keep: float = 0.75,
+           rounds: int = 8) -> DataFrame:
+    """(dimension, level, target, reached, keep): what ``mix`` aims at, what its weights reach, and the share it draws."""
+    shaped, m = _measured(docs, text_col, topic_col)
+    _, rows, drawn = _fitted(shaped.select(f"{m}.*"), targets, alpha, keep, rounds)
+    return rows.withColumn("keep", F.lit(drawn))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None,
@@ -130,10 +189,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic_c
         rounds: int = 8, seed: int = 42) -> DataFrame:
     """One row per input row: id, source, lang, topic, n_tokens, probability, selected.
 
-    ``keep`` is the share of all tokens to draw; dimensions without given
-    ``targets`` are tempered by ``alpha``.  Null sources, languages and topics
+    ``keep`` is the share of all tokens to draw at most: where a level must be
+    raised beyond its tokens, less is drawn so that the targets hold (``shares``
+    tells both).  Dimensions without given ``targets`` are tempered by
+    ``alpha``.  Null sources, languages and topics
     are the level ''.  Empty texts have no tokens: they weigh nothing and are
-    drawn with probability ``keep`` if their whole cell is empty.  Repeated rows
+    drawn with the probability ``keep`` used if their whole cell is empty.  Repeated rows
     share their draw; null ids are drawn by text.  An empty table gives an empty
     result; other columns of ``docs`` play no part.
     """

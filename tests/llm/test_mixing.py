@@ -96,3 +96,30 @@ def test_empty_table_and_topic_column(spark):
     assert mixing.mix(empty).count() == 0 and mixing.sample(empty).count() == 0
     docs = documents(spark)
     assert {r.topic for r in mixing.mix(docs, topic_col="lang").collect()} == {"en", ""}
+
+
+def test_marginals_hold_with_the_registered_parameters(spark):
+    from credit_signals.llm.queries import QUERIES
+    rows = QUERIES["op4_source_mixing"](spark, "/root/testdata/sf0.01").collect()
+    total = sum(r.n_tokens for r in rows)
+    for d in mixing.DIMENSIONS:
+        has, drawn = defaultdict(int), defaultdict(float)
+        for r in rows:
+            has[r[d]] += r.n_tokens
+            drawn[r[d]] += r.n_tokens * r.probability
+        powers = {k: v ** 0.8 for k, v in has.items() if v}
+        for k, p in powers.items():
+            assert drawn[k] / sum(drawn.values()) == pytest.approx(p / sum(powers.values()), rel=0.02)
+    drawn = sum(r.n_tokens * r.probability for r in rows) / total
+    assert 0.5 < drawn <= 0.75
+
+
+def test_shares_tell_target_and_reached(spark):
+    docs = documents(spark, [(i, f"some words of document number {i}") for i in range(200)])
+    rows = mixing.shares(docs, targets={"source": {"s0": 0.8}}).collect()
+    by = {(r.dimension, r.level): r for r in rows}
+    assert by["source", "s0"].target == pytest.approx(0.8) and by["source", "s0"].reached == pytest.approx(0.8, rel=0.01)
+    assert 0.4 < by["source", "s0"].keep < 0.75
+    with pytest.warns(UserWarning, match="cannot be met"):       # topics are fixed by the language column
+        rows = mixing.shares(docs, topic_col="lang", targets={"lang": {"en": 0.9}, "topic": {"en": 0.1}}).collect()
+    assert any(r.reached < 0.9 * r.target for r in rows)
