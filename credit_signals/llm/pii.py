@@ -100,19 +100,41 @@ _LOOKALIKES = {
 }
 _DIGIT_WORDS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
                 "seven": "7", "eight": "8", "nine": "9"}
-_ENDINGS = ("com org net edu gov mil int info biz io ai app dev me co uk de fr es it nl be ch at eu us ca au jp cn in "
-            "br mx ru pl se no dk fi pt ie nz za example test").split()
+# fixed values: endings of addresses that a spelled "dot" may stand before, besides any two letters and "xn--"
+_ENDINGS = ("com org net edu gov mil int arpa info biz name pro aero coop museum jobs mobi travel tel cat asia post xxx app dev "
+            "page online site website web store shop xyz top club vip win work works live life news blog wiki cloud tech technology "
+            "digital software systems solutions services service support agency company group global international world "
+            "network email mail host hosting space icu fun link click email media studio design art photo photos photography "
+            "gallery pictures video film music radio audio academy school college university education training science "
+            "health healthcare clinic doctor dental hospital care fitness law legal lawyer attorney consulting finance financial "
+            "bank money fund capital insurance credit loans tax accountant estate properties property house homes realty rent "
+            "city town london berlin paris tokyo nyc africa istanbul moscow wien hamburg koeln bayern madrid amsterdam swiss "
+            "ltd llc inc gmbh limited partners ventures holdings enterprises industries engineering energy solar green eco bio "
+            "farm garden food restaurant bar pub cafe coffee pizza wine beer kitchen catering recipes fashion clothing shoes "
+            "jewelry beauty hair boutique market marketing sale deals discount bargains gift gifts auction toys games game play "
+            "casino bet poker sport sports football golf tennis run bike cars car auto autos taxi limo flights holiday "
+            "vacations tours voyage cruises hotel camp church faith charity foundation ngo ong social community chat forum "
+            "dating love family baby kids pet dog horse zone center institute expert guru ninja rocks cool "
+            "today press report review reviews directory guide tips how plus pink red blue black gold one earth land sh "
+            "events tickets party wedding cards express delivery supply supplies parts tools equipment construction builders "
+            "contractors plumbing repair cleaning security protection computer codes data domains graphics ink mba "
+            "example test invalid localhost local onion").split()
 _WORD = "|".join(_DIGIT_WORDS)
-_SPELLED = re.compile(rf"(?<![A-Za-z])(?:plus[\s-]+(?=(?:{_WORD})\b))?(?:{_WORD})(?:[\s,-]+(?:{_WORD}))+(?![A-Za-z])", re.I)
-_SPELLED_PART = re.compile(rf"plus|{_WORD}", re.I)
+_PART = rf"(?:{_WORD}|[0-9]++)(?![A-Za-z0-9])"
+# two digit words or more, or one beside digits
+_SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\s-]+(?=(?:{_WORD}|[0-9])))?{_PART}(?:[\s,-]++{_PART})+", re.I)
+_SPELLED_PART = re.compile(rf"plus|{_WORD}|[0-9]+", re.I)
+_TLD = rf"(?:{'|'.join(sorted(set(_ENDINGS), key=len, reverse=True))}|[a-z][a-z]|xn--[a-z0-9-]+)(?![A-Za-z0-9])"
+_JOINED = re.compile(r"[A-Za-z0-9._%+-]+")
+_ENDING = re.compile(_TLD, re.I)
 _AT_BOX = re.compile(r"[(\[{<][ \t]*(?:at|@)[ \t]*[)\]}>]", re.I)
 _DOT_BOX = re.compile(r"[(\[{<][ \t]*(?:dot|\.)[ \t]*[)\]}>]", re.I)
 _DOT_NUMBER = re.compile(r"(?<=[0-9])[ \t]+dot[ \t]+(?=[0-9])", re.I)
 _NAME, _LABEL = r"[A-Za-z0-9_%+-]+", r"[A-Za-z0-9-]+"
 _DOT = r"(?:\.|[ \t]+dot[ \t]+)"
 # spelled without brackets, "at" counts only before a spelled "dot" and a known ending
-_AT_WORDS = re.compile(rf"(?<=[A-Za-z0-9%+_-])[ \t]+at[ \t]+(?={_LABEL}(?:{_DOT}{_LABEL})*[ \t]+dot[ \t]+(?:{'|'.join(_ENDINGS)})\b)", re.I)
-_DOT_WORDS = re.compile(rf"@{_LABEL}(?:{_DOT}{_LABEL})*[ \t]+dot[ \t]+(?:{'|'.join(_ENDINGS)})\b", re.I)
+_AT_WORDS = re.compile(rf"(?<=[A-Za-z0-9%+_-])[ \t]+at[ \t]+(?={_LABEL}(?:{_DOT}{_LABEL})*[ \t]+dot[ \t]+{_TLD})", re.I)
+_DOT_WORDS = re.compile(rf"@{_LABEL}(?:{_DOT}{_LABEL})*[ \t]+dot[ \t]+{_TLD}", re.I)
 _DOT_BEFORE_AT = re.compile(rf"@{_NAME}(?:[ \t]+tod[ \t]+{_NAME})+", re.I)      # read from right to left
 _DOT_WORD = re.compile(r"(?<![ \t])[ \t]+dot[ \t]+", re.I)
 _BOX = re.compile(r"[(\[{<][ \t]*(?:at[ \t]*[)\]}>]|[@.])")
@@ -191,13 +213,39 @@ class Mapped:
 def _spelled_digits(mapped: Mapped) -> None:
     edits = []
     for run in _SPELLED.finditer(mapped.text):
-        words = list(_SPELLED_PART.finditer(mapped.text, run.start(), run.end()))
-        for i, w in enumerate(words):            # a word takes the separator after it along
-            past = words[i + 1].start() if i + 1 < len(words) else w.end()
-            edits.append((w.start(), past, _DIGIT_WORDS.get(w[0].lower(), "+")))
+        parts = list(_SPELLED_PART.finditer(mapped.text, run.start(), run.end()))
+        for i, w in enumerate(parts):            # a word takes the separators beside it along
+            after = parts[i + 1] if i + 1 < len(parts) else None
+            past = after.start() if after else w.end()
+            if not w[0].isdigit():
+                edits.append((w.start(), past, _DIGIT_WORDS.get(w[0].lower(), "+")))
+            elif after and not after[0].isdigit():
+                edits.append((w.end(), past, ""))
     mapped.rewrite(edits)
 
 
+def _joined_addresses(mapped: Mapped) -> None:
+    """Addresses spelled in one word: name_at_host_dot_com, name-at-host-dot-com."""
+    edits = []
+    for word in _JOINED.finditer(mapped.text):
+        if "dot" not in word[0].lower():
+            continue
+        for mark in "_-":
+            parts = word[0].lower().split(mark)
+            ats = [i for i, p in enumerate(parts) if p == "at"]
+            dots = [i for i, p in enumerate(parts) if p == "dot"]
+            if not ats or not dots or ats[-1] == 0 or dots[-1] < ats[-1] + 2 or dots[-1] + 2 != len(parts) \
+                    or not _ENDING.fullmatch(parts[-1].rstrip(".")):
+                continue
+            at = word.start()
+            for i, p in enumerate(parts):        # the separators on either side go with "at" and "dot"
+                if i == ats[-1] or i in dots and i and i + 1 < len(parts):
+                    edits.append((at - 1, at + len(p) + 1, "@" if p == "at" else "."))
+                at += len(p) + 1
+            break
+    mapped.rewrite([e for i, e in enumerate(edits) if not i or e[0] >= edits[i - 1][1]])
+
+
 def normalise(text: str) -> Mapped | None:
     """The normalised text with its source spans; None if nothing in ``text`` is disguised."""
     table, odd = _characters()
@@ -212,6 +260,7 @@ def normalise(text: str) -> Mapped | None:
     mapped.each(_AT_BOX, "@", blanks=True)
     mapped.each(_DOT_BOX, ".", blanks=True)
     mapped.each(_DOT_NUMBER, ".")
+    _joined_addresses(mapped)
     mapped.each(_AT_WORDS, "@")
     mapped.inside([m.span() for m in _DOT_WORDS.finditer(mapped.text)], _DOT_WORD, ".")
     n, reverse = len(mapped.text), mapped.text[::-1]
@@ -234,8 +283,10 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
         start, end = mapped.start[a], mapped.end[z - 1]
         source = text[start:end]
         met = [(s, e) for s, k, e in base if k == kind and s < end and start < e]
+        beyond = text[start:min(s for s, _ in met)] + " " + text[max(e for _, e in met):end] if met else ""
         if source != mapped.text[a:z] and not (met and (
                 any(s <= start and end <= e for s, e in met)
+                or beyond.strip(" ,-\t\r\n").lower() in _DIGIT_WORDS              # "+1 212 555 0153, one of us"
                 or any(unicodedata.category(c) in ("Pd", "Zs") and not c.isascii() for c in source))):
             added.add((start, kind, end))
     return base, sorted(added)

@@ -98,3 +98,21 @@ def test_rows(spark):
     assert clean[30] == "mail <email> and <ip>, <phone> or <card>" and clean[5] is None
     empty = spark.createDataFrame([], SCHEMA)
     assert pii.spans(empty).count() == 0 and pii.redact(empty).columns == empty.columns
+
+
+@pytest.mark.parametrize("text, kind, want", [
+    ("anna at firma dot cz", "email", None), ("anna at firma dot kr", "email", None), ("anna at firma dot online", "email", None),
+    ("anna at firma dot xyz", "email", None), ("write ann_at_mail_dot_com now", "email", "ann_at_mail_dot_com"),
+    ("ann-lee-at-my-host-dot-co-dot-uk", "email", None), ("ann_dot_lee_at_mail_dot_com", "email", None),
+    ("4 one 1 one 1111 1111 1111", "card", None), ("4111 one111 1111", "card", ""), ("411 one 1111 1111 1111", "card", None),
+    ("+1 two 12 five 55 zero 153", "phone", None), ("plus 1 212 555 zero 153", "phone", None),
+    ("call +1 212 555 0153, one of us", "phone", ""), ("look_at_me dot dot", "email", ""), ("12 one 3", "card", ""),
+])
+def test_common_disguises(text, kind, want):
+    want = [(kind, text if want is None else want)] if want != "" else []
+    assert [(pii.KINDS[k], text[a:z]) for a, k, z in pii.find(text)[1]] == want
+
+
+def test_joined_and_mixed_long_texts_are_read_in_linear_time():
+    for text in ("a_dot_" * 40_000, "a-at-b-dot-" * 20_000, "1 one " * 40_000, "1" * 200_000 + " one", "1 " * 100_000 + "one"):
+        pii.find(text)
