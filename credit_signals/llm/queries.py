@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, classifier, exact_dedup, html_extract, mixing, pii, quality_rules, sentencepiece_codec, simhash,
+from . import (bpe_automaton, chat, classifier, exact_dedup, html_extract, mixing, pii, quality_rules, sentencepiece_codec, simhash,
                url_filter)
 
 
@@ -70,9 +70,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         .drop("n_tokens", "loss_tokens")
 
 
+def op11_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_simhash, op4_source_mixing, op5_quality_classifier,
                                    op6_sentencepiece, op7_html_extraction, op8_pii, op9_url_filters,
-                                   op10_chat_formatting)}
+                                   op10_chat_formatting, op11_bpe_automaton)}
 
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
