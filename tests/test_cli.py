@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import SF001
+from paths import SF001
 from credit_signals.plans import jobs
 from credit_signals.session import scratch_path
 from credit_signals.sources import fixtures as fx

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01
+from paths import SF001, SF01
 from credit_signals.plans import catalog as C
 from credit_signals.sources import fixtures as fx
 from credit_signals.operators.features import engineer_features, join_accounts_bureau

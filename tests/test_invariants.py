@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from credit_signals.operators import features as FT
 from credit_signals.operators import model as M
 from credit_signals.sources import fixtures as fx

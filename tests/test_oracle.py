@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare
-from conftest import SF001
+from paths import SF001
 from credit_signals.plans import catalog
 
 SQL = catalog.oracle_sql()
@@ -41,11 +41,11 @@ AT_DRIVER_SCALE = ("feature_summary", "join_fanout", "join_null_keys", "high_ris
 @pytest.fixture(scope="module")
 def duck01():
     from compare import duck
-    from conftest import SF01
+    from paths import SF01
     return duck(SF01)
 
 
 @pytest.mark.parametrize("name", AT_DRIVER_SCALE)
 def test_query_matches_oracle_at_driver_scale(spark, duck01, name):
-    from conftest import SF01
+    from paths import SF01
     assert compare(ALL[name](spark, SF01), duck01, SQL[name]) is None

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF001
+from paths import SF001
 from credit_signals.plans import catalog as C
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",

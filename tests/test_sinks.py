@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from credit_signals import schemas
 from credit_signals.operators import features as FT
 from credit_signals.plans import catalog as C

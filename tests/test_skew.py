@@ -110,7 +110,7 @@ def test_explicit_grid_with_left_only_and_unmatched_hot_keys(spark):
 def test_cold_branch_keeps_bucketed_join(spark, no_broadcast):
     import re
 
-    from conftest import SF001
+    from paths import SF001
     from credit_signals.sources import fixtures as fx
     a, b = fx.accounts(spark, SF001), fx.bureau(spark, SF001)
     got = split_left_join(a, b, "account_id", [("A000000001", 2, 2)])

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from credit_signals.operators.features import engineer_features
 from credit_signals.session import scratch_path
 from credit_signals.sources import fixtures as fx
