@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_automaton, chat, classifier, exact_dedup, html_extract, mixing, pii, quality_rules, sentencepiece_codec, simhash,
-               url_filter)
+from . import (bpe_automaton, chat, classifier, exact_dedup, html_extract, mixing, pii, quality_rules, sentencepiece_codec,
+               simhash, spelling, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,9 +74,13 @@ def op11_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(_table(spark, sf_dir, "documents"), shortest=6, fewest=5, ratio=5, noise=199)
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_simhash, op4_source_mixing, op5_quality_classifier,
                                    op6_sentencepiece, op7_html_extraction, op8_pii, op9_url_filters,
-                                   op10_chat_formatting, op11_bpe_automaton)}
+                                   op10_chat_formatting, op11_bpe_automaton, op12_spelling_variants)}
 
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -117,4 +121,37 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op9_url_filters": OP9_SQL, "op10_chat_formatting": OP10_SQL}
+# CRC-32 over the UTF-8 bytes of Latin text; near words meet at the texts that one deletion leaves
+OP12_SQL = r"""
+WITH RECURSIVE tab AS MATERIALIZED (
+       SELECT list(t ORDER BY i) AS tab FROM (
+         SELECT i, list_reduce([i] || range(8)::BIGINT[], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384)
+                                                                       ELSE a >> 1 END) AS t FROM range(256) r(i))),
+     runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+     typed AS (SELECT run, k, xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(
+                     string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+                     lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c) - 64] END)),
+                     lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) AS h
+               FROM (SELECT doc_id, run, count(*) AS k FROM runs GROUP BY doc_id, run), tab),
+     v AS MATERIALIZED (
+       SELECT word, sum(k)::BIGINT AS n FROM (
+         SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+                     ELSE run END AS word, k FROM typed)
+       WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+     d AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+           FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+     near AS (SELECT a.word, b.word AS other, b.n AS m FROM d a JOIN d b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+              UNION SELECT a.word, b.word, b.n FROM v a JOIN d b ON a.word = b.cut
+              UNION SELECT b.word, a.word, a.n FROM v a JOIN d b ON a.word = b.cut),
+     best AS (SELECT word, count(*) AS n_near, max(m) AS m, first(other ORDER BY m DESC, other) AS other FROM near GROUP BY word),
+     f AS MATERIALIZED (SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form,
+                               CASE WHEN m >= 5 * n THEN m END AS form_n FROM v LEFT JOIN best USING (word)),
+     r AS (SELECT word, coalesce(form, word) AS root, 0 AS depth FROM f
+           UNION ALL SELECT r.word, f.form, depth + 1 FROM r JOIN f ON r.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN (SELECT word, arg_max(root, depth) AS root FROM r GROUP BY word)
+USING (word)
+"""
+
+ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op9_url_filters": OP9_SQL, "op10_chat_formatting": OP10_SQL,
+              "op12_spelling_variants": OP12_SQL}

@@ -1,0 +1,112 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from edge import SCHEMA, documents
+from pyspark.sql import types as T
+
+from credit_signals.llm import queries, spelling
+
+WORDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def brute(counts, ratio):
+    rows = {}
+    for w, n in counts.items():
+        near = [(-m, x) for x, m in counts.items() if one_edit(w, x)]
+        best = min(near, default=None)
+        form = best[1] if best and -best[0] >= ratio * n else None
+        rows[w] = [form, w, n, len(near), -best[0] if form else None]
+    for w, r in rows.items():
+        while rows[r[1]][0]:
+            r[1] = rows[r[1]][0]
+    return {w: tuple(r) for w, r in rows.items()}
+
+
+def result(df):
+    rows = df.collect()
+    out = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def vocabulary(spark, counts):
+    return spark.createDataFrame(list(counts.items()), WORDS)
+
+
+@pytest.mark.parametrize("letters,sizes,block", [("ab", (1, 9), 4096), ("abc", (1, 6), 7), ("aé÷ÿ", (5, 8), 3),
+                                                 ("abcdefgh", (6, 7), 50)])
+def test_equals_brute_force(spark, letters, sizes, block):
+    rng = random.Random(block)
+    counts = {"".join(rng.choice(letters) for _ in range(rng.randint(*sizes))): 5 * 3 ** rng.randint(0, 9) for _ in range(260)}
+    assert result(spelling.variants(vocabulary(spark, counts), block=block)) == brute(counts, 5)
+
+
+def test_chains_and_ties(spark):
+    counts = {"aaaaaa": 5, "aaaaab": 25, "aaaabb": 125, "aaabbb": 625, "aabbbb": 3125, "abbbbb": 15625, "bbbbbb": 78125,
+              "zaaaaa": 25, "aaaaaaa": 25, "single": 5, "tieone": 6, "tieona": 30, "tieonb": 30}
+    got = result(spelling.variants(vocabulary(spark, counts)))
+    assert got == brute(counts, 5)
+    assert got["aaaaaa"][0] == "aaaaaaa" and got["aaaaab"][1] == "bbbbbb" and got["tieone"][0] == "tieona"
+    assert got["single"] == (None, "single", 5, 0, None)
+
+
+def test_one_large_block_is_cut(spark):
+    rng = random.Random(4)
+    counts = {f"station{''.join(rng.choice('abcd') for _ in range(4))}": rng.randint(5, 900) for _ in range(200)}
+    counts |= {w + "s": n + 1 for w, n in list(counts.items())[:60]}
+    want = brute(counts, 5)
+    assert result(spelling.variants(vocabulary(spark, counts), block=16)) == want
+    assert result(spelling.variants(vocabulary(spark, counts))) == want
+
+
+def test_very_long_words(spark):
+    long = "abcdefghij" * 400
+    counts = {long: 50, long + "x": 10, long[:2000] + long[2001:]: 5, "y" + long[1:]: 7}
+    assert result(spelling.variants(vocabulary(spark, counts))) == brute(counts, 5)
+
+
+def test_ratio_must_grow(spark):
+    with pytest.raises(ValueError):
+        spelling.variants(vocabulary(spark, {"a": 1}), ratio=1)
+
+
+def counted(rows, shortest, fewest, noise):
+    total = Counter()
+    for doc_id, text in rows:
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for run in re.findall("[a-zÀ-ÿ]+", lower):
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if noise and h % noise == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            total[run] += 1
+    return {w: n for w, n in total.items() if len(w) >= shortest and n >= fewest}
+
+
+def test_documents(spark, monkeypatch):
+    docs = documents(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    for noise in (0, 3):
+        want = counted(rows, 4, 2, noise)
+        assert {r.word: r.n for r in spelling.count_words(docs, 4, 2, noise).collect()} == want
+        assert result(spelling.group_spellings(docs, 4, 2, 2, noise)) == brute(want, 2)
+    monkeypatch.setattr(spelling, "HELD_WORDS", 3)
+    assert {r.word: r.n for r in spelling.count_words(docs, 4, 2, 3).collect()} == counted(rows, 4, 2, 3)
+    empty = spark.createDataFrame([], SCHEMA)
+    assert spelling.group_spellings(empty).count() == 0
+
+
+def test_query_equals_sql(spark):
+    from compare import compare, duck
+    sf = "/root/testdata/sf0.001"
+    assert compare(queries.op12_spelling_variants(spark, sf), duck(sf), queries.OP12_SQL) is None
