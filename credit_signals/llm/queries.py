@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe_automaton, chat, classifier, exact_dedup, html_extract, mixing, pii, quality_rules, sentencepiece_codec,
-               simhash, spelling, url_filter)
+               simhash, spelling, token_alignment, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,9 +78,15 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(_table(spark, sf_dir, "documents"), shortest=6, fewest=5, ratio=5, noise=199)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                 tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_simhash, op4_source_mixing, op5_quality_classifier,
                                    op6_sentencepiece, op7_html_extraction, op8_pii, op9_url_filters,
-                                   op10_chat_formatting, op11_bpe_automaton, op12_spelling_variants)}
+                                   op10_chat_formatting, op11_bpe_automaton, op12_spelling_variants,
+                                   op13_token_alignment)}
 
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
