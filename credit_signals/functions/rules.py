@@ -93,7 +93,7 @@ def risk_band(score: str | Column = "risk_score", rules: RiskRules = DEFAULT_RUL
     """LOW / MEDIUM / HIGH; upper bounds inclusive; NULL and NaN fall to HIGH."""
     s = _c(score)
     return (F.when(s <= rules.low_band, "LOW")
-            .when((s > rules.low_band) & (s <= rules.medium_band), "MEDIUM")
+            .when(s <= rules.medium_band, "MEDIUM")
             .otherwise("HIGH"))
 
 

@@ -7,10 +7,13 @@ is the key, then the left columns, then the right columns.
 NULL keys.  Rows without a key match nothing, so they stay out of the join and
 get NULL right columns; otherwise all of them would meet in one task.
 
-Hot keys.  A sample of the key column is counted on both sides.  A key whose
-estimated count exceeds ``slice_rows`` is hot; there are at most rows /
-``slice_rows`` of them, and they stay in a table (written once, broadcast under
-``BROADCAST_KEYS``).  Rows of other keys take the plain join - on bucketed
+Hot keys.  Every partition summarises the hashes of its keys by a fixed number of
+counters (the least of them is taken off all when there are more), and summaries
+merge in a tree.  A counter is too low by at most what was taken off, so no key
+above ``slice_rows`` is missed; the few candidates are then counted exactly, with
+a map-side combine.  A key with more than ``slice_rows`` rows is hot; there are
+at most rows / ``slice_rows`` of them, and they stay in a table (written once,
+broadcast up to ``BROADCAST_BYTES``).  Rows of other keys take the plain join - on bucketed
 inputs with no exchange at all.  Rows of hot keys are split in a grid: the left
 rows of key k in ``L_k`` slices, the right rows in ``R_k`` slices
 (``ceil(n / slice_rows)`` each, 1 where k is not hot); each left slice is
@@ -31,6 +34,12 @@ right side that Spark broadcasts) changes no result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,22 +47,79 @@ from pyspark.sql import types as T
 from credit_signals.session import scratch_path
 
 DEFAULT_SLICE_ROWS = 1_000_000
-DEFAULT_SAMPLE_FRACTION = 0.01
-BROADCAST_KEYS = 1_000_000
-SAMPLE_SEED = 17
+COUNTERS = 16_384                # of one summary
+MERGED_TOGETHER = 256            # summaries that one task merges
+BROADCAST_BYTES = 64 << 20       # of the table of hot keys
+_SUMMARY = "node int, h long, n long"
+
 
+def _reduced(h: np.ndarray, n: np.ndarray, counters: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Counts per distinct hash, at most ``counters`` of them, and what was taken off each."""
+    h, back = np.unique(h, return_inverse=True)
+    total = np.zeros(h.size, np.int64)
+    np.add.at(total, back, n)
+    if h.size <= counters:
+        return h, total, 0
+    off = int(np.partition(total, h.size - counters - 1)[h.size - counters - 1])
+    left = total > off
+    return h[left], total[left] - off, off
 
-def hot_keys(df: DataFrame, key: str, slice_rows: int = DEFAULT_SLICE_ROWS,
-             sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> DataFrame:
-    """(k, slices) of the keys of ``df`` whose estimated count exceeds ``slice_rows``.
 
-    A sample of the key column only, counted with a map-side combine.
+def key_summary(df: DataFrame, key: str, counters: int = COUNTERS, together: int = MERGED_TOGETHER) -> DataFrame:
+    """(h, n) of the frequent key hashes of ``df``; one row without h holds the error bound.
+
+    The true count of a hash is between n and n + error, and that of an absent
+    one at most error, which is at most rows / (counters + 1).  NULL keys are left out.
+    """
+    import pyspark.cloudpickle as cloudpickle
+    import sys
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    schema = pa.schema([("node", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
+
+    def table(node: int, h: np.ndarray, n: np.ndarray, error: int) -> pa.Table:
+        return pa.table([np.full(h.size + 1, node, np.int32), pa.array([*h.tolist(), None], pa.int64()),
+                         np.append(n, error)], schema=schema)
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, n, error = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        for batch in batches:
+            seen = pc.value_counts(batch.column(0))
+            h, n, off = _reduced(np.concatenate((h, seen.field("values").to_numpy(zero_copy_only=False))),
+                                 np.concatenate((n, seen.field("counts").to_numpy(zero_copy_only=False))), counters)
+            error += off
+        yield from table(TaskContext.get().partitionId(), h, n, error).to_batches()
+
+    def merge(some: pa.Table) -> pa.Table:
+        bound = pc.is_null(some.column("h"))
+        errors, counts = some.filter(bound), some.filter(pc.invert(bound))
+        h, n, off = _reduced(counts.column("h").to_numpy(), counts.column("n").to_numpy(), counters)
+        return table(some.column("node")[0].as_py(), h, n, off + (pc.sum(errors.column("n")).as_py() or 0))
+
+    hashes = df.where(F.col(key).isNotNull()).select(F.xxhash64(F.col(key)).alias("h"))
+    parts = hashes.mapInArrow(summarise, _SUMMARY)
+    for node in (F.floor(F.col("node") / together), F.lit(0)):
+        parts = parts.withColumn("node", node.cast("int")).groupBy("node").applyInArrow(merge, _SUMMARY)
+    return parts.select("h", "n")
+
+
+def hot_keys(df: DataFrame, key: str, slice_rows: int = DEFAULT_SLICE_ROWS, counters: int = COUNTERS) -> DataFrame:
+    """(k, slices) of exactly the keys of ``df`` with more than ``slice_rows`` rows.
+
+    If the error of a summary reaches a slice, it is taken again with as many
+    counters as rule that out.
     """
-    keys = df.select(F.col(key).alias("k")).where("k is not null")
-    sampled = keys if sample_fraction >= 1.0 else keys.sample(fraction=sample_fraction, seed=SAMPLE_SEED)
-    rows = F.count(F.lit(1)) / F.lit(min(sample_fraction, 1.0))
-    return (sampled.groupBy("k").agg(rows.alias("n")).where(F.col("n") > slice_rows)
-            .select("k", F.ceil(F.col("n") / slice_rows).cast("int").alias("slices")))
+    summary = _written(key_summary(df, key, counters), "key-summary")
+    error, counted = summary.agg(F.max(F.when(F.col("h").isNull(), F.col("n"))),
+                                 F.sum(F.when(F.col("h").isNotNull(), F.col("n")))).first()
+    error = error or 0
+    if error >= slice_rows:
+        rows = df.where(F.col(key).isNotNull()).count()
+        summary = _written(key_summary(df, key, 2 * rows // slice_rows + 1), "key-summary")
+        error = summary.where("h is null").agg(F.max("n")).first()[0] or 0
+    candidates = summary.where(F.col("h").isNotNull() & (F.col("n") + F.lit(error) > slice_rows)).select("h")
+    rows = df.select(F.col(key).alias("k")).where("k is not null").withColumn("h", F.xxhash64("k"))
+    return (rows.join(F.broadcast(candidates), "h").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > slice_rows).select("k", F.ceil(F.col("n") / slice_rows).cast("int").alias("slices")))
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -81,22 +147,22 @@ def broadcast_planned(df: DataFrame) -> bool:
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, *, skew_guard: bool = True,
-              slice_rows: int = DEFAULT_SLICE_ROWS,
-              sample_fraction: float = DEFAULT_SAMPLE_FRACTION) -> DataFrame:
+              slice_rows: int = DEFAULT_SLICE_ROWS, always_split: bool = False) -> DataFrame:
     """``left LEFT JOIN right USING (key)``; see the module notes for skew.
 
-    ``skew_guard=False`` is for inputs whose keys are known to be unique: no
-    sample is taken.
+    ``skew_guard=False`` is for inputs whose keys are known to be unique: they
+    are not summarised.  ``always_split`` looks for hot keys also where Spark
+    would broadcast the right side.
     """
-    if slice_rows < 1 or not 0 < sample_fraction <= 1:
-        raise ValueError("slice_rows must be positive, sample_fraction in (0, 1]")
-    if not skew_guard or broadcast_planned(right):
+    if slice_rows < 1:
+        raise ValueError("slice_rows must be positive")
+    if not skew_guard or (broadcast_planned(right) and not always_split):
         return left.join(right, key, "left")
-    on_right = hot_keys(right, key, slice_rows, sample_fraction).withColumnRenamed("slices", "rs")
-    if left.isStreaming:                         # a stream cannot be sampled; its keys stay in one slice
+    on_right = hot_keys(right, key, slice_rows).withColumnRenamed("slices", "rs")
+    if left.isStreaming:                         # a stream cannot be summarised; its keys stay in one slice
         hot = on_right.withColumn("ls", F.lit(1))
     else:
-        on_left = hot_keys(left, key, slice_rows, sample_fraction).withColumnRenamed("slices", "ls")
+        on_left = hot_keys(left, key, slice_rows).withColumnRenamed("slices", "ls")
         hot = on_left.join(on_right, "k", "full")
     hot = _written(hot.select("k", F.coalesce("ls", F.lit(1)).alias("ls"), F.coalesce("rs", F.lit(1)).alias("rs")),
                    "hot-keys")
@@ -137,15 +203,16 @@ def split_left_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame
     """The plain left join, with the rows of ``hot`` keys (k, ls, rs) joined on a salted grid.
 
     Keys never cross branches, so the union is exact.  Precondition (met by
-    ``left_join``, which takes right slices from a sample of the right table): a
+    ``left_join``, which counts right slices in the right table): a
     key with more than one right slice occurs in the right table.
     """
     if isinstance(hot, list):
         kind = T.StructType([T.StructField("k", left.schema[key].dataType), T.StructField("ls", T.IntegerType()),
                              T.StructField("rs", T.IntegerType())])
         hot = left.sparkSession.createDataFrame(hot, kind)
-    n, split_left, split_right = hot.agg(F.count(F.lit(1)), F.max("ls") > 1, F.max("rs") > 1).first()
-    hot = F.broadcast(hot) if n <= BROADCAST_KEYS else hot
+    size = F.sum(F.lit(32) + F.octet_length(F.to_json(F.struct("k"))))       # keys can be long
+    size, split_left, split_right = hot.agg(size, F.max("ls") > 1, F.max("rs") > 1).first()
+    hot = F.broadcast(hot) if (size or 0) <= BROADCAST_BYTES else hot
     names = hot.select(F.col("k").alias(key))
     left_cols = [c for c in left.columns if c != key]
     right_cols = [c for c in right.columns if c != key]

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from credit_signals import schemas
 from credit_signals.functions import rules as R
+from credit_signals.session import scratch_path
 
 SPLIT_BUCKETS = 10
 TRAIN_BUCKETS = 8          # buckets 0..7 train, 8..9 test: an 80/20 split
@@ -110,6 +111,60 @@ def evaluate_auc(model, test: DataFrame, label: str = R.LABEL_COL, num_bins: int
     return float(evaluator.evaluate(model.transform(test)))
 
 
+# Units in which every feature is a whole number, so that sums of products are exact.
+FEATURE_UNITS = {"debt_ratio": 10_000, "revolving_utilization": 10_000}
+
+
+def moment_sums(df: DataFrame, split: Column | None = None, cols=R.FEATURE_COLS, label: str = R.LABEL_COL,
+                units: dict[str, int] | None = None) -> DataFrame:
+    """(split, a, b, total): the sum of a * b over the rows of each split, in one aggregation pass.
+
+    ``a`` and ``b`` run over ``one``, the features in whole units, and ``label``;
+    each pair once.  These are the sufficient statistics of a first Newton step
+    from zero weights: the gradient is sum(x * (label - 1/2)), the Hessian
+    sum(x * x') / 4.  Totals are exact decimals whatever the partitioning.
+    Features are filled as for the fit; rows without a label take no part.
+    """
+    units = FEATURE_UNITS if units is None else units
+    ready = fill_feature_nulls(df, cols).where(F.col(label).isNotNull())
+    terms = {"one": F.lit(1).cast("long"), **{c: F.round(F.col(c) * units.get(c, 1)).cast("long") for c in cols},
+             "label": F.col(label).cast("long")}
+    names = list(terms)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    whole = "decimal(38,0)"
+    key = split if split is not None else F.lit("all")
+    sums = ready.select(key.alias("split"), *[c.alias(n) for n, c in terms.items()]).groupBy("split").agg(
+        *[F.sum((F.col(a) * F.col(b)).cast(whole)).alias(f"{a}|{b}") for a, b in pairs])
+    rows = F.inline(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}|{b}`").alias("total"))
+                              for a, b in pairs]))
+    return sums.select("split", rows)
+
+
+def newton_step(sums: DataFrame, split: str = "all", cols=R.FEATURE_COLS, units: dict[str, int] | None = None) -> LinearScore:
+    """The weights after one Newton step from zero, from ``moment_sums`` (a fixed number of rows)."""
+    import numpy as np
+    units = FEATURE_UNITS if units is None else units
+    total = {(r["a"], r["b"]): float(r["total"]) for r in sums.where(F.col("split") == split).collect()}   # 55 rows
+    names = ["one", *cols]
+    hessian = np.array([[total.get((a, b), total.get((b, a))) for b in names] for a in names]) / 4
+    gradient = np.array([total[a, "label"] - total.get(("one", a), total.get((a, "one"))) / 2 for a in names])
+    scale = np.sqrt(np.maximum(np.diag(hessian), 1e-300))
+    step = np.linalg.lstsq(hessian / np.outer(scale, scale), gradient / scale, rcond=1e-12)[0] / scale
+    return LinearScore(tuple((c, float(w) * units.get(c, 1), None) for c, w in zip(cols, step[1:])), float(step[0]), None)
+
+
+def log_losses(df: DataFrame, scores: dict[str, LinearScore], label: str = R.LABEL_COL) -> DataFrame:
+    """(rows, one mean log loss per score) over the rows with a label, in one pass; probabilities kept off 0 and 1."""
+    y = F.col(label).cast("double")
+    ready = fill_feature_nulls(df).where(F.col(label).isNotNull())
+
+    def loss(score: LinearScore) -> Column:
+        p = F.least(F.greatest(score.probability(), F.lit(1e-15)), F.lit(1 - 1e-15))
+        return F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))
+
+    return ready.agg(F.count(F.lit(1)).alias("rows"), *[loss(s).alias(name) for name, s in scores.items()])
+
+
 @dataclass
 class TrainResult:
     model: LogisticRegressionModel
@@ -255,6 +310,36 @@ def grid_auc(scored: DataFrame, score: str = "risk_score", label: str = R.LABEL_
     return _auc_of_cells(cells, digits, report_skipped)
 
 
+def exact_auc(scored: DataFrame, score: str = "risk_score", label: str = R.LABEL_COL, digits: int = 12) -> DataFrame:
+    """Area under ROC over the scores themselves, ties at half weight; no step gathers all rows in one task.
+
+    Rows of one score become one cell (map-side combine).  The cells are range
+    partitioned by score and written with the number of their range; the totals
+    of the ranges, one row each, give every range the negatives below it, and
+    ranks are running sums inside a range.  Columns ``auc``, ``pos``, ``neg``.
+    Rows without a score or a label 0 or 1 take no part; one class alone gives NULL.
+    """
+    spark = scored.sparkSession
+    s, y = F.col(score).cast("double"), F.col(label)
+    valid = F.coalesce(s.isNotNull() & ~F.isnan(s) & y.isin(0, 1), F.lit(False))
+    cells = scored.where(valid).groupBy(s.alias("s")).agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
+    path = scratch_path(spark, "auc-ranges")
+    cells.repartitionByRange(F.col("s")).withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.schema("s double, pos long, neg long, part int").parquet(path)
+    below = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)           # one row per range
+    parts = ranged.groupBy("part").agg(F.sum("neg").alias("part_neg")) \
+        .select("part", F.coalesce(F.sum("part_neg").over(below), F.lit(0)).alias("neg_before"))
+    inside = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = ranged.withColumn("neg_inside", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(F.broadcast(parts), "part")
+    wide = "decimal(19,0)"
+    twice = (F.col("neg_before") + F.col("neg_inside")) * 2 + F.col("neg")
+    totals = ranks.agg(F.sum(F.col("pos").cast(wide) * twice.cast(wide)).alias("num2"), F.sum("pos").alias("pos"),
+                       F.sum("neg").alias("neg"))
+    den = F.lit(2.0) * F.col("pos").cast("double") * F.col("neg").cast("double")
+    return totals.select(F.when(den > 0, F.round(F.col("num2").cast("double") / den, digits)).alias("auc"),
+                         F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("neg", F.lit(0)).alias("neg"))
+
+
 def _auc_of_cells(cells: DataFrame, digits: int, report_skipped: bool) -> DataFrame:
     """AUC from (cell, pos, neg, skipped) counts."""
     wide = "decimal(19,0)"

@@ -6,8 +6,11 @@ is a top-k (``offset + limit`` over a sort), never a full sort to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Fixed values of the job table's domain.
@@ -118,3 +121,86 @@ def retry_reset(runs: DataFrame) -> DataFrame:
         "completed_at": cleared("completed_at"),
         "error_message": cleared("error_message"),
     })
+
+
+# --- stored run tables ---------------------------------------------------------------
+
+@dataclass(frozen=True)
+class OrderedRuns:
+    """A run table in newest-first order: files by range, and how many rows each range holds."""
+
+    rows: str
+    counts: str
+    schema: T.StructType
+
+
+def write_ordered(runs: DataFrame, path: str) -> OrderedRuns:
+    """Write ``runs`` range partitioned in newest-first order, with the row count of each range beside it.
+
+    Adaptive execution sizes the ranges; times are tied only up to ``job_id``, so
+    no range is hot.  The counts come from the written files' footers.
+    """
+    spark = runs.sparkSession
+    order = [F.col("created_at").desc_nulls_last(), F.col("job_id").desc()]
+    table = OrderedRuns(f"{path}/rows", f"{path}/counts", runs.schema)
+    runs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()) \
+        .write.partitionBy("part").parquet(table.rows)
+    _ordered(spark, table).groupBy("part").agg(F.count(F.lit(1)).alias("rows")).coalesce(1).write.parquet(table.counts)
+    return table
+
+
+def _ordered(spark: SparkSession, table: OrderedRuns) -> DataFrame:
+    return spark.read.schema(T.StructType(table.schema.fields + [T.StructField("part", T.IntegerType())])).parquet(table.rows)
+
+
+def page_of(spark: SparkSession, table: OrderedRuns, number: int, size: int = PAGE_SIZE) -> DataFrame:
+    """Page ``number`` of an ordered table, however deep: only the ranges that hold it are read.
+
+    The counts (one row per range) name them; a page spans more than one range
+    only where a range ends inside it.  A page past the end is empty.
+    """
+    if number < 1:
+        raise ValueError("pages start at 1")
+    first = size * (number - 1)
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    at = spark.read.schema("part int, rows long").parquet(table.counts) \
+        .withColumn("before", F.coalesce(F.sum("rows").over(upto), F.lit(0)))
+    hold = at.where((F.col("before") < first + size) & (F.col("before") + F.col("rows") > first)) \
+        .orderBy("part").collect()                                      # at most ``size`` + 1 ranges
+    rows = _ordered(spark, table).where(F.col("part").isin([r["part"] for r in hold])).drop("part")
+    return newest_first(rows).offset(first - (hold[0]["before"] if hold else 0)).limit(size)
+
+
+def write_lookup(runs: DataFrame, path: str, rows_per_group: int = 100_000) -> None:
+    """Write ``runs`` sorted by ``job_id`` with a Bloom filter per row group, for ``lookup`` by id.
+
+    An id reads one file by its row groups' ranges and, where ids are missing or
+    ranges touch, one row group by its filter; the column index narrows to pages.
+    """
+    key = F.col("job_id")
+    runs.repartitionByRange(key).sortWithinPartitions(key).write \
+        .option("parquet.bloom.filter.enabled#job_id", "true") \
+        .option("parquet.bloom.filter.expected.ndv#job_id", str(rows_per_group)) \
+        .option("parquet.block.row.count.limit", str(rows_per_group)).parquet(path)
+
+
+def write_checked(runs: DataFrame, path: str) -> None:
+    """Accepted and rejected rows in one pass: one scan, one write, a folder for each with the reasons."""
+    reason = rejection_reason()
+    runs.withColumn("reason", reason).withColumn("accepted", F.col("reason").isNull()) \
+        .write.partitionBy("accepted").parquet(path)
+
+
+def read_accepted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The accepted rows that ``write_checked`` wrote (the other folder is not read)."""
+    return _checked(spark, path, schema).where("accepted").select(*schema.fieldNames())
+
+
+def read_rejected(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rejected rows that ``write_checked`` wrote, with their reasons, as ``rejected_runs`` gives them."""
+    return _checked(spark, path, schema).where("not accepted").select("job_id", "job_name", "job_type", "status", "reason")
+
+
+def _checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    fields = [*schema.fields, T.StructField("reason", T.StringType()), T.StructField("accepted", T.BooleanType())]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

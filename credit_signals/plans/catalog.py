@@ -171,11 +171,8 @@ _BY_PRIORITY = "SELECT o_orderpriority, count(*) AS orders_of_priority FROM orde
 HOT_SLICE_ROWS = 200
 
 
-def _grid(left, right, key):
-    hot = J.hot_keys(left, key, HOT_SLICE_ROWS, 1.0).withColumnRenamed("slices", "ls") \
-        .join(J.hot_keys(right, key, HOT_SLICE_ROWS, 1.0).withColumnRenamed("slices", "rs"), "k", "full") \
-        .select("k", F.coalesce("ls", F.lit(1)).alias("ls"), F.coalesce("rs", F.lit(1)).alias("rs"))
-    return J.split_left_join(left, right, key, hot)
+def _split_join(left, right, key):
+    return J.left_join(left, right, key, slice_rows=HOT_SLICE_ROWS, always_split=True)
 
 
 def _priorities(orders):
@@ -186,14 +183,14 @@ def _priorities(orders):
                            "USING (o_orderpriority)")
 def join_hot_left(spark, sf):
     orders = fx.table(spark, sf, "orders")
-    return _grid(orders.select("o_orderpriority", "o_orderkey"), _priorities(orders), "o_orderpriority")
+    return _split_join(orders.select("o_orderpriority", "o_orderkey"), _priorities(orders), "o_orderpriority")
 
 
 @register("join_hot_right", f"SELECT o_orderpriority, orders_of_priority, o_orderkey FROM ({_BY_PRIORITY}) p LEFT JOIN "
                             "(SELECT o_orderpriority, o_orderkey FROM orders) o USING (o_orderpriority)")
 def join_hot_right(spark, sf):
     orders = fx.table(spark, sf, "orders")
-    return _grid(_priorities(orders), orders.select("o_orderpriority", "o_orderkey"), "o_orderpriority")
+    return _split_join(_priorities(orders), orders.select("o_orderpriority", "o_orderkey"), "o_orderpriority")
 
 
 @register("join_hot_null_keys", "SELECT o_orderpriority, o_orderkey, orders_of_priority FROM (SELECT CASE WHEN o_orderkey % 41 = 2 "
@@ -202,7 +199,7 @@ def join_hot_right(spark, sf):
 def join_hot_null_keys(spark, sf):
     orders = fx.table(spark, sf, "orders")
     key = F.when(F.col("o_orderkey") % 41 != 2, F.col("o_orderpriority")).alias("o_orderpriority")
-    return _grid(orders.select(key, "o_orderkey"), _priorities(orders), "o_orderpriority")
+    return _split_join(orders.select(key, "o_orderkey"), _priorities(orders), "o_orderpriority")
 
 
 # --- 2.3 fills, projections, scalar expressions ----------------------------------------------
@@ -811,3 +808,6 @@ def run_retry(spark, sf):
     runs = _runs(spark, sf)
     job, user = runs.where(F.col("status") == "FAILED").agg(F.max("job_id"), F.max_by("submitted_by", "job_id")).first()
     return RN.retry(runs, job, user, is_staff=False)
+
+
+from credit_signals.plans import catalog_tables  # noqa: E402,F401 - registers its queries

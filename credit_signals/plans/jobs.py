@@ -1,11 +1,9 @@
 """The two batch jobs, end to end.
 
-The join runs once, for the write; the report is then read from the written
-table, grouped by its partition column, which needs no column data (Parquet
-footers and folder names only).  The reference ran the join three times: two
-counts and the write.  (``Observation`` would give the counts during the
-write, but in this Spark build it breaks later Spark ML closures in the same
-session, so it is not used.)
+The join runs once, for the write, and every count comes from that write: the
+rows of both inputs, the feature rows and the flagged ones are observed while
+they pass, the scored rows while they are written (or from the commit messages
+of the warehouse connector).  The reference read and joined again for each count.
 """
 
 from __future__ import annotations
@@ -18,7 +16,9 @@ from pyspark.sql import functions as F
 
 from credit_signals.functions import rules as R
 from credit_signals.operators import features as FT
+from credit_signals.operators import joins as J
 from credit_signals.operators import model as M
+from credit_signals.session import observing_session
 from credit_signals.sinks import writers as W
 from credit_signals.sources import readers as RD
 from credit_signals.sources.fixtures import has_unique_keys
@@ -35,20 +35,38 @@ class FeatureJobResult:
 
 
 def run_features(spark: SparkSession, accounts_path: str, bureau_path: str, out_path: str,
-                 rules: R.RiskRules = R.DEFAULT_RULES, compact: bool = False, **join_opts) -> FeatureJobResult:
+                 rules: R.RiskRules = R.DEFAULT_RULES, compact: bool = False, publish: bool = False,
+                 **join_opts) -> FeatureJobResult:
     """Read both inputs (paths or bucketed catalog tables), derive the feature
-    table, write it partitioned by flag."""
-    accounts = RD.read_accounts(spark, accounts_path)
-    bureau = RD.read_bureau(spark, bureau_path)
-    if has_unique_keys(accounts_path) and has_unique_keys(bureau_path):
-        join_opts = {"skew_guard": False, **join_opts}
-    W.write_features(FT.engineer_features(accounts, bureau, rules, **join_opts), out_path, compact=compact)
-    per_flag = {r["high_risk_flag"]: r["n"] for r in
-                RD.read_features(spark, out_path).groupBy("high_risk_flag")
-                .agg(F.count(F.lit(1)).alias("n")).collect()}          # <= 2 rows
-    total, high = sum(per_flag.values()), per_flag.get(1, 0)
+    table, write it partitioned by flag.
+
+    With ``publish`` the table at ``out_path`` is versioned: readers of
+    ``read_published_features`` see the old version until this one is complete.
+    Input rows are counted as they pass; only a join that is split for hot keys
+    reads its inputs more than once, and then their footers give the counts.
+    """
+    work = observing_session(spark)
+    accounts = RD.read_accounts(work, accounts_path)
+    bureau = RD.read_bureau(work, bureau_path)
+    unique = has_unique_keys(accounts_path) and has_unique_keys(bureau_path)
+    seen = {}
+    if unique or not join_opts.get("skew_guard", True) or J.broadcast_planned(bureau):
+        join_opts = {**join_opts, "skew_guard": False}
+        accounts, seen["accounts"] = W.counted(accounts)
+        bureau, seen["bureau"] = W.counted(bureau)
+    flagged = F.count_if(F.col(W.FEATURE_PARTITION) == 1)
+    features, written = W.counted(FT.engineer_features(accounts, bureau, rules, **join_opts), flagged=flagged)
+    if publish:
+        W.publish_features(features, out_path, written, compact=compact)
+    else:
+        W.write_features(features, out_path, compact=compact)
+    # an input that the plan dropped as empty was never observed
+    loaded = {name: seen[name].get.get("rows") if name in seen else None for name in ("accounts", "bureau")}
+    n_accounts = accounts.count() if loaded["accounts"] is None else loaded["accounts"]
+    n_bureau = bureau.count() if loaded["bureau"] is None else loaded["bureau"]
+    total, high = written.get.get("rows", 0), written.get.get("flagged", 0)
     pct = round(high * 100.0 / total, 2) if total else None
-    return FeatureJobResult(accounts.count(), bureau.count(), total, high, pct, out_path)
+    return FeatureJobResult(n_accounts, n_bureau, total, high, pct, out_path)
 
 
 @dataclass
@@ -74,11 +92,13 @@ def run_scoring(spark: SparkSession, features_path: str, target: str, fmt: str =
     """
     prepared = M.prepare_features(RD.read_features(spark, features_path))
     trained = M.train_model(prepared, split=split, max_iter=max_iter, auc=auc)
-    features = M.fill_feature_nulls(RD.read_features(spark, features_path))
+    features = M.fill_feature_nulls(RD.read_features(observing_session(spark), features_path))
     scored = M.score_with_weights(features.withColumn(R.LABEL_COL, F.col(R.LABEL_COL).cast("double")),
                                   M.LinearScore.from_model(trained.model), run_ts=run_ts)
-    W.write_scored(scored, target, fmt=fmt, options=options, replace_days_only=replace_days_only, names=names)
-    written = features.count()            # every feature row is written; this reads Parquet footers only
+    scored, seen = W.counted(scored)
+    written = W.write_scored(scored, target, fmt=fmt, options=options, replace_days_only=replace_days_only, names=names)
+    if written is None:
+        written = seen.get.get("rows", 0)
     return ScoringJobResult(trained.model, trained.auc, trained.train_rows, trained.test_rows,
                             written, target)
 
@@ -132,6 +152,7 @@ def main(argv: list[str] | None = None) -> int:
     fe.add_argument("--accounts", required=True)
     fe.add_argument("--bureau", required=True)
     fe.add_argument("--out", required=True)
+    fe.add_argument("--publish", action="store_true", help="write a new version of a versioned table")
     fe.add_argument("--compact", action="store_true", help="rebalance on the flag before writing")
     fe.add_argument("--buckets", type=int, default=None,
                     help="inputs are staged bucketed files with this bucket count: register them as tables")
@@ -160,7 +181,7 @@ def main(argv: list[str] | None = None) -> int:
             from credit_signals import schemas
             accounts = RD.register_bucketed(spark, accounts, schemas.ACCOUNTS, args.buckets)
             bureau = RD.register_bucketed(spark, bureau, schemas.BUREAU, args.buckets)
-        r = run_features(spark, accounts, bureau, args.out, compact=args.compact)
+        r = run_features(spark, accounts, bureau, args.out, compact=args.compact, publish=args.publish)
         out = r.__dict__
     elif args.job == "scoring":
         opts = dict(o.split("=", 1) for o in args.option)

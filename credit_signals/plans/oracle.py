@@ -43,21 +43,26 @@ _PROFILE = """profile AS (
          coalesce(t90, 0) AS t90, coalesce(coll, 0) AS coll
   FROM customer c LEFT JOIN ord ON ord.k = c.c_custkey LEFT JOIN lin ON lin.k = c.c_custkey)"""
 
-_ACC0 = """acc0 AS (
+def int32(x: str) -> str:
+    """A 32-bit integer; a value beyond its range becomes the nearest end, NULL stays NULL."""
+    return f"CASE WHEN {x} IS NOT NULL THEN CAST(least(2147483647, greatest(-2147483648, {x})) AS INTEGER) END"
+
+
+_ACC0 = f"""acc0 AS (
   SELECT concat('A', repeat('0', greatest(0, 9 - length(CAST(k AS VARCHAR)))), CAST(k AS VARCHAR)) AS account_id,
          CAST(least(850, greatest(300, 500 + CAST(floor(c_acctbal * 4e-2) AS INTEGER))) AS INTEGER) AS credit_score,
-         CAST(floor(tot / 48000) AS INTEGER) AS monthly_income,
-         CAST(floor(greatest(c_acctbal, 0e0)) AS INTEGER) AS balance,
+         {int32('floor(tot / 48000)')} AS monthly_income,
+         {int32('floor(greatest(c_acctbal, 0e0))')} AS balance,
          CASE WHEN tot = 0 THEN 1e-2
               ELSE least(99e-2, greatest(1e-2, CAST(floor(f * 10000 / tot) AS DOUBLE) / 1e4)) END AS debt_ratio,
-         CAST(d30 AS INTEGER) AS delinquency_30_days,
-         CAST(d60 AS INTEGER) AS delinquency_60_days,
-         CAST(d90 AS INTEGER) AS delinquency_90_days,
-         CAST(n AS INTEGER) AS open_credit_lines,
+         {int32('d30')} AS delinquency_30_days,
+         {int32('d60')} AS delinquency_60_days,
+         {int32('d90')} AS delinquency_90_days,
+         {int32('n')} AS open_credit_lines,
          CAST(k % 6 AS INTEGER) AS dependents,
          CAST(18 + (k * 7) % 62 AS INTEGER) AS age,
-         CAST(t90 AS INTEGER) AS times_90_days_late,
-         CAST(u AS INTEGER) AS real_estate_loans,
+         {int32('t90')} AS times_90_days_late,
+         {int32('u')} AS real_estate_loans,
          (k * 7919 + 17) % 1000 AS draw,
          strftime(first_order, '%Y-%m-%d') AS account_open_date
   FROM profile)"""
@@ -75,11 +80,11 @@ _ACCOUNTS = f"""accounts AS (
          account_open_date
   FROM acc0)"""
 
-_BUREAU = """bureau AS (
+_BUREAU = f"""bureau AS (
   SELECT concat('A', repeat('0', greatest(0, 9 - length(CAST(k AS VARCHAR)))), CAST(k AS VARCHAR)) AS account_id,
          CAST(500 + (k * 6151) % 350 AS INTEGER) AS bureau_score,
-         CAST(inq AS INTEGER) AS inquiries_last_6mo,
-         CAST(coll AS INTEGER) AS collections_last_12mo,
+         {int32('inq')} AS inquiries_last_6mo,
+         {int32('coll')} AS collections_last_12mo,
          CASE WHEN k % 11 = 0 THEN 1 ELSE 0 END AS public_records,
          CASE WHEN tot = 0 THEN 0e0 ELSE CAST(floor(p * 10000 / tot) AS DOUBLE) / 1e4 END AS revolving_utilization,
          '2001-11-05' AS bureau_updated_date

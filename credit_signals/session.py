@@ -104,6 +104,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/credit_signals/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def observing_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application, with the same settings, for jobs whose counts are observed.
+
+    An ``Observation`` leaves a manager in its session that closures of Spark ML,
+    which carry the session, cannot be serialised with.  In a session of its own
+    it stays out of their way; tables of the shared catalog are visible in both.
+    """
+    work = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if work.conf.isModifiable(key) and work.conf.get(key, None) != value:
+            work.conf.set(key, value)
+    return work
+
+
+def file_state(spark: SparkSession, paths: dict[str, str]) -> dict[str, tuple]:
+    """{name: (files, bytes, digest of all names, sizes and times)} of files or folders, listed by Spark.
+
+    No file is opened.  A path in any store that Spark reads will do.
+    """
+    from pyspark.sql import functions as F
+    out = {}
+    parts = [spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select(F.lit(name).alias("name"), "path", "length", "modificationTime") for name, path in paths.items()]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    entry = F.xxhash64("path", "length", F.unix_micros("modificationTime")).cast("decimal(20,0)")
+    for row in every.groupBy("name").agg(F.count(F.lit(1)), F.sum("length"), F.sum(entry)).collect():   # one row per name
+        out[row[0]] = (row[1], row[2], str(row[3]))
+    return {name: out.get(name, (0, 0, "")) for name in paths}
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for tools that want a plain path."""
     return path[len("file:"):] if path.startswith("file:") else path

@@ -4,12 +4,13 @@ lost executor only re-runs its tasks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credit_signals import schemas
 from credit_signals.operators.model import conform_scored
+from credit_signals.sinks import manifest, warehouse
 
 FEATURE_PARTITION = "high_risk_flag"
 SCORED_PARTITION = "scored_date"
@@ -29,10 +30,34 @@ def write_features(df: DataFrame, path: str, mode: str = "overwrite", compact: b
     out.write.mode(mode).partitionBy(FEATURE_PARTITION).parquet(path)
 
 
+def counted(df: DataFrame, **more) -> tuple[DataFrame, Observation]:
+    """``df`` and counts that are taken while it is written: ``rows`` and the given aggregates.
+
+    Only for a frame of ``session.observing_session``.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in more.items()]), seen
+
+
+def publish_features(df: DataFrame, table: str, rows: Observation, compact: bool = False) -> manifest.Manifest:
+    """The feature table as the next version of ``table``: written beside the old one, then named by a manifest.
+
+    Readers of ``readers.read_published_features`` see the old version until the
+    one rename of the manifest, also while the write runs and when it fails.
+    ``rows`` is the observation that came with ``df`` from ``counted``.
+    """
+    run = manifest.new_run()
+    write_features(df, f"{table.rstrip('/')}/files/{run}", mode="errorifexists", compact=compact)
+    return manifest.commit(table, df.schema.json(), [{"file": f"files/{run}", "rows": rows.get["rows"]}])
+
+
 def write_scored(scored: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None,
                  mode: str = "overwrite", by_day: bool | None = None, replace_days_only: bool = False,
-                 names: dict[str, str] | None = None) -> None:
-    """Conform to the warehouse schema and overwrite the target.
+                 names: dict[str, str] | None = None) -> int | None:
+    """Conform to the warehouse schema and overwrite the target; the rows written, where the format tells them.
+
+    ``credit_warehouse`` (``sinks.warehouse``) tells them from the commit messages
+    of its tasks; other formats return None.
 
     ``fmt``/``options`` select any DataFrameWriter format (a warehouse
     connector on a cluster; Parquet by default).  A Parquet table is laid out
@@ -49,6 +74,10 @@ def write_scored(scored: DataFrame, target: str, fmt: str = "parquet", options:
     if replace_days_only and not by_day:
         raise ValueError("replace_days_only needs a table laid out by day")
     out = conform_scored(scored, names)
+    if fmt == warehouse.FORMAT:
+        if by_day:
+            raise ValueError("the warehouse connector lays out its own files")
+        return warehouse.write_table(out, target, mode, options)
     writer = out.withColumn(SCORED_PARTITION, F.to_date("scored_at")) if by_day else out
     opts = dict(options or {})
     if replace_days_only:
@@ -57,6 +86,7 @@ def write_scored(scored: DataFrame, target: str, fmt: str = "parquet", options:
     if by_day:
         w = w.partitionBy(SCORED_PARTITION)
     w.save(target)
+    return None
 
 
 def read_scored(spark: SparkSession, path: str, by_day: bool = True) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from credit_signals import schemas
 from credit_signals.functions.rules import rule_prior_thousandths
-from credit_signals.session import app_id, scratch_path
+from credit_signals.session import app_id, file_state, scratch_path
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture rule (FIXTURES.md).
@@ -43,14 +43,10 @@ def _ts(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer with exact integer helper aggregates."""
-    orders = table(spark, sf_dir, "orders")
-    lineitem = table(spark, sf_dir, "lineitem")
-    customer = table(spark, sf_dir, "customer")
-
+def order_sums(orders: DataFrame) -> DataFrame:
+    """Exact integer sums per customer over the orders."""
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
-    by_orders = orders.groupBy(F.col("o_custkey").alias("k")).agg(
+    return orders.groupBy(F.col("o_custkey").alias("k")).agg(
         F.sum(cents).alias("tot"),
         F.sum(F.when(F.col("o_orderstatus") == "F", cents).otherwise(0)).alias("f"),
         F.sum(F.when(F.col("o_orderstatus") == "P", cents).otherwise(0)).alias("p"),
@@ -60,6 +56,9 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("o_orderdate").alias("first_order"),
     )
 
+
+def line_counts(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Delay counts per customer over the order lines."""
     lines = lineitem.select("l_orderkey", "l_shipdate", "l_returnflag").join(
         orders.select("o_orderkey", "o_custkey", "o_orderdate"),
         F.col("l_orderkey") == F.col("o_orderkey"))
@@ -68,13 +67,15 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     def window(bounds):
         return F.count_if(d.between(*bounds))
 
-    by_lines = lines.groupBy(F.col("o_custkey").alias("k")).agg(
+    return lines.groupBy(F.col("o_custkey").alias("k")).agg(
         window(D30).alias("d30"), window(D60).alias("d60"), window(D90).alias("d90"),
         window(LATE90).alias("t90"),
         F.count_if((F.col("l_returnflag") == "R")
                    & (F.col("l_shipdate") >= _ts(COLLECTION_SINCE))).alias("coll"),
     )
 
+
+def profile_of(customer: DataFrame, by_orders: DataFrame, by_lines: DataFrame) -> DataFrame:
     counts = ["tot", "f", "p", "n", "u", "inq", "d30", "d60", "d90", "t90", "coll"]
     return (customer.select(F.col("c_custkey").alias("k"), "c_acctbal")
             .join(by_orders, "k", "left")
@@ -82,12 +83,19 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
             .fillna(0, subset=counts))
 
 
+def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer with exact integer helper aggregates."""
+    orders = table(spark, sf_dir, "orders")
+    return profile_of(table(spark, sf_dir, "customer"), order_sums(orders),
+                      line_counts(table(spark, sf_dir, "lineitem"), orders))
+
+
 INT_MAX = 2_147_483_647
 
 
-def _int(c: Column) -> Column:
-    """As a 32-bit integer; a value beyond its range becomes the nearest end."""
-    return F.least(F.lit(INT_MAX), F.greatest(F.lit(-INT_MAX - 1), c)).cast("int")
+def to_int(c: Column) -> Column:
+    """As a 32-bit integer; a value beyond its range becomes the nearest end (FIXTURES.md); NULL stays NULL."""
+    return F.when(c.isNotNull(), F.least(F.lit(INT_MAX), F.greatest(F.lit(-INT_MAX - 1), c)).cast("int"))
 
 
 def account_key(k: str | Column = "k") -> Column:
@@ -110,19 +118,19 @@ def accounts_from_profile(profile: DataFrame) -> DataFrame:
         account_key().alias("account_id"),
         F.least(F.lit(850), F.greatest(F.lit(300), F.lit(500) + F.floor(F.col("c_acctbal") * 0.04)))
         .cast("int").alias("credit_score"),
-        _int(F.floor(tot / 48000)).alias("monthly_income"),
-        _int(F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0)))).alias("balance"),
+        to_int(F.floor(tot / 48000)).alias("monthly_income"),
+        to_int(F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0)))).alias("balance"),
         F.when(tot == 0, F.lit(0.01)).otherwise(
             F.least(F.lit(0.99), F.greatest(F.lit(0.01), F.floor(f.cast("double") * 10000 / tot).cast("double") / 1e4))
         ).alias("debt_ratio"),
-        _int(F.col("d30")).alias("delinquency_30_days"),
-        _int(F.col("d60")).alias("delinquency_60_days"),
-        _int(F.col("d90")).alias("delinquency_90_days"),
-        _int(F.col("n")).alias("open_credit_lines"),
+        to_int(F.col("d30")).alias("delinquency_30_days"),
+        to_int(F.col("d60")).alias("delinquency_60_days"),
+        to_int(F.col("d90")).alias("delinquency_90_days"),
+        to_int(F.col("n")).alias("open_credit_lines"),
         (k % 6).cast("int").alias("dependents"),
         (F.lit(18) + (k * 7) % 62).cast("int").alias("age"),
-        _int(F.col("t90")).alias("times_90_days_late"),
-        _int(F.col("u")).alias("real_estate_loans"),
+        to_int(F.col("t90")).alias("times_90_days_late"),
+        to_int(F.col("u")).alias("real_estate_loans"),
         ((k * 7919 + 17) % 1000).alias("_draw"),
         F.date_format("first_order", "yyyy-MM-dd").alias("account_open_date"),
     )
@@ -136,8 +144,8 @@ def bureau_from_profile(profile: DataFrame) -> DataFrame:
     return profile.where(k % 10 != 0).select(
         account_key().alias("account_id"),
         (F.lit(500) + (k * 6151) % 350).cast("int").alias("bureau_score"),
-        _int(F.col("inq")).alias("inquiries_last_6mo"),
-        _int(F.col("coll")).alias("collections_last_12mo"),
+        to_int(F.col("inq")).alias("inquiries_last_6mo"),
+        to_int(F.col("coll")).alias("collections_last_12mo"),
         F.when(k % 11 == 0, 1).otherwise(0).alias("public_records"),
         F.when(tot == 0, F.lit(0.0)).otherwise(
             F.floor(F.col("p").cast("double") * 10000 / tot).cast("double") / 1e4).alias("revolving_utilization"),
@@ -158,8 +166,11 @@ MIN_BUCKETS = 8
 MAX_BUCKETS = 100_000              # default of spark.sql.sources.bucketing.maxBuckets
 
 _STAGED: dict[tuple[str, str], dict[str, str]] = {}
+_STATE: dict[tuple[str, str], dict[str, tuple]] = {}        # state of the files that a staged table was derived from
+_PARTS: dict[tuple[str, str, str], tuple[tuple, str]] = {}  # (application, folder, part): (state of its files, path)
 _STAGED_TABLES: set[str] = set()
 _LOCK = threading.Lock()
+SOURCES = ("customer", "orders", "lineitem")
 
 
 def bucket_count(rows: int, most: int = MAX_BUCKETS) -> int:
@@ -179,14 +190,36 @@ def _write_bucketed(df: DataFrame, path: str, table_name: str, buckets: int) ->
      .saveAsTable(table_name))
 
 
+def _part(spark: SparkSession, key: tuple[str, str], name: str, state: tuple, derive, force: bool) -> str:
+    """Where the staged part ``name`` lies; derived again only if the files it reads have changed."""
+    at = (*key, name)
+    if force or at not in _PARTS or _PARTS[at][0] != state:
+        path = scratch_path(spark, f"staged-{name}")
+        derive().write.parquet(path)
+        _PARTS[at] = (state, path)
+    return _PARTS[at][1]
+
+
 def stage_inputs(spark: SparkSession, sf_dir: str, force: bool = False) -> dict[str, str]:
-    """Write profile, accounts and bureau tables; return their paths and table names."""
-    key = (app_id(spark), os.path.abspath(sf_dir))
+    """Write profile, accounts and bureau tables; return their paths and table names.
+
+    The names, sizes and times of the three tables' files are compared with
+    those of the last call: without a change the staged tables serve again, and
+    after one only the parts that read a changed table are derived again.
+    """
+    sf_dir = sf_dir.rstrip("/")
+    key = (app_id(spark), sf_dir if ":" in sf_dir else os.path.abspath(sf_dir))
     with _LOCK:
-        if not force and key in _STAGED:
+        state = file_state(spark, {name: f"{sf_dir}/{name}.parquet" for name in SOURCES})
+        if not force and _STATE.get(key) == state:
             return _STAGED[key]
+        orders = table(spark, sf_dir, "orders")
+        sums = _part(spark, key, "order-sums", (state["orders"],), lambda: order_sums(orders), force)
+        lines = _part(spark, key, "line-counts", (state["orders"], state["lineitem"]),
+                      lambda: line_counts(table(spark, sf_dir, "lineitem"), orders), force)
         paths = {name: scratch_path(spark, f"staged-{name}") for name in ("profile", "accounts", "bureau")}
-        customer_profile(spark, sf_dir).write.mode("overwrite").parquet(paths["profile"])
+        profile_of(table(spark, sf_dir, "customer"), spark.read.parquet(sums), spark.read.parquet(lines)) \
+            .write.parquet(paths["profile"])
         profile = spark.read.parquet(paths["profile"])
         most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", str(MAX_BUCKETS)))
         buckets = bucket_count(profile.count(), most)
@@ -196,7 +229,7 @@ def stage_inputs(spark: SparkSession, sf_dir: str, force: bool = False) -> dict[
             _write_bucketed(df, paths[name], paths[f"{name}_table"], buckets)
             _STAGED_TABLES.add(paths[f"{name}_table"])
         paths["buckets"] = str(buckets)
-        _STAGED[key] = paths
+        _STAGED[key], _STATE[key] = paths, state
         return paths
 
 

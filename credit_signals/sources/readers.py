@@ -70,6 +70,13 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, schemas.FEATURES)
 
 
+def read_published_features(spark: SparkSession, table: str, number: int | None = None) -> DataFrame:
+    """A version (the latest by default) of a table that ``writers.publish_features`` writes."""
+    from credit_signals.sinks import manifest
+    version = manifest.read(table, number)
+    return read_features(spark, f"{table.rstrip('/')}/{version.files[0]['file']}")
+
+
 def load_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """One row per table: (table_name, row_count), each a single-pass count."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
@@ -88,6 +95,34 @@ def schema_profile(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+def _walk(kind: T.DataType, path: str, depth: int, nullable: bool):
+    yield path, depth, kind.simpleString() if not isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) \
+        else kind.typeName(), nullable
+    if isinstance(kind, T.StructType):
+        for f in kind.fields:
+            yield from _walk(f.dataType, f"{path}.{f.name}", depth + 1, f.nullable)
+    elif isinstance(kind, T.ArrayType):
+        yield from _walk(kind.elementType, f"{path}.element", depth + 1, kind.containsNull)
+    elif isinstance(kind, T.MapType):
+        yield from _walk(kind.keyType, f"{path}.key", depth + 1, False)
+        yield from _walk(kind.valueType, f"{path}.value", depth + 1, kind.valueContainsNull)
+
+
+def schema_tree(df: DataFrame) -> DataFrame:
+    """Every node of the column tree: (position, path, depth, data_type, nullable), parents before their parts.
+
+    Columns have depth 0; the parts of a struct are named by their fields, of an
+    array ``element``, of a map ``key`` and ``value``.
+    """
+    nodes = [node for f in df.schema.fields for node in _walk(f.dataType, f.name, 0, f.nullable)]
+    schema = T.StructType([
+        T.StructField("position", T.IntegerType()), T.StructField("path", T.StringType()),
+        T.StructField("depth", T.IntegerType()), T.StructField("data_type", T.StringType()),
+        T.StructField("nullable", T.BooleanType()),
+    ])
+    return df.sparkSession.createDataFrame([(i + 1, *node) for i, node in enumerate(nodes)], schema)
+
+
 def preview(df: DataFrame, n: int = 5, key: str = "account_id") -> DataFrame:
     """First ``n`` rows by key (a top-k, not an arbitrary sample)."""
     return df.orderBy(F.col(key).asc_nulls_last()).limit(n)

@@ -21,7 +21,7 @@ def test_detected_split_equals_plain(spark, left, right, slice_rows):
     try:
         l_df = spark.createDataFrame(left, "k string, lv int")
         r_df = spark.createDataFrame(right, "k string, rv int")
-        got = left_join(l_df, r_df, "k", slice_rows=slice_rows, sample_fraction=1.0)
+        got = left_join(l_df, r_df, "k", slice_rows=slice_rows)
         assert _same(got, l_df.join(r_df, "k", "left"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -30,9 +30,9 @@ def test_salted_equals_plain_with_exact_copies(spark):
 
 def test_hot_keys_are_those_above_a_slice_and_never_null(spark):
     _, right = _pair(spark)
-    assert {r.k: r.slices for r in hot_keys(right, "k", slice_rows=1, sample_fraction=1.0).collect()} == {"h": 50, "a": 2}
+    assert {r.k: r.slices for r in hot_keys(right, "k", slice_rows=1).collect()} == {"h": 50, "a": 2}
     many = spark.range(6000).selectExpr("concat('k', id % 2000) as k")          # no floor on their number
-    assert hot_keys(many, "k", slice_rows=2, sample_fraction=1.0).count() == 2000
+    assert hot_keys(many, "k", slice_rows=2).count() == 2000
 
 
 @pytest.fixture
@@ -46,7 +46,7 @@ def no_broadcast(spark):
 @pytest.mark.parametrize("slice_rows", [1, 3, 1000])
 def test_left_join_matches_plain(spark, no_broadcast, slice_rows):
     left, right = _pair(spark)
-    got = left_join(left, right, "k", slice_rows=slice_rows, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=slice_rows)
     salted = "Generate" in got._jdf.queryExecution().executedPlan().toString()
     assert salted == (slice_rows < 50)          # 'h' has 50 right rows, 3 left rows
     assert _same(got, left.join(right, "k", "left"))
@@ -58,7 +58,7 @@ def test_small_right_side_skips_detection(spark):
     path = scratch_path(spark, "t-small-right")
     right.write.parquet(path)
     right = spark.read.parquet(path)            # a file scan has a size estimate
-    got = left_join(left, right, "k", slice_rows=1, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=1)
     assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
     assert _same(got, left.join(right, "k", "left"))
 
@@ -94,7 +94,7 @@ def _grid_pair(spark):
 def test_grid_join_equals_plain_on_both_sides(spark, no_broadcast, slice_rows):
     left, right = _grid_pair(spark)
     plain = left.join(right, "k", "left")
-    got = left_join(left, right, "k", slice_rows=slice_rows, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=slice_rows)
     assert got.columns == plain.columns
     assert _same(got, plain)
 
@@ -125,7 +125,7 @@ def test_cold_branch_keeps_bucketed_join(spark, no_broadcast):
 def test_long_keys(spark, no_broadcast):
     left = spark.createDataFrame([(1, "a")] * 5 + [(2, "b"), (None, "n")], "k long, lv string")
     right = spark.createDataFrame([(1, "x")] * 6 + [(3, "y")], "k long, rv string")
-    got = left_join(left, right, "k", slice_rows=2, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=2)
     assert _same(got, left.join(right, "k", "left"))
 
 
@@ -143,7 +143,7 @@ def test_columns_pass_through_as_they_are(spark, no_broadcast):
     left = spark.createDataFrame([("h", 1, {"a": 1}, -0.0)] * 3 + [("h", 2, {}, 0.0), (None, 3, None, None)],
                                  "k string, v int, m map<string,int>, z double")
     right = spark.createDataFrame([("h", 7, 0.5)] * 3 + [("c", 8, None)], "k string, v int, x double")
-    got = left_join(left, right, "k", slice_rows=2, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=2)
     plain = left.join(right, "k", "left")
     assert got.columns == plain.columns == ["k", "v", "m", "z", "v", "x"]                  # equal names stay
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))          # -0.0 and maps too
@@ -153,20 +153,20 @@ def test_columns_pass_through_as_they_are(spark, no_broadcast):
 def test_collated_keys(spark, no_broadcast):
     left = spark.sql("select k collate UTF8_LCASE as k, v from values ('Foo', 1), ('FOO', 2), ('foo', 3), ('bar', 4) t(k, v)")
     right = spark.sql("select k collate UTF8_LCASE as k, w from values ('fOO', 10), ('FOo', 11), ('Baz', 12) t(k, w)")
-    got = left_join(left, right, "k", slice_rows=1, sample_fraction=1.0)
+    got = left_join(left, right, "k", slice_rows=1)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, left.join(right, "k", "left").collect()), key=repr)
 
 
 def test_fifty_thousand_by_fifty_thousand_copies(spark, no_broadcast):
     left = spark.range(50_000).select(F.lit("h").alias("k"), F.lit(1).alias("v"))
     right = spark.range(50_000).select(F.lit("h").alias("k"), F.lit(2).alias("w"))
-    got = left_join(left, right, "k", slice_rows=5_000, sample_fraction=1.0).limit(1_000)
+    got = left_join(left, right, "k", slice_rows=5_000).limit(1_000)
     assert got.count() == 1_000
-    exact = left_join(left.limit(600), right.limit(700), "k", slice_rows=100, sample_fraction=1.0)
+    exact = left_join(left.limit(600), right.limit(700), "k", slice_rows=100)
     assert exact.count() == 420_000
 
 
 def test_null_keys_stay_out_of_the_join(spark, no_broadcast):
     left, right = _pair(spark)
-    plan = left_join(left, right, "k", slice_rows=1000, sample_fraction=1.0)._jdf.queryExecution().executedPlan().toString()
+    plan = left_join(left, right, "k", slice_rows=1000)._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan and "isnull(k" in plan

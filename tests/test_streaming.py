@@ -37,7 +37,7 @@ def test_stream_with_hot_bureau_keys_equals_batch(spark):
         paths = fx.stage_inputs(spark, SF001)
         dup_path = scratch_path(spark, "t-dup-bureau")
         fx.duplicated_bureau(fx.bureau(spark, SF001)).write.parquet(dup_path)
-        stream = feature_stream(spark, paths["accounts"], dup_path, slice_rows=1, sample_fraction=1.0)
+        stream = feature_stream(spark, paths["accounts"], dup_path, slice_rows=1)
         assert "Generate explode" in stream._jdf.queryExecution().analyzed().toString()   # hot keys split
         out, ckpt = scratch_path(spark, "t-hot-out"), scratch_path(spark, "t-hot-ckpt")
         q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
