@@ -31,6 +31,7 @@ from .common import materialise, ship
 
 WORD = re.compile("[a-zÀ-ÿ]+")     # after A-Z are lower-cased
 BLOCK = 4096                     # words of a block that one task indexes
+GROUP = 1024                     # vocabulary words per group of one length and side
 HELD_WORDS = 300_000             # distinct words a task counts before it hands them on
 QUERIES = 256                    # query words that advance together
 BROADCAST_BLOCKS = 500_000
@@ -226,7 +227,7 @@ def near_words(vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
                                                   .otherwise(own)))
     else:
         rows = rows.withColumn("chunk", F.lit(0))
-    groups = -(-vocabulary.count() // (2 * block)) or 1
+    groups = 1 + vocabulary.count() // GROUP
     grouped = rows.withColumn("g", F.pmod(F.xxhash64("half", "chunk"), F.lit(groups)).cast("int")) \
         .select("c", "side", "g", "word", "n", "query")
     found = grouped.groupBy("c", "side", "g").applyInArrow(
