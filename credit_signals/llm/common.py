@@ -46,6 +46,23 @@ def utf8(texts: pa.Array) -> Iterator[bytes]:
             yield value if value is not None else b""
 
 
+BATCH_CHARS = 2_000_000          # texts are worked on together up to this many characters
+
+
+def batches(texts: pa.Array, chars: int = BATCH_CHARS) -> Iterator[list[str]]:
+    """Lists of texts of about ``chars`` characters together (one text at least); null counts as empty."""
+    out, size = [], 0
+    for at in range(0, len(texts), 64):
+        for text in texts.slice(at, 64).to_pylist():
+            out.append(text or "")
+            size += len(out[-1])
+            if size >= chars:
+                yield out
+                out, size = [], 0
+    if out:
+        yield out
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that ``df`` does not have yet (case-insensitively)."""
     taken = {c.lower() for c in df.columns}

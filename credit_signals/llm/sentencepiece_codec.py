@@ -10,25 +10,29 @@ recovered from the end backwards.
 
 Texts are cut into units at spaces and line ends, which no piece of the model
 spans (checked when the model is loaded; a model with such pieces is encoded
-uncut).  A worker keeps the results of recent units in a bounded cache.
+uncut).  Each distinct unit of a batch of texts is encoded once, all new ones
+together (``last_tokens``), and decoded again; a worker keeps recent units and
+the answers of pair tests in tables of fixed size.
 """
 
 import hashlib
 import re
 from functools import lru_cache
+from itertools import islice
 
-import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, ship, utf8
+from .common import batches, free_name, ship
+from .last_tokens import LastTokens, Memo
 
 SPACE = "▁"
-CACHED_UNITS = 60_000            # per generation; two generations are kept
-CACHED_PAIRS = 400_000
+CACHED_UNITS = 150_000
+PAIR_BITS = 20                   # 2^20 answers of pair tests are kept
 LONGEST_CACHED = 64
 
 
@@ -54,13 +58,13 @@ class Codec:
         line = "" if "\n" in self.joined else r"\n"
         self.unit = re.compile(rf"[ {SPACE}]+[^ {SPACE}{line}]*|[^ {SPACE}{line}]+" + (r"|\n+" if line else "")) \
             if not inside else re.compile(r"(?s).+")
-        self.automaton = ahocorasick.Automaton()
-        for p, i in self.id.items():
-            self.automaton.add_word(p, (i, len(p)))
-        self.automaton.make_automaton()
-        self.pairs: dict[int, bool] = {}
-        self.young: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
+        self.alone = np.full(size, -1, np.int8)      # whether a piece encodes to itself, once asked
+        self.pairs = Memo(self._compatible, PAIR_BITS)
+        self.table = LastTokens([(p.encode(), i) for p, i in self.id.items()], self.pairs, self._stands_alone)
+        names = [str(i) for i in range(size)]
+        self.inside, self.at_end = np.array([f"{i}," for i in names], object), np.array([f"{i};" for i in names], object)
+        self.known: dict[str, str] = {}
+        self.changed: dict[str, str] = {}            # known units that decode to another text
 
     def merge(self, text: str) -> list[str]:
         """The definition: join the best neighbouring pair (score, then leftmost) until none is a piece."""
@@ -81,36 +85,20 @@ class Codec:
 
         ``left`` is -1 at the start of a unit: then whether ``right`` encodes to itself.
         """
-        key = ((left + 1) << 32) | right
-        known = self.pairs.get(key)
-        if known is None:
-            b = self.pieces[right]
-            known = self.merge(self.pieces[left] + b) == [self.pieces[left], b] if left >= 0 else self.merge(b) == [b]
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = known
-        return known
+        b = self.pieces[right]
+        return self.merge(self.pieces[left] + b) == [self.pieces[left], b] if left >= 0 else self.merge(b) == [b]
+
+    def _compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.fromiter(map(self.compatible, left.tolist(), right.tolist()), bool, left.size)
+
+    def _stands_alone(self, ids: np.ndarray) -> np.ndarray:
+        for i in np.unique(ids[self.alone[ids] < 0]).tolist():
+            self.alone[i] = self.compatible(-1, i)
+        return self.alone[ids] == 1
 
     def _by_table(self, text: str) -> list[int]:
         """Ids of a text whose characters all are pieces."""
-        last = [-1] * (len(text) + 1)            # last[e]: last token of the prefix of length e
-        pairs, compatible = self.pairs, self.compatible
-        for end, (token, size) in self.automaton.iter(text):      # longest first at each end
-            end += 1
-            if last[end] < 0:
-                start = end - size
-                before = last[start]
-                if before >= 0 or not start:
-                    fits = pairs.get(((before + 1) << 32) | token)
-                    if fits or (fits is None and compatible(before, token)):
-                        last[end] = token
-        ids, at, pieces = [], len(text), self.pieces
-        while at:
-            token = last[at]
-            ids.append(token)
-            at -= len(pieces[token])
-        ids.reverse()
-        return ids
+        return self.table.split([text.encode()])[0].tolist() if text else []
 
     def _of_unknown(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode()] if self.bytes else [self.unknown]
@@ -151,42 +139,71 @@ class Codec:
         text = self._surface(ids)
         return text[1:] if first in self.plain and self.pieces[first].startswith(SPACE) else text
 
-    def units(self, text: str) -> list[tuple[str, int, str]]:
-        """(ids as text, number of ids, decoded text) of each unit of a whole text."""
-        if not text:
-            return []
-        names = self.unit.findall(" " + text)
-        found = list(map(self.young.get, names))
-        if None in found:
-            for at, known in enumerate(found):
-                if known is None:
-                    found[at] = self._unit(names[at])
-        return found
-
-    def _unit(self, name: str) -> tuple[str, int, str]:
-        known = self.young.get(name) or self.old.get(name)
-        if known is None:
-            ids = self.encode_unit(name.replace(" ", SPACE))
-            text = self._surface(ids)
-            known = (",".join(map(str, ids)), len(ids), name if text == name else text)
-        if len(name) <= LONGEST_CACHED:
-            if len(self.young) >= CACHED_UNITS:
-                self.old, self.young = self.young, {}
-            self.young[name] = known
-        return known
+    def units(self, text: str) -> list[str]:
+        """A whole text, with the space that encoding puts in front, cut where no piece reaches across."""
+        return self.unit.findall(" " + text) if text else []
+
+    def encode_units(self, distinct: set[str]) -> dict[str, str]:
+        """The ids of each unit as text; units that were not kept are encoded, and decoded, together."""
+        old = self.known
+        out = {name: old[name] for name in distinct & old.keys()}
+        new = list(distinct - out.keys())
+        written = [name.replace(" ", SPACE) for name in new]
+        plain = self.single.issuperset
+        usual = [i for i, text in enumerate(written) if plain(text)]
+        fresh = {}
+        if usual:
+            source = [written[i].encode() for i in usual]
+            tokens, ends = self.table.split(source)
+            texts = self.inside[tokens]
+            texts[ends - 1] = self.at_end[tokens[ends - 1]]
+            fresh = dict(zip([new[i] for i in usual], "".join(texts.tolist()).split(";")))
+            if "".join(map(self.pieces.__getitem__, tokens.tolist())).encode() != b"".join(source):
+                raise AssertionError("the pieces do not give the text again")
+        for i in set(range(len(new))).difference(usual):
+            fresh[new[i]] = ",".join(map(str, self.encode_unit(written[i])))
+        if len(old) + len(fresh) > CACHED_UNITS:      # begin anew with this batch's units
+            old = self.known = {}
+            self.changed = {}
+            again = out | fresh
+        else:
+            again = fresh
+        out.update(fresh)
+        for name, ids in again.items():
+            if SPACE in name or not (name.isascii() and name.isprintable()):     # others are their pieces, as compared
+                text = self._surface([int(i) for i in ids.split(",")])
+                if text != name:
+                    self.changed[name] = text
+        kept = ((name, ids) for name, ids in again.items() if len(name) <= LONGEST_CACHED)
+        old.update(islice(kept, CACHED_UNITS - len(old)))
+        return out
+
+    def encode_batch(self, texts: list[str]) -> list[tuple[str, str]]:
+        """(ids joined by commas, decoded text) of each text."""
+        names = [self.units(text) for text in texts]
+        distinct = set().union(*names)
+        ids = self.encode_units(distinct)
+        changed = distinct & self.changed.keys()
+        get, other = ids.__getitem__, self.changed.get
+        out = [(",".join(map(get, row)), text if not changed or changed.isdisjoint(row)
+                else "".join([other(name, name) for name in row])[1:]) for text, row in zip(texts, names)]
+        for name in changed:
+            if len(name) > LONGEST_CACHED:
+                del self.changed[name]
+        return out
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, _, _ in self.units(text) for i in ids.split(",")]
+        return numbers(self.encode_batch([text])[0][0])
+
+
+def numbers(ids: str) -> list[int]:
+    return [int(i) for i in ids.split(",")] if ids else []
+
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text)."""
-        found = self.units(text)
-        if not found:
-            return 0, hashlib.sha256().hexdigest(), hashlib.sha256().hexdigest()
-        ids, counts, texts = zip(*found)
-        decoded = "".join(texts)[1:]             # the first unit starts with the space put in front
-        return sum(counts), hashlib.sha256(",".join(ids).encode()).hexdigest(), \
-            hashlib.sha256(decoded.encode()).hexdigest()
+def _digest(ids: str, decoded: str) -> tuple[int, str, str]:
+    """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text)."""
+    return ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), \
+        hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def _lenient(run: bytes) -> str:
@@ -227,7 +244,7 @@ def encode_column(df: DataFrame, path: str, text: Column) -> Column:
 
     def encode(texts: pa.Array) -> pa.Array:
         one = codec(model.value)
-        return pa.array([one.encode(b.decode()) for b in utf8(texts)], pa.list_(pa.int32()))
+        return pa.array([numbers(ids) for some in batches(texts) for ids, _ in one.encode_batch(some)], pa.list_(pa.int32()))
 
     return F.arrow_udf(encode, T.ArrayType(T.IntegerType()))(text)
 
@@ -250,14 +267,17 @@ _DIGEST = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_tokens, ids_sha256, decoded_sha256.
 
-    Null and empty texts have no ids.  Repeated rows get a row each and null ids
-    stay null; an empty table gives an empty result; other columns play no part.
+    Null and empty texts have no ids.  A very long text is one batch of its own;
+    memory and time grow with its length.  Repeated rows get a row each and null
+    ids stay null; an empty table gives an empty result; other columns, whatever
+    their names, play no part.
     """
     model = _model(docs, path)
 
     def digest(texts: pa.Array) -> pa.Array:
         one = codec(model.value)
-        n, ids, decoded = zip(*(one.digest(b.decode()) for b in utf8(texts))) if len(texts) else ((), (), ())
+        rows = [_digest(*row) for some in batches(texts) for row in one.encode_batch(some)]
+        n, ids, decoded = zip(*rows) if rows else ((), (), ())
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.string()),
                                            pa.array(decoded, pa.string())], names=_DIGEST.names)
 

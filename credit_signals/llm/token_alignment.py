@@ -29,8 +29,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_automaton import batches, byte_codec, load_spec
-from .common import materialise
+from .bpe_automaton import byte_codec, load_spec
+from .common import batches, materialise
 
 SPACE = "▁"
 KEPT_WINDOWS = 150_000

@@ -48,12 +48,23 @@ def test_table_equals_the_definition(codec):
         assert [codec.pieces[i] for i in codec._by_table(text)] == codec.merge(text)
 
 
-def test_caches_are_bounded(codec, monkeypatch):
+def test_caches_are_bounded(monkeypatch):
     monkeypatch.setattr(sc, "CACHED_UNITS", 3)
-    monkeypatch.setattr(sc, "CACHED_PAIRS", 5)
-    text = "many different words go through a very small cache and come back the same words again"
-    assert codec.encode(text) == LIBRARY.encode(text)
-    assert len(codec.young) <= 3 and len(codec.old) <= 3
+    monkeypatch.setattr(sc, "PAIR_BITS", 2)
+    one = sc.Codec(MODEL)
+    texts = ["many different words go through a very small cache", "and ▁ come back ▁x the same\x00 words é again " + "▁y" * 70] * 2
+    for text in texts:
+        assert one.encode_batch([text]) == [(",".join(map(str, LIBRARY.encode(text))), LIBRARY.decode(LIBRARY.encode(text)))]
+        assert len(one.known) <= 3 and all(len(name) <= sc.LONGEST_CACHED for name in one.changed)
+
+
+def test_batches_equal_single_texts(codec):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice([" ", "▁", "the", "\n", "é", "日", "\x00", "🎉", "ing", "  "]) for _ in range(rng.randint(0, 25)))
+             for _ in range(800)]
+    for (ids, decoded), text in zip(codec.encode_batch(texts), texts):
+        want = LIBRARY.encode(text)
+        assert sc.numbers(ids) == want and decoded == LIBRARY.decode(want)
 
 
 def test_rows(spark):
