@@ -2,11 +2,12 @@
 
 Documents fall into cells (source, language, topic).  The cells' token weights
 are raked: scaled to the target share of every source, then of every language,
-then of every topic, again and again until all three marginals hold.  A cell
-never gets more weight than its documents can give (probability one), so the
-share of tokens to draw is lowered until the targets can be met.  Then each
-document is drawn with its cell's probability, by a hash of its id, so a second
-run draws the same documents.
+then of every topic, again and again until all three marginals hold.  No
+level can give more than all its tokens and no cell more than probability one:
+a target beyond that is limited to what its level has, and the other levels of
+the dimension share the rest in proportion (water-filling), so a rare level
+costs the others nothing.  Then each document is drawn with its cell's
+probability, by a hash of its id, so a second run draws the same documents.
 
 Cells are summed map-side; a source with a third of all rows is one row per
 cell and task.  All raking steps run on the cell table, which is written once a
@@ -23,8 +24,7 @@ from pyspark.sql import types as T
 from .common import free_name, materialise, ship, utf8
 
 CELLS_PER_TASK = 100_000
-SHORTFALL = 0.01                 # of a level's target share that may be missing
-TRIES = 8                        # rakings, each with a lower share to draw, to meet the targets
+SHORTFALL = 0.05                 # of a level's limited target that may be missing without a warning
 DIMENSIONS = ("source", "lang", "topic")
 _FORM = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("topic", T.StringType())])
 _SIGNS, _CAPITALS = b"#*$%&|<>{}=", bytes(range(65, 91))
@@ -80,7 +80,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: i
     """``cells`` with ``weight`` (their sum is all tokens) and ``probability`` = keep * weight / tokens, at most one.
 
     ``cells`` has a column per dimension and ``tokens``; ``targets`` has (level,
-    share) per dimension.  Stops when a round changes no weight by more than
+    share) per dimension.  The cells are written once a round.  Stops when a round changes no weight by more than
     ``tolerance`` of itself, or after ``rounds``; where the caps do not allow the
     targets, the last round is the answer.
     """
@@ -97,7 +97,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: i
                 .select(F.col("level").alias(d), F.when(F.col("has") > 0, F.col("want") / F.col("has")).otherwise(0.0).alias("factor"))
             at = at.join(factor, d, "left").withColumn(
                 "weight", F.least(F.col("weight") * F.coalesce("factor", F.lit(0.0)), most)).drop("factor")
-            at = materialise(at.coalesce(parts), "cells").coalesce(parts)
+            at = at.coalesce(parts)
+        at = materialise(at, "cells").coalesce(parts)
         change = at.agg(F.max(F.when(F.col("before") > 0, F.abs(F.col("weight") / F.col("before") - 1)))).first()[0]
         at = at.drop("before")
         if (change or 0.0) <= tolerance:
@@ -122,48 +123,56 @@ def _measured(docs: DataFrame, text_col: str, topic_col: str | None) -> tuple[Da
                                          topic.alias("topic"), F.col(f"{m}.n_tokens").alias("n_tokens"))), m
 
 
+def limited(cells: DataFrame, dimension: str, target: DataFrame, keep: float) -> DataFrame:
+    """(level, share, limit) of (level, share): the share that a level can have when ``keep`` of all tokens are drawn.
+
+    A level gives at most all its tokens; what it cannot give goes to the others
+    in proportion to their shares, again and again until nobody is over.  Every
+    step settles one level at least, and usually all that will be.
+    """
+    levels = materialise(target.join(cells.groupBy(F.col(dimension).alias("level")).agg(F.sum("tokens").alias("has")), "level"),
+                         "levels")
+    total = levels.agg(F.sum("has")).first()[0] or 0
+    rate = drawn = keep * total                  # a level draws rate * share, or all it has
+    while total:
+        over = F.col("has") <= F.lit(rate) * F.col("share")
+        full, share = levels.agg(F.sum(F.when(over, F.col("has"))), F.sum(F.when(~over, F.col("share")))).first()
+        if not share or (drawn - (full or 0)) / share <= rate * (1 + 1e-12):
+            break
+        rate = (drawn - (full or 0)) / share
+    limit = F.least(F.col("has").cast("double"), F.lit(float(rate)) * F.col("share")) / F.lit(float(drawn or 1))
+    return levels.select("level", "share", limit.alias("limit"))
+
+
 def reached(cells: DataFrame, targets: dict[str, DataFrame], weight: str = "weight") -> DataFrame:
-    """(dimension, level, target, reached): the share of all tokens that a level should have and has in ``weight``."""
+    """(dimension, level, target, limited, reached): the shares that a level should have, can have, and has in ``weight``."""
     total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
     out = None
     for d, target in targets.items():
         has = cells.groupBy(F.col(d).alias("level")).agg((F.sum(weight) / F.lit(total)).alias("reached"))
-        rows = target.join(has, "level").select(F.lit(d).alias("dimension"), "level", F.col("share").alias("target"), "reached")
+        rows = target.join(has, "level").select(F.lit(d).alias("dimension"), "level", F.col("share").alias("target"),
+                                                F.col("limit").alias("limited"), "reached")
         out = rows if out is None else out.union(rows)
     return out
 
 
-def _worst(shares: DataFrame) -> float:
-    """The least reached part of a target."""
-    least = shares.where("target > 0").agg(F.min(F.col("reached") / F.col("target"))).first()[0]
-    return 1.0 if least is None else least
-
+def fit(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(raked cells, ``reached`` shares): raking towards the limited targets.
 
-def fit(cells: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: int = 8) -> tuple[DataFrame, DataFrame, float]:
-    """(raked cells, ``reached`` shares, share to draw): the largest share found, at most ``keep``, that meets the targets.
-
-    No level can give more than all its tokens, which bounds the share; from there it is lowered by what the worst
-    level misses.  Targets that contradict each other are not met by drawing less: then the bound stays, with a warning.
+    Where even these contradict each other (two dimensions that fix each other, cells at probability one), the last
+    round is the answer and a warning tells the worst level.
     """
-    targets = {d: materialise(t, "targets") for d, t in targets.items()}
-    keep = bound = min(keep, keep if not cells.head(1) else _worst(reached(cells, targets, "tokens")))
-    first = None
-    for _ in range(TRIES):
-        raked = rake(cells, targets, keep, rounds)
-        shares = materialise(reached(raked, targets), "shares")
-        worst = _worst(shares)
-        if worst >= 1 - SHORTFALL:
-            return raked, shares, keep
-        if first and worst < last + SHORTFALL / 10:              # drawing less does not help
-            break
-        first, last = first or (raked, shares, worst), worst
-        keep *= max(worst, 0.5)
-    warnings.warn(f"mixing: the targets cannot be met; the worst level reaches {first[2]:.3f} of its share", stacklevel=2)
-    return first[0], first[1], bound
+    targets = {d: materialise(limited(cells, d, t, keep), "targets") for d, t in targets.items()}
+    raked = rake(cells, {d: t.select("level", F.col("limit").alias("share")) for d, t in targets.items()}, keep, rounds)
+    rows = materialise(reached(raked, targets), "shares")
+    worst = rows.where("limited > 0").agg(F.min(F.col("reached") / F.col("limited"))).first()[0]
+    if worst is not None and worst < 1 - SHORTFALL:
+        warnings.warn(f"mixing: the targets cannot all be met; the worst level reaches {worst:.3f} of its share", stacklevel=2)
+    return raked, rows
 
 
 def _fitted(measured: DataFrame, targets: dict[str, dict[str, float]] | None, alpha: float, keep: float,
-            rounds: int) -> tuple[DataFrame, DataFrame, float]:
+            rounds: int) -> tuple[DataFrame, DataFrame]:
     cells = materialise(measured.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
     wanted = {d: given(cells, d, targets[d]) if targets and d in targets else tempered(cells, d, alpha) for d in DIMENSIONS}
     return fit(cells, wanted, keep, rounds)
@@ -178,10 +187,9 @@ def fitted_cells(measured: DataFrame, targets: dict[str, dict[str, float]] | Non
 def shares(docs: DataFrame, text_col: str = "text", topic_col: str | None = None,
            targets: dict[str, dict[str, float]] | None = None, alpha: float = 0.8, keep: float = 0.75,
            rounds: int = 8) -> DataFrame:
-    """(dimension, level, target, reached, keep): what ``mix`` aims at, what its weights reach, and the share it draws."""
+    """(dimension, level, target, limited, reached): what ``mix`` aims at, what the levels can give, what its weights reach."""
     shaped, m = _measured(docs, text_col, topic_col)
-    _, rows, drawn = _fitted(shaped.select(f"{m}.*"), targets, alpha, keep, rounds)
-    return rows.withColumn("keep", F.lit(drawn))
+    return _fitted(shaped.select(f"{m}.*"), targets, alpha, keep, rounds)[1]
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None,
@@ -189,12 +197,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic_c
         rounds: int = 8, seed: int = 42) -> DataFrame:
     """One row per input row: id, source, lang, topic, n_tokens, probability, selected.
 
-    ``keep`` is the share of all tokens to draw at most: where a level must be
-    raised beyond its tokens, less is drawn so that the targets hold (``shares``
-    tells both).  Dimensions without given ``targets`` are tempered by
+    ``keep`` is the share of all tokens to draw, whatever the levels: a target
+    that its level cannot give is limited (``shares`` tells target, limit and
+    what was reached).  Very long texts count with all their words.  Dimensions without given ``targets`` are tempered by
     ``alpha``.  Null sources, languages and topics
     are the level ''.  Empty texts have no tokens: they weigh nothing and are
-    drawn with the probability ``keep`` used if their whole cell is empty.  Repeated rows
+    drawn with the probability ``keep`` if their whole cell is empty.  Repeated rows
     share their draw; null ids are drawn by text.  An empty table gives an empty
     result; other columns of ``docs`` play no part.
     """

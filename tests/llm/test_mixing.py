@@ -98,28 +98,54 @@ def test_empty_table_and_topic_column(spark):
     assert {r.topic for r in mixing.mix(docs, topic_col="lang").collect()} == {"en", ""}
 
 
-def test_marginals_hold_with_the_registered_parameters(spark):
-    from credit_signals.llm.queries import QUERIES
-    rows = QUERIES["op4_source_mixing"](spark, "/root/testdata/sf0.01").collect()
-    total = sum(r.n_tokens for r in rows)
-    for d in mixing.DIMENSIONS:
-        has, drawn = defaultdict(int), defaultdict(float)
-        for r in rows:
-            has[r[d]] += r.n_tokens
-            drawn[r[d]] += r.n_tokens * r.probability
-        powers = {k: v ** 0.8 for k, v in has.items() if v}
-        for k, p in powers.items():
-            assert drawn[k] / sum(drawn.values()) == pytest.approx(p / sum(powers.values()), rel=0.02)
-    drawn = sum(r.n_tokens * r.probability for r in rows) / total
-    assert 0.5 < drawn <= 0.75
+def water_fill(has, share, drawn):
+    """Draws per level by bisection on the rate."""
+    low, high = 0.0, 1e18
+    for _ in range(400):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(has[k], mid * share[k]) for k in has) < drawn else (low, mid)
+    return {k: min(has[k], high * share[k]) for k in has}
+
+
+@pytest.mark.parametrize("keep", [0.1, 0.5, 0.75, 0.95, 1.0])
+def test_limits_are_water_filling(spark, keep):
+    cells, frame = cells_frame(spark, 7, 200)
+    for d, name in enumerate(mixing.DIMENSIONS):
+        has = defaultdict(int)
+        for k, v in cells.items():
+            has[k[d]] += v
+        has = {k: v for k, v in has.items() if v}
+        rows = {r.level: r for r in mixing.limited(frame, name, mixing.tempered(frame, name, 0.3), keep).collect()}
+        want = water_fill(has, {k: r.share for k, r in rows.items()}, keep * sum(has.values()))
+        for k, r in rows.items():
+            assert r.limit * keep * sum(has.values()) == pytest.approx(want[k], rel=1e-6)
+
+
+def drawn_share(rows):
+    return sum(r.n_tokens * r.probability for r in rows) / sum(r.n_tokens for r in rows)
+
+
+def test_limited_marginals_hold_with_the_registered_parameters(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert drawn_share(mixing.mix(docs).collect()) > 0.7
+    for r in mixing.shares(docs).collect():
+        assert r.reached == pytest.approx(r.limited, rel=0.15) or r.limited < 0.005
+
+
+def test_a_rare_level_costs_the_others_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rare = docs.limit(1).selectExpr("-1L AS doc_id", "'five words in one language' AS text", "'xx' AS lang", "source", "n_chars")
+    before = mixing.mix(docs).where("selected").count()
+    after = mixing.mix(docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(rare)).where("selected").count()
+    assert abs(after - before) <= 0.01 * before and before > 600
 
 
-def test_shares_tell_target_and_reached(spark):
+def test_shares_tell_target_limit_and_reached(spark):
     docs = documents(spark, [(i, f"some words of document number {i}") for i in range(200)])
-    rows = mixing.shares(docs, targets={"source": {"s0": 0.8}}).collect()
+    rows = mixing.shares(docs, targets={"source": {"s0": 0.8}}, keep=0.75).collect()
     by = {(r.dimension, r.level): r for r in rows}
-    assert by["source", "s0"].target == pytest.approx(0.8) and by["source", "s0"].reached == pytest.approx(0.8, rel=0.01)
-    assert 0.4 < by["source", "s0"].keep < 0.75
-    with pytest.warns(UserWarning, match="cannot be met"):       # topics are fixed by the language column
-        rows = mixing.shares(docs, topic_col="lang", targets={"lang": {"en": 0.9}, "topic": {"en": 0.1}}).collect()
-    assert any(r.reached < 0.9 * r.target for r in rows)
+    s0 = by["source", "s0"]
+    assert s0.target == pytest.approx(0.8) and s0.limited < 0.8 and s0.reached == pytest.approx(s0.limited, rel=0.05)
+    with pytest.warns(UserWarning, match="cannot all be met"):       # topics are fixed by the language column
+        rows = mixing.shares(docs, topic_col="lang", targets={"lang": {"en": 0.9}, "topic": {"en": 0.1}}, keep=0.1).collect()
+    assert any(r.reached < 0.9 * r.limited for r in rows)
