@@ -1,8 +1,8 @@
 """URL rules by host suffix and path prefix.
 
-A URL stands for a set of expressions: each suffix of its host at a label
-boundary, followed by each prefix of its path that is as long as some rule's
-path.  A rule fits exactly when it is one of these expressions, so the work is
+A URL stands for a set of expressions: each suffix of its host with as many
+labels as some rule's host, followed by each prefix of its path that is as long
+as some rule's path.  A rule fits exactly when it is one of these expressions, so the work is
 an equi-join: on a short prefix of the expressions' hash first, then on the
 full digest.  The longest rule that fits decides.
 
@@ -37,17 +37,20 @@ def _digest(host: Column, path: Column) -> Column:
     return F.sha2(F.concat(host, F.lit("\n"), path), 256)
 
 
+def _labels(host: str) -> Column:
+    return F.char_length(host) - F.char_length(F.replace(F.col(host), F.lit("."), F.lit(""))) + 1
+
+
 def _decide(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path, rule, verdict) for the distinct (host, path) pairs that a rule fits."""
     known = rules.select(F.lower("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict") \
         .withColumn("digest", _digest(F.col("rule_host"), F.col("rule_path"))) \
         .withColumn("short", F.substring("digest", 1, HASH_PREFIX))
-    # the lengths of rule paths: no more of them than the longest rule path has characters
-    found = known.select(F.char_length("rule_path").alias("n")).where("n is not null").distinct().collect()
-    lengths = F.array(*[F.lit(r.n) for r in found]).cast("array<int>")
-    labels = F.split("host", r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
-        F.slice(labels, i, F.size(labels)), "."))
+    # what lengths rules have: no more of them than the longest rule has labels and characters
+    counts = known.agg(F.collect_set(F.char_length("rule_path")), F.collect_set(_labels("rule_host"))).first()
+    lengths, label_counts = (F.array(*[F.lit(n) for n in sorted(some)]).cast("array<int>") for some in counts)
+    suffixes = F.transform(F.filter(label_counts, lambda n: n <= _labels("host")),
+                           lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n))
     prefixes = F.transform(F.filter(lengths, lambda n: n <= F.char_length("path")),
                            lambda n: F.substring(F.col("path"), F.lit(1), n))
     asked = urls.select("host", "path", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes")) \
@@ -66,7 +69,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     """One row per input row: id, host, path, rule (null if none fits), verdict.
 
     A null URL, or one without ``://``, has an empty host and path, which no
-    rule with a host fits.  Of rules of one length a blocking one wins, then the
+    rule with a host fits.  Work on a very long host or path is linear in it, for
+    each length that rules have.  Of rules of one length a blocking one wins, then the
     greater rule string.  Repeated rows get a row each; null ids stay null; an
     empty table gives an empty result; other columns of ``pages`` play no part.
     """

@@ -47,3 +47,20 @@ def test_no_python_and_no_forced_broadcast_of_data(spark):
     pages = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     plan = u.judge_urls(pages, u.rule_table(spark, RULES))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_very_long_host_and_path_are_judged_in_time(spark):
+    import time
+    from credit_signals.llm.queries import URL_RULES
+    rows = [(1, "http://" + "a." * 100_000 + "example.com/en/x"), (2, "http://x.net" + "/fr/" + "p/" * 200_000),
+            (3, "http://" + "b." * 100_000 + "org/"), (4, "http://" + "." * 50_000 + "www.example.com/en/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    begun = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in u.judge_urls(pages, u.rule_table(spark, URL_RULES)).collect()}
+    assert got == {1: ("example.com/en/", "block"), 2: ("net/fr/", "block"), 3: (None, "allow"), 4: ("www.example.com/en/", "allow")}
+    assert time.time() - begun < 20
+
+
+def test_no_rules(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
+    assert u.judge_urls(pages, u.rule_table(spark, [("block", "x", "y")]).limit(0)).first().verdict == "allow"
