@@ -127,13 +127,33 @@ _SPELLED_PART = re.compile(rf"plus|{_WORD}|[0-9]+", re.I)
 _TLD = rf"(?:{'|'.join(sorted(set(_ENDINGS), key=len, reverse=True))}|[a-z][a-z]|xn--[a-z0-9-]+)(?![A-Za-z0-9])"
 _JOINED = re.compile(r"[A-Za-z0-9._%+-]+")
 _ENDING = re.compile(_TLD, re.I)
+# fixed values: endings that are words of everyday prose; spelled out without a sign they end no address
+_PROSE = frozenset(
+    "one today how plus work works live life news win top red pink blue black gold green love family baby care run play fun "
+    "cool land link click page house home city town health food bar gift game games sale band school bike car cars hair market "
+    "report review press events parts earth music photo pictures dog horse kids training support help wine beer coffee "
+    "it is on so in at to me my no do be as am us by go he hi if of oh ok or ox up we an ah la ad id pa ma al de el en es et il "
+    "je le lo mi ne ni nu os ou se si su sa ta te tu un va ya yo zu da du er ja ob um wo im ab um ed re ha ho hm eh uh".split())
+# a spelled address is signed by a digit, a dot or an underscore in its name, or by such a word before it
+_SIGNED_NAME = re.compile(r"[0-9._]")
+_SIGN = re.compile(r"(?:e-?mails?|mails?|mailto|write|contact|reach|address|inbox)[ \t]*(?:(?:is|me|us|to|at|via|by|on)[ \t]*){0,2}[:=]?[ \t]*$",
+                   re.I)
+_AT_SIGN = re.compile(r"(?<=[A-Za-z0-9%+_-])[ \t]+@[ \t]+(?=[A-Za-z0-9-]+(?:(?:\.|[ \t]+dot[ \t]+)[A-Za-z0-9-]+)*[ \t]+dot[ \t]+[A-Za-z])", re.I)
+_TEENS = dict(zip("ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(), range(10, 20)))
+_TENS = dict(zip("twenty thirty forty fifty sixty seventy eighty ninety".split(), range(20, 100, 10)))
+_NUMERAL = "|".join([*_DIGIT_WORDS, *_TEENS, *_TENS, "[0-9]{1,3}"])
+_NUMBER = rf"(?:{_NUMERAL})(?:[ \t-]+(?:{_NUMERAL})){{0,2}}"
+# four numbers in words or digits, three spelled dots, at least one number in words
+_SPELLED_IP = re.compile(rf"(?<![A-Za-z0-9.])(?={_NUMBER}[ \t]+dot)({_NUMBER})[ \t]+dot[ \t]+({_NUMBER})[ \t]+dot[ \t]+({_NUMBER})"
+                         rf"[ \t]+dot[ \t]+({_NUMBER})(?![A-Za-z0-9]|[ \t]+dot[ \t])", re.I)
 _AT_BOX = re.compile(r"[(\[{<][ \t]*(?:at|@)[ \t]*[)\]}>]", re.I)
 _DOT_BOX = re.compile(r"[(\[{<][ \t]*(?:dot|\.)[ \t]*[)\]}>]", re.I)
 _DOT_NUMBER = re.compile(r"(?<=[0-9])[ \t]+dot[ \t]+(?=[0-9])", re.I)
 _NAME, _LABEL = r"[A-Za-z0-9_%+-]+", r"[A-Za-z0-9-]+"
 _DOT = r"(?:\.|[ \t]+dot[ \t]+)"
-# spelled without brackets, "at" counts only before a spelled "dot" and a known ending
+# spelled without brackets, "at" counts only before a spelled "dot" and an ending (``_spelled_ats`` looks at it)
 _AT_WORDS = re.compile(rf"(?<=[A-Za-z0-9%+_-])[ \t]+at[ \t]+(?={_LABEL}(?:{_DOT}{_LABEL})*[ \t]+dot[ \t]+{_TLD})", re.I)
+_LAST_LABEL = re.compile(rf"{_LABEL}(?:{_DOT}{_LABEL})*[ \t]+dot[ \t]+({_TLD})", re.I)
 _DOT_WORDS = re.compile(rf"@{_LABEL}(?:{_DOT}{_LABEL})*[ \t]+dot[ \t]+{_TLD}", re.I)
 _DOT_BEFORE_AT = re.compile(rf"@{_NAME}(?:[ \t]+tod[ \t]+{_NAME})+", re.I)      # read from right to left
 _DOT_WORD = re.compile(r"(?<![ \t])[ \t]+dot[ \t]+", re.I)
@@ -246,6 +266,46 @@ def _joined_addresses(mapped: Mapped) -> None:
     mapped.rewrite([e for i, e in enumerate(edits) if not i or e[0] >= edits[i - 1][1]])
 
 
+def _number(words: str) -> str | None:
+    """The number that digit words, or a ten with a unit, say; None if they say none."""
+    parts = re.split(r"[ \t-]+", words.lower())
+    if all(p in _DIGIT_WORDS for p in parts):
+        return "".join(_DIGIT_WORDS[p] for p in parts)
+    if len(parts) == 1:
+        return str(_TEENS.get(words.lower(), _TENS.get(words.lower(), words)))
+    if len(parts) == 2 and parts[0] in _TENS and parts[1] in _DIGIT_WORDS and parts[1] != "zero":
+        return str(_TENS[parts[0]] + int(_DIGIT_WORDS[parts[1]]))
+    return None
+
+
+def _spelled_ips(mapped: Mapped) -> None:
+    edits = []
+    for m in _SPELLED_IP.finditer(mapped.text):
+        numbers = [_number(g) for g in m.groups()]
+        if None in numbers or all(g.isdigit() for g in m.groups()):
+            continue
+        for i, number in enumerate(numbers, 1):
+            edits.append((m.start(i), m.end(i), number))
+            if i < 4:
+                edits.append((m.end(i), m.start(i + 1), "."))
+    mapped.rewrite(edits)
+
+
+def _spelled_ats(mapped: Mapped) -> None:
+    """ " at " before a host with a spelled dot, unless the ending is a word of prose and nothing signs the address."""
+    text, edits = mapped.text, []
+    for m in _AT_WORDS.finditer(text):
+        ending = _LAST_LABEL.match(text, m.end())[1].lower()
+        if ending in _PROSE:
+            start = m.start()
+            while start > max(0, m.start() - 64) and text[start - 1] in _LOCAL:
+                start -= 1
+            if not (_SIGNED_NAME.search(text, start, m.start()) or _SIGN.search(text[max(0, start - 40):start])):
+                continue
+        edits.append((m.start(), m.end(), "@"))
+    mapped.rewrite(edits)
+
+
 def normalise(text: str) -> Mapped | None:
     """The normalised text with its source spans; None if nothing in ``text`` is disguised."""
     table, odd = _characters()
@@ -256,12 +316,15 @@ def normalise(text: str) -> Mapped | None:
     mapped = Mapped(text)
     if strange:
         mapped.rewrite([(m.start(), m.end(), table[m[0]]) for m in odd.finditer(text)])
+    if "dot" in lower:
+        _spelled_ips(mapped)
     _spelled_digits(mapped)
     mapped.each(_AT_BOX, "@", blanks=True)
     mapped.each(_DOT_BOX, ".", blanks=True)
     mapped.each(_DOT_NUMBER, ".")
     _joined_addresses(mapped)
-    mapped.each(_AT_WORDS, "@")
+    mapped.each(_AT_SIGN, "@")
+    _spelled_ats(mapped)
     mapped.inside([m.span() for m in _DOT_WORDS.finditer(mapped.text)], _DOT_WORD, ".")
     n, reverse = len(mapped.text), mapped.text[::-1]
     before = [(n - m.end(), n - m.start()) for m in _DOT_BEFORE_AT.finditer(reverse)]
@@ -315,8 +378,8 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """One row per input row: id, plain counts per kind, base_sha256, spans (all), n_added.
 
     ``spans`` lists ``kind:start:end`` by start, then kind, in code points of the
-    source with an exclusive end.  Null and empty texts have none; repeated rows
-    get a row each and null ids stay null; an empty table gives an empty result;
+    source with an exclusive end.  Null and empty texts have none; a very long
+    text is read whole, in linear time; repeated rows get a row each and null ids stay null; an empty table gives an empty result;
     other columns of ``docs`` play no part.
     """
     ship(docs.sparkSession)

@@ -116,3 +116,52 @@ def test_common_disguises(text, kind, want):
 def test_joined_and_mixed_long_texts_are_read_in_linear_time():
     for text in ("a_dot_" * 40_000, "a-at-b-dot-" * 20_000, "1 one " * 40_000, "1" * 200_000 + " one", "1 " * 100_000 + "one"):
         pii.find(text)
+
+
+@pytest.mark.parametrize("text", [
+    "we met at home dot it was late", "look at the dot on the map", "see me at noon dot is that right", "look at that dot so nice",
+    "point at A dot in the plane", "look at the dot one day", "stay at work dot no more", "arrive at five dot we wait", "one dot two dot three",
+    "she looked at him dot he smiled", "at rest dot me too"])
+def test_prose_has_no_addresses(text):
+    assert pii.find(text) == ([], [])
+
+
+@pytest.mark.parametrize("text, kind, span", [
+    ("say joe @ mail dot com now", 0, "joe @ mail dot com"), ("ten dot one dot two dot three", 1, "ten dot one dot two dot three"),
+    ("at one nine two dot one six eight dot one dot one, ok", 1, "one nine two dot one six eight dot one dot one"),
+    ("write to ann at host dot it", 0, "ann at host dot it"), ("ann_b at host dot it", 0, "ann_b at host dot it"),
+    ("ann [at] host [dot] it", 0, "ann [at] host [dot] it"), ("anna at firma dot cz", 0, "anna at firma dot cz"),
+    ("twenty five dot 1 dot two dot three", 1, "twenty five dot 1 dot two dot three")])
+def test_spelled_identifiers(text, kind, span):
+    start = text.index(span)
+    assert pii.find(text) == ([], [(start, kind, start + len(span))])
+
+
+def disguised(rng):
+    """(kind, text) of an identifier in a disguise that the operator promises to read."""
+    pick = rng.choice
+    words = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
+    if pick([True, False]):
+        name, host, end = pick(["anna", "j_doe", "max7"]), pick(["firma", "posteo", "web-mail"]), pick(["com", "net", "cz", "info"])
+        at, dot = pick([(" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" @ ", " dot "), ("{at}", "{.}")])
+        if pick([True, False]):
+            name = name.replace("a", "а")        # Cyrillic
+        return 0, f"{name}{at}{host}{dot}{end}"
+    parts = [str(rng.randint(0, 255)) for _ in range(4)]
+    spelled = rng.randrange(4)
+    return 1, " dot ".join(" ".join(words[int(d)] for d in p) if i == spelled or rng.random() < 0.4 else p
+                           for i, p in enumerate(parts))
+
+
+def test_disguises_against_their_construction():
+    rng = random.Random(9)
+    prose = ["we sat by the river,", "nothing to see here;", "the meeting was long.", "look at the sky!", "Schöne Grüße;"]
+    for _ in range(500):
+        text, want = rng.choice(prose), []
+        for _ in range(rng.randint(1, 3)):
+            kind, some = disguised(rng)
+            start = len(text) + 1
+            text = f"{text} {some}, {rng.choice(prose)}"
+            want.append((start, kind, start + len(some)))
+        base, added = pii.find(text)
+        assert (base, added) == ([], want), text
