@@ -61,10 +61,11 @@ def run_features(spark: SparkSession, accounts_path: str, bureau_path: str, out_
     else:
         W.write_features(features, out_path, compact=compact)
     # an input that the plan dropped as empty was never observed
-    loaded = {name: seen[name].get.get("rows") if name in seen else None for name in ("accounts", "bureau")}
+    loaded = {name: W.observed(seen[name]).get("rows") if name in seen else None for name in ("accounts", "bureau")}
     n_accounts = accounts.count() if loaded["accounts"] is None else loaded["accounts"]
     n_bureau = bureau.count() if loaded["bureau"] is None else loaded["bureau"]
-    total, high = written.get.get("rows", 0), written.get.get("flagged", 0)
+    out = W.observed(written)
+    total, high = out.get("rows", 0), out.get("flagged", 0)
     pct = round(high * 100.0 / total, 2) if total else None
     return FeatureJobResult(n_accounts, n_bureau, total, high, pct, out_path)
 
@@ -98,7 +99,7 @@ def run_scoring(spark: SparkSession, features_path: str, target: str, fmt: str =
     scored, seen = W.counted(scored)
     written = W.write_scored(scored, target, fmt=fmt, options=options, replace_days_only=replace_days_only, names=names)
     if written is None:
-        written = seen.get.get("rows", 0)
+        written = W.observed(seen).get("rows", 0)
     return ScoringJobResult(trained.model, trained.auc, trained.train_rows, trained.test_rows,
                             written, target)
 

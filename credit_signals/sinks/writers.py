@@ -4,6 +4,7 @@ lost executor only re-runs its tasks."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,16 @@ def counted(df: DataFrame, **more) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in more.items()]), seen
 
 
+def observed(seen: Observation) -> dict:
+    """The counts of ``counted``; none where the plan left out the counted part as known to be empty."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:               # such an observation has a row without a schema
+        if "assertion failed" not in str(error.java_exception):
+            raise
+        return {}
+
+
 def publish_features(df: DataFrame, table: str, rows: Observation, compact: bool = False) -> manifest.Manifest:
     """The feature table as the next version of ``table``: written beside the old one, then named by a manifest.
 
@@ -48,7 +59,7 @@ def publish_features(df: DataFrame, table: str, rows: Observation, compact: bool
     """
     run = manifest.new_run()
     write_features(df, f"{table.rstrip('/')}/files/{run}", mode="errorifexists", compact=compact)
-    return manifest.commit(table, df.schema.json(), [{"file": f"files/{run}", "rows": rows.get["rows"]}])
+    return manifest.commit(table, df.schema.json(), [{"file": f"files/{run}", "rows": observed(rows).get("rows", 0)}])
 
 
 def write_scored(scored: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None,
