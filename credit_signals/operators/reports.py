@@ -33,6 +33,7 @@ def verification_report(features: DataFrame) -> DataFrame:
                          share("low_risk_accounts", "total_accounts", 1).alias("low_risk_pct"))
 
 
+# Fixed value: the columns of the report's sample.
 SAMPLE_COLUMNS = ("account_id", "credit_score", "debt_ratio", "delinquency_risk_score", "high_risk_flag")
 
 

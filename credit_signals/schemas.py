@@ -13,6 +13,10 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# ---------------------------------------------------------------------------
+# Column names, order and types of the tables that users already
+# have; results must carry exactly these.
+# ---------------------------------------------------------------------------
 ACCOUNTS = _struct(
     ("account_id", _S), ("credit_score", _I), ("monthly_income", _I), ("balance", _I),
     ("debt_ratio", _D), ("delinquency_30_days", _I), ("delinquency_60_days", _I),
@@ -42,7 +46,7 @@ SCORED = _struct(
 # Fixed value: the declared warehouse table names one column differently.
 DDL_NAMES = {"debt_stress_score": "debt_stress"}
 
-# Where the scored frame's columns come from, for the 11-column projection.
+# Fixed value: where the scored frame's columns come from, for the 11-column projection.
 SCORED_SOURCES = {"score": "risk_score", "debt_stress_score": "debt_stress"}
 
 RUN_LOG = _struct(
