@@ -19,6 +19,7 @@ from credit_signals.operators import features as FT
 from credit_signals.operators import joins as J
 from credit_signals.operators import model as M
 from credit_signals.session import observing_session
+from credit_signals.sinks import warehouse
 from credit_signals.sinks import writers as W
 from credit_signals.sources import readers as RD
 from credit_signals.sources.fixtures import has_unique_keys
@@ -93,12 +94,15 @@ def run_scoring(spark: SparkSession, features_path: str, target: str, fmt: str =
     """
     prepared = M.prepare_features(RD.read_features(spark, features_path))
     trained = M.train_model(prepared, split=split, max_iter=max_iter, auc=auc)
-    features = M.fill_feature_nulls(RD.read_features(observing_session(spark), features_path))
+    told = fmt == warehouse.FORMAT        # the connector's tasks tell what they wrote; other rows are observed
+    features = M.fill_feature_nulls(RD.read_features(spark if told else observing_session(spark), features_path))
     scored = M.score_with_weights(features.withColumn(R.LABEL_COL, F.col(R.LABEL_COL).cast("double")),
                                   M.LinearScore.from_model(trained.model), run_ts=run_ts)
-    scored, seen = W.counted(scored)
+    seen = None
+    if not told:
+        scored, seen = W.counted(scored)
     written = W.write_scored(scored, target, fmt=fmt, options=options, replace_days_only=replace_days_only, names=names)
-    if written is None:
+    if seen is not None:
         written = W.observed(seen).get("rows", 0)
     return ScoringJobResult(trained.model, trained.auc, trained.train_rows, trained.test_rows,
                             written, target)

@@ -25,7 +25,7 @@ def test_every_query_has_sql_or_is_declared_rows_only():
     from credit_signals.plans.catalog import ROWS_ONLY
     assert set(ALL) == set(SQL) | ROWS_ONLY
     assert ROWS_ONLY == {"model_coefficients", "model_auc", "scored_accounts", "positive_probability",
-                         "random_split_counts"}
+                         "random_split_counts", "fit_losses"}
 
 
 def test_entry_is_flagship(spark):
