@@ -12,10 +12,12 @@
    short ones, are copies and count as one.  What stands on pages that are no
    copies of each other is repeated across the host, and every page is told how
    many such substrings its candidates hold.
-4. The text of an article that is no chrome by markup always stays: sentences
-   that many articles share are still their text.  On pages without an article,
-   where markup leaves the blocks open, those that repeated substrings cover go,
-   unless nothing would be left.
+4. The substrings decide on every page which candidates go.  On pages without an
+   article, where markup leaves the blocks open, those that repeated substrings
+   cover go, unless nothing would be left.  Sentences that some articles share are
+   still their text, so a block of an article goes only if substrings that stand
+   on most pages of the host cover all of it, as notices without a class do, and
+   if most of the article is left.
 
 A task's array is bounded by ``chunk_tokens`` and one page, the merge is cut into
 ranges of keys by the number of tokens, and no host is gathered in one task.
@@ -25,7 +27,6 @@ as make chance meetings equally rare at every size of the input.
 
 import html
 import re
-import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -46,6 +47,8 @@ RUN = 6                          # tokens that two pages must share
 COVERED = 0.6                    # share of a block's tokens in repeated substrings that makes it boilerplate
 COPIED = 0.75                    # share of a page's tokens in common blocks that makes it a copy
 LONG = 8                         # tokens of a block that is no date, byline or counter
+COMMON_PAGES = 10                # pages of a host, no copies of each other, that a notice inside articles stands on at least
+COMMON = 0.5                     # and the share of the host's pages that have it, and of an article that may be notices
 SPARE_BITS = 14                  # of a key beyond the number of substrings: one in 2^14 meets another by chance
 CHARS_PER_TOKEN = 6
 BUCKET_TOKENS = 1 << 22          # tokens of one range of the merge
@@ -259,13 +262,13 @@ def suffix_groups(streams: list[list[str]], hosts: list[str], run: int, ids: np.
 
 _SPREAD = 0x9E3779B97F4A7C15
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
-_SUBSTRING, _WANTED, _PAGE, _COPY, _OPEN = range(5)     # kinds of rows; a wanted substring touches a candidate block
+_SUBSTRING, _WANTED, _PAGE, _COPY, _OPEN, _HOST = range(6)     # kinds of rows; a wanted substring touches a candidate block
 
 
 def _candidates(page: Page) -> tuple[list[bool], bool]:
     """Which blocks markup proposes as text, and whether it leaves them open.
 
-    Those inside an article, which are decided, or all but chrome, or the longest if all are chrome.
+    Those inside an article, of which only notices go, or all but chrome, or the longest if all are chrome.
     """
     inside = [article and not chrome for _, article, chrome in page.blocks]
     if any(inside):
@@ -334,12 +337,13 @@ def _copy_keys(texts: list[str], host: np.uint64) -> list[int]:
 def _packed(keys: np.ndarray, pages: np.ndarray, bits: int) -> bytes:
     """Sorted keys, as the byte planes of their differences, with the number of a page (and a flag) each."""
     planes = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
-    return zlib.compress(planes[:bits // 8 + 1].tobytes() + pages.astype(np.uint16).view(np.uint8).reshape(-1, 2).T.tobytes(), 6)
+    return zstandard.ZstdCompressor(3).compress(
+        planes[:bits // 8 + 1].tobytes() + pages.astype(np.uint16).view(np.uint8).reshape(-1, 2).T.tobytes())
 
 
 def _unpacked(data: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
     width = min(8, bits // 8 + 1)
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(width + 2, -1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width + 2, -1)
     keys = np.zeros((planes.shape[1], 8), np.uint8)
     keys[:, :width] = planes[:width].T
     return np.cumsum(keys.view(np.uint64).ravel(), dtype=np.uint64), \
@@ -347,7 +351,7 @@ def _unpacked(data: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _local_arrays(run: int, chunk_tokens: int, buckets: int, bits: int):
-    """A task's suffix arrays: (bucket, kind, base, data): the keys of a bucket, page ids, copy keys."""
+    """A task's suffix arrays: (bucket, kind, base, data): the keys of a bucket, page ids, copy keys, hosts."""
     def build(base: int, pages: list[int], hosts: list[str], streams: list[list[str]], masks: list[np.ndarray],
               copies: list[tuple[int, int]], undecided: list[tuple[int, int]]) -> pa.RecordBatch:
         ids, names = numbered([t for s in streams for t in s])
@@ -355,11 +359,13 @@ def _local_arrays(run: int, chunk_tokens: int, buckets: int, bits: int):
         sizes = np.fromiter(map(len, streams), np.int64, len(streams))
         starts = np.cumsum(sizes) - sizes
         spot = starts[page] + position
-        key = _keys(ids, names, np.repeat(np.array([_host_digest(h) for h in hosts], np.uint64), sizes), run, bits)[spot]
+        digests = np.array([_host_digest(h) for h in hosts], np.uint64)
+        key = _keys(ids, names, np.repeat(digests, sizes), run, bits)[spot]
         inside = np.concatenate(([0], np.cumsum(np.concatenate(masks))))
         wanted = inside[spot + run] > inside[spot]
         pairs = [(_PAGE, np.array(list(enumerate(pages)), np.int64)), (_COPY, np.array(copies, np.uint64)),
-                 (_OPEN, np.array(undecided, np.int64))]
+                 (_OPEN, np.array(undecided, np.int64)),
+                 (_HOST, np.column_stack((np.arange(digests.size, dtype=np.uint64), digests)))]
         spread = ((base >> 35) + (base >> 15 & 0xFFFFF)) % buckets               # by task and chunk
         rows = [(spread, kind, base, pair.tobytes()) for kind, pair in pairs if pair.size]
         if group.size:                           # one entry per substring and page: neighbours in the array
@@ -401,7 +407,10 @@ def _merge(bits: int):
 
 
 def _merged(key, table, bits: int):
-    """(number, key, kind) of one bucket: the pages of substrings that stand on two, page ids, copy keys."""
+    """(number, key, kind, often) of one bucket: the pages of substrings that stand on two, page ids, copy keys, hosts.
+
+    ``often`` marks candidates' substrings that stand on ``COMMON_PAGES`` pages, copies included.
+    """
     kind, bases, data = key[1].as_py(), table.column("base").to_pylist(), table.column("data").to_pylist()
     if kind == _SUBSTRING:
         parts = [_unpacked(d, bits) for d in data]
@@ -413,11 +422,15 @@ def _merged(key, table, bits: int):
         same = keys[1:] == keys[:-1]
         many = np.append(same, False) | np.concatenate(([False], same))[:keys.size]
         keys, numbers, kinds = keys[many].view(np.int64), numbers[many], (tags[many] & 1).astype(np.int8)
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if keys.size else np.zeros(0, np.int64)
+        pages = np.diff(first, append=keys.size)
+        often = np.repeat((pages >= COMMON_PAGES) & (np.maximum.reduceat(kinds, first) > 0), pages) if keys.size else np.zeros(0, bool)
     else:
         parts = [np.frombuffer(d, np.int64).reshape(-1, 2) for d in data]
         numbers = np.concatenate([p[:, 0] + base for p, base in zip(parts, bases)])
-        keys, kinds = np.concatenate([p[:, 1] for p in parts]), np.full(numbers.size, kind, np.int8)
-    return pa.table({"number": pa.array(numbers, pa.int64()), "key": pa.array(keys, pa.int64()), "kind": pa.array(kinds, pa.int8())})
+        keys, kinds, often = np.concatenate([p[:, 1] for p in parts]), np.full(numbers.size, kind, np.int8), np.zeros(numbers.size, bool)
+    return pa.table({"number": pa.array(numbers, pa.int64()), "key": pa.array(keys, pa.int64()), "kind": pa.array(kinds, pa.int8()),
+                     "often": pa.array(often, pa.bool_())})
 
 
 def _copies(merged: DataFrame) -> DataFrame:
@@ -428,56 +441,84 @@ def _copies(merged: DataFrame) -> DataFrame:
     return components(links).select(F.col("vertex").alias("number"), F.col("root").alias("first"))
 
 
+def _common(merged: DataFrame, copies: DataFrame) -> DataFrame:
+    """(key, common): substrings that stand on more than the share ``COMMON`` of a host's pages, and on ``COMMON_PAGES``."""
+    first = F.coalesce("first", "number").alias("first")
+    hosts = merged.where(F.col("kind") == _HOST).select("number", F.col("key").alias("host"))
+    pages = hosts.join(copies, "number", "left").groupBy("host").agg(F.countDistinct(first).alias("pages"))
+    held = merged.where("often").join(copies, "number", "left").groupBy("key") \
+        .agg(F.countDistinct(first).alias("on"), F.min("number").alias("number")).where(F.col("on") >= COMMON_PAGES)
+    return held.join(hosts, "number").join(pages, "host").where(F.col("on") > F.col("pages") * COMMON) \
+        .select("key", F.lit(True).alias("common"))
+
+
 def _repeated(merged: DataFrame) -> DataFrame:
-    """(page, n, keys): how many repeated substrings a page's candidates hold, and on pages left open which."""
+    """(page, n, keys): how many repeated substrings a page's candidates hold; which, or of an article the common ones."""
     found = merged.where(F.col("kind") <= _WANTED)
-    grouped = found.join(_copies(merged), "number", "left").select("key", F.coalesce("first", "number").alias("first"))
+    copies = _copies(merged)
+    grouped = found.join(copies, "number", "left").select("key", F.coalesce("first", "number").alias("first"))
     across = grouped.groupBy("key").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low <> high")
     undecided = merged.where(F.col("kind") == _OPEN).select("number", F.lit(True).alias("open"))
     held = found.where(F.col("kind") == _WANTED).join(across.select("key"), "key", "left_semi") \
-        .join(undecided, "number", "left").groupBy("number") \
-        .agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.when(F.col("open"), F.col("key"))).alias("keys"))
+        .join(_common(merged, copies), "key", "left").join(undecided, "number", "left").groupBy("number") \
+        .agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.when(F.coalesce("open", "common"), F.col("key"))).alias("keys"))
     pages = merged.where(F.col("kind") == _PAGE).select("number", F.col("key").alias("page"))
     # a page that is there more than once has equal substrings each time
     return held.join(pages, "number").groupBy("page").agg(F.max("n").alias("n"), F.max_by("keys", "number").alias("keys"))
 
 
-def _left(blocks: list[str], wanted: list[bool], host: str, keys: list[int], run: int, bits: int) -> list[bool]:
-    """Which candidate blocks of an open page stay: those that repeated substrings do not cover."""
+def _cover(blocks: list[str], host: str | None, keys: list[int], run: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, tokens that the substrings ``keys`` cover) of each block."""
     ids, names = numbered(_tokens(blocks))
     spots = np.flatnonzero(np.isin(_keys(ids, names, np.full(ids.size, _host_digest(host)), run, bits).view(np.int64), keys))
     mark = np.zeros(ids.size + 1, np.int64)
     mark[spots] += 1
     np.subtract.at(mark, spots + run, 1)
-    cover = np.cumsum(mark)[:-1] > 0
-    edges = np.cumsum([0] + [t.count(" ") + 1 for t in blocks]).tolist()
-    stay = [w and bool(cover[a:z].mean() < COVERED) for w, a, z in zip(wanted, edges, edges[1:])]
+    edges = np.cumsum([0] + [t.count(" ") + 1 for t in blocks])
+    return np.diff(edges), np.diff(np.append(0, np.cumsum(np.cumsum(mark)[:-1] > 0))[edges])
+
+
+def _left(blocks: list[str], wanted: list[bool], host: str | None, keys: list[int], run: int, bits: int) -> list[bool]:
+    """Which candidate blocks of an open page stay: those that repeated substrings do not cover."""
+    size, covered = _cover(blocks, host, keys, run, bits)
+    stay = (np.array(wanted) & (covered / size < COVERED)).tolist()
     return stay if any(stay) else wanted
 
 
+def _told(blocks: list[str], host: str | None, keys: list[int], run: int, bits: int) -> list[str]:
+    """The blocks of an article without those that common substrings cover whole, if these are the lesser part."""
+    size, covered = _cover(blocks, host, keys, run, bits)
+    notice = covered == size
+    if size[notice].sum() >= COMMON * size.sum():
+        return blocks
+    return [t for t, gone in zip(blocks, notice.tolist()) if not gone]
+
+
 _TEXT = T.StructType([T.StructField("data", T.BinaryType()), T.StructField("open", T.BooleanType())])
 
 
 def _proposals(pages: pa.Array) -> pa.Array:
-    """Compressed: the text of a decided page; the blocks of an open one, each behind its mark."""
+    """Compressed: the candidate blocks of a page with an article; all blocks of an open one, each behind its mark."""
     pack, data, opens = zstandard.ZstdCompressor(9).compress, [], []
     for at in range(0, len(pages), 64):
         for source in pages.slice(at, 64).to_pylist():
             blocks, wanted, open_ = _proposed(source)
             text = "\n".join("-+"[w] + t for t, w in zip(blocks, wanted)) if open_ else \
-                " ".join(t for t, w in zip(blocks, wanted) if w)
+                "\n".join(t for t, w in zip(blocks, wanted) if w)
             data.append(pack(text.encode("utf-8", "replace")))
             opens.append(open_)
     return pa.StructArray.from_arrays([pa.array(data, pa.binary()), pa.array(opens, pa.bool_())], names=_TEXT.names)
 
 
 def _texts(run: int, bits: int):
-    """The text of each proposal, with the repeated substrings of open pages."""
-    def text_of(data: bytes, open_: bool, host: str, keys: list[int] | None) -> str:
+    """The text of each proposal, without the blocks that the substrings of its page cover."""
+    def text_of(data: bytes, open_: bool, host: str | None, keys: list[int] | None) -> str:
         text = zstandard.ZstdDecompressor().decompress(data).decode()
-        if not open_ or not text:
+        if not text:
             return text
         rows = text.split("\n")
+        if not open_:
+            return " ".join(_told(rows, host, keys, run, bits) if keys else rows)
         blocks, wanted = [r[1:] for r in rows], [r[0] == "+" for r in rows]
         stay = _left(blocks, wanted, host, keys, run, bits) if keys else wanted
         return " ".join(t for t, s in zip(blocks, stay) if s)
@@ -509,11 +550,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     merged = materialise(
         rows.select("page", "host", "html")
         .mapInArrow(_local_arrays(run, chunk_tokens, buckets, bits), "bucket int, kind byte, base long, data binary")
-        .groupBy("bucket", "kind").applyInArrow(_merge(bits), "number long, key long, kind byte"), "substrings")
+        .groupBy("bucket", "kind").applyInArrow(_merge(bits), "number long, key long, kind byte, often boolean"), "substrings")
     repeated = materialise(_repeated(merged), "repeated")
-    proposed = rows.select("id", "url", "host", "page", F.arrow_udf(_proposals, _TEXT)("html").alias("t")) \
-        .select("id", "url", F.when(F.col("t.open"), F.col("host")).alias("host"), "page", "t.*")
-    text = _texts(run, bits)("data", "open", "host", "keys").alias("text")
+    proposed = rows.select("id", "url", "page", F.arrow_udf(_proposals, _TEXT)("html").alias("t")).select("id", "url", "page", "t.*")
+    text = _texts(run, bits)("data", "open", url_host(F.col("url")), "keys").alias("text")
     # one plan at every size: texts and counts meet by a merge join, also where the counts are few
     return proposed.join(repeated.hint("merge"), "page", "left").select("id", "url", text, F.coalesce("n", F.lit(0)).alias("n_repeated")) \
         .select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",

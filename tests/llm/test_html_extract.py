@@ -229,3 +229,24 @@ def test_near_copies_keep_their_body(spark):
     many = [("b.example", page(*body, f"counter {i}")) for i in range(40)]
     assert extracted(spark, many) == [" ".join((MENU, *body, f"counter {i}", FOOT)) for i in range(40)]
     assert extracted(spark, many + [("b.example", page(story(1)))])[0] == " ".join((*body, "counter 0"))
+
+
+NOTICE = "Write to us if you want to read more of our stories"
+
+
+def test_common_substrings_decide_inside_articles(spark):
+    def page(i, *blocks):
+        return f"<nav>{MENU}</nav><article><h1>Title {i}</h1><p>{story(i)}</p>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"
+
+    # a notice without a class on twelve of fourteen pages goes, a sentence that some articles share stays
+    rows = [("a.example", page(i, LICENCE if i % 3 == 0 else story(70 + i), *[NOTICE] * (i < 12))) for i in range(14)]
+    want = [f"Title {i} {story(i)} {LICENCE if i % 3 == 0 else story(70 + i)}" for i in range(14)]
+    assert extracted(spark, rows) == want
+    assert extracted(spark, rows, chunk_tokens=1) == want
+    # not on a host where most pages lack it, on few pages, among copies, or where it is most of the article
+    others = [("b.example", page(200 + i, *[NOTICE] * (i < 12))) for i in range(25)]
+    others += [("c.example", page(300 + i, NOTICE)) for i in range(9)]
+    others += [("d.example", page(400, NOTICE))] * 30
+    others += [("a.example", f"<article><p>Title of this</p><p>{NOTICE}</p></article>")]
+    assert extracted(spark, rows + others) == want + [" ".join(h._tokens([t for t, a, c in h.read_page(p).blocks if a and not c]))
+                                                      for _, p in others]
