@@ -1,12 +1,12 @@
 """Alignment of two tokenizations of the same text, and how often ids are linked.
 
-A text is encoded whole by a byte-level tokenizer (A, over a space and the text)
-and by a SentencePiece model (B, which puts the space itself).  Wherever both
-have a space-marked token at one byte offset, the tokens before end there too:
-such anchors cut a document into short windows of ids, and the bytes of both
-sides are compared window by window.  The alignment of a window depends on its
-ids alone, so it is kept by the tuple of ids; the windows of a batch that were
-not seen are aligned together.
+A text is encoded by a byte-level tokenizer (A, over a space and the text) and
+by a SentencePiece model (B, which puts the space itself).  Neither joins what
+is before a space (or a line end) that follows no white space to what is after:
+there both have a token's end, and there a text is cut into short windows.  The
+ids and the alignment of a window depend on its text alone, so they are kept by
+that text; the windows of a batch that were not seen are encoded by both sides,
+compared with their bytes and aligned together.
 
 Inside a window the ends of both sides cut its bytes into pieces; each piece is
 one link (an A and a B token whose bytes overlap), and each end that both sides
@@ -20,8 +20,10 @@ the others, none of them hot, are joined by shuffling.
 """
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,71 +31,49 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_automaton import byte_codec, load_spec
+from .bpe_automaton import WHITE, byte_codec, load_spec
 from .common import batches, materialise
 
 SPACE = "▁"
 KEPT_WINDOWS = 150_000
-LONGEST_KEPT = 256               # bytes of a window's key
+LONGEST_KEPT = 64                # characters of a window that is kept
 BROADCAST_PAIRS = 1_000_000
 BATCH_CHARS = 1_000_000
 NO_TOKENS = (0, 0, 0, 0, "", (), ())
 
 
+# groups as text, number of groups, A ids, B ids, code of each link, whether both sides give the window's bytes
+Window = tuple[str, int, int, int, bytes, bool]
+WRONG: Window = ("", 0, 0, 0, b"", False)
+
+
 class Windows:
-    """Alignments of id windows; ``a_bytes`` and ``b_bytes`` are the bytes of each id."""
+    """Alignments of windows by their text; ``a_bytes`` and ``b_bytes`` are the bytes of each id."""
 
     def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes]):
         self.a_size = np.array([len(x) for x in a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in b_bytes], np.int64)
-        self.a_space = np.array([x.startswith(b" ") for x in a_bytes])
-        self.b_space = np.array([x.startswith(b" ") for x in b_bytes])
         self.b_ids = len(b_bytes)
         self.a_bytes, self.b_bytes = a_bytes, b_bytes
         self.a_text = [np.array([f"{i}{end}" for i in range(len(a_bytes))], object) for end in ",|"]
         self.b_text = [np.array([f"{i}{end}" for i in range(len(b_bytes))], object) for end in ",;\n"]
-        self.known: dict[bytes, tuple[str, int, bytes, bool]] = {}
+        self.known: dict[str, Window] = {}
+
+    def verified(self, names: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        """Whether both sides give the bytes of each window."""
+        want, out = [t.encode() for t in names], np.ones(len(names), bool)
+        size = np.fromiter(map(len, want), np.int64, len(want))
+        for ids, n, known, sizes in ((a, n_a, self.a_bytes, self.a_size), (b, n_b, self.b_bytes, self.b_size)):
+            ends = np.append(0, np.cumsum(n))
+            parts = [known[i] for i in ids.tolist()]
+            if (np.diff(np.append(0, np.cumsum(sizes[ids]))[ends]) != size).any() or b"".join(parts) != b"".join(want):
+                cuts = ends.tolist()
+                out &= [b"".join(parts[p:q]) == w for w, p, q in zip(want, cuts, cuts[1:])]
+        return out
 
-    def cut(self, a: np.ndarray, b: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-        """(start offset, key) of the windows of texts that begin at ``begins``; a key is n_a, the A ids, the B ids."""
-        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        a_start, b_start = a_end - self.a_size[a], b_end - self.b_size[b]
-        anchor = np.zeros(int(a_end[-1]) + 1, np.uint8)
-        anchor[a_start[self.a_space[a]]] = 1
-        anchor[b_start[self.b_space[b]]] += 2
-        anchor[begins] = 3
-        starts = np.flatnonzero(anchor == 3)
-        # where each window's ids lie: head, A ids, B ids
-        a_first, b_first = np.searchsorted(a_start, starts), np.searchsorted(b_start, starts)
-        n_a, n_b = np.diff(a_first, append=a.size), np.diff(b_first, append=b.size)
-        number = np.arange(starts.size)
-        head = number + a_first + b_first
-        out = np.empty(starts.size + a.size + b.size, np.int32)
-        out[head] = n_a
-        out[np.arange(a.size) + np.repeat(number + 1 + b_first, n_a)] = a
-        out[np.arange(b.size) + np.repeat(number + 1 + a_first + n_a, n_b)] = b
-        data, ends = out.tobytes(), (4 * np.append(head[1:], out.size)).tolist()
-        return starts, [data[x:y] for x, y in zip([0, *ends], ends)]
-
-    def _verified(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[bool]:
-        """Whether both sides of each window have the same bytes."""
-        left, right = [self.a_bytes[i] for i in a.tolist()], [self.b_bytes[i] for i in b.tolist()]
-        if b"".join(left) == b"".join(right):            # windows have equal lengths on both sides
-            return [True] * len(n_a)
-        x, y = np.cumsum(n_a).tolist(), np.cumsum(n_b).tolist()
-        return [b"".join(left[p:q]) == b"".join(right[r:s]) for p, q, r, s in zip([0, *x], x, [0, *y], y)]
-
-    def align(self, keys: list[bytes]) -> list[tuple[str, int, bytes, bool]]:
-        """(groups as text, number of groups, code of each link, verified) of each window."""
-        every = np.frombuffer(b"".join(keys), np.int32)
-        size = np.fromiter((len(k) // 4 for k in keys), np.int64, len(keys))
-        head = np.cumsum(size) - size
-        n_a = every[head].astype(np.int64)
-        n_b = size - 1 - n_a
-        number = np.arange(len(keys))
-        a_first, b_first = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
-        a = every[np.arange(n_a.sum()) + np.repeat(head + 1 - a_first, n_a)].astype(np.int64)
-        b = every[np.arange(n_b.sum()) + np.repeat(head + 1 + n_a - b_first, n_b)].astype(np.int64)
+    def align(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> list[Window]:
+        """The alignment of windows with the same bytes on both sides; ``n_a``, ``n_b`` are their numbers of ids."""
+        number = np.arange(n_a.size)
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         ends = np.zeros(int(a_end[-1]) + 1, np.uint8)
         ends[a_end] = 1
@@ -102,9 +82,9 @@ class Windows:
         left, right = np.searchsorted(a_end, at), np.searchsorted(b_end, at)
         codes = a[left] * self.b_ids + b[right]
         window_of_a = np.repeat(number, n_a)
-        links = np.bincount(window_of_a[left], minlength=len(keys))
+        links = np.bincount(window_of_a[left], minlength=n_a.size)
         shared = ends[at] == 3
-        groups = np.bincount(window_of_a[left[shared]], minlength=len(keys))
+        groups = np.bincount(window_of_a[left[shared]], minlength=n_a.size)
         before = np.cumsum(ends == 3) - (ends == 3)      # groups closed before an offset
         a_text = np.where(ends[a_end] == 3, self.a_text[1][a], self.a_text[0][a])
         b_text = np.where(ends[b_end] == 3, self.b_text[1][b], self.b_text[0][b])
@@ -113,25 +93,29 @@ class Windows:
         order = np.argsort(np.concatenate((2 * before[a_end], 2 * before[b_end] + 1)), kind="stable")
         texts = "".join(np.concatenate((a_text, b_text))[order].tolist()).split("\n")
         data, cuts = codes.tobytes(), (8 * np.cumsum(links)).tolist()
-        return [(t, g, data[x:y], ok) for t, g, x, y, ok in zip(texts, groups.tolist(), [0, *cuts], cuts,
-                                                                self._verified(a, b, n_a, n_b))]
+        return [(t, g, x, y, data[p:q], True) for t, g, x, y, p, q in
+                zip(texts, groups.tolist(), n_a.tolist(), n_b.tolist(), [0, *cuts], cuts)]
 
-    def aligned(self, keys: list[bytes]) -> dict[bytes, tuple[str, int, bytes, bool]]:
-        """The alignment of each distinct key, kept ones included."""
-        out = dict.fromkeys(keys)
+    def aligned(self, names: list[str], encode) -> dict[str, Window]:
+        """The alignment of each distinct window, kept ones included; ``encode`` gives both sides of new ones."""
+        out = dict.fromkeys(names)
         new = []
-        for key in out:
-            known = out[key] = self.known.get(key)
+        for name in out:
+            known = out[name] = self.known.get(name)
             if known is None:
-                new.append(key)
+                new.append(name)
         if new:
-            fresh = dict(zip(new, self.align(new)))
+            new, a, n_a, b, n_b = encode(new)
+            fits = self.verified(new, a, n_a, b, n_b)
+            if not fits.all():
+                a, n_a, b, n_b = a[np.repeat(fits, n_a)], n_a[fits], b[np.repeat(fits, n_b)], n_b[fits]
+            found = iter(self.align(a, n_a, b, n_b) if fits.any() else ())
+            fresh = {name: next(found) if ok else WRONG for name, ok in zip(new, fits.tolist())}
             out.update(fresh)
-            if len(self.known) + len(fresh) > KEPT_WINDOWS:
-                self.known = {}
-            for key, value in fresh.items():
-                if len(key) <= LONGEST_KEPT and len(self.known) < KEPT_WINDOWS:
-                    self.known[key] = value
+            if len(self.known) + len(fresh) > KEPT_WINDOWS:      # begin anew with this batch's windows
+                self.known, fresh = {}, out
+            kept = ((name, value) for name, value in fresh.items() if len(name) <= LONGEST_KEPT)
+            self.known.update(islice(kept, KEPT_WINDOWS - len(self.known)))
         return out
 
 
@@ -142,54 +126,74 @@ class Aligner:
         self.bytes_codec = byte_codec(spec, special=False, packed=True)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         labels = self.bytes_codec.labels
-        self.piece_bytes = []
+        self.piece_bytes, plain = [], []
         for i in range(self.pieces.get_piece_size()):
             piece = self.pieces.id_to_piece(i)
             self.piece_bytes.append(bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i)
                                     else piece.replace(SPACE, " ").encode())
+            if not (self.pieces.is_byte(i) or self.pieces.is_control(i) or self.pieces.is_unknown(i)):
+                plain.append(piece)
         self.windows = Windows([labels.get(i, b"") for i in range(max(labels) + 1)], self.piece_bytes)
+        # a model with pieces across spaces, or one that rewrites white space, gets whole texts
+        kept = {"": "", "a  b ": f"{SPACE}a{2 * SPACE}b{SPACE}", "\t\n \n": f"{SPACE}\t\n{SPACE}\n"}
+        cuts = all(self.pieces.normalize(t) == want for t, want in kept.items()) and \
+            not any(SPACE in p.lstrip(SPACE) for p in plain)
+        ends = " " if any("\n" in p for p in plain) else r" \n"
+        # white space, then all up to a space or line end that follows no white space
+        self.ascii, self.window = (re.compile(
+            rf"[{w}]*+[^{w}]++(?:(?![{ends}])[{w}]++[^{w}]++)*+(?:(?![{ends}])[{w}]++\Z)?|[{w}]++" if cuts else r"(?s).+")
+            for w in (r"\t-\r ", WHITE))
+        self.front = len(self.pieces.encode("\n"))
+
+    def _sides(self, names: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The windows in another order, all their A ids and how many each has, the same of B."""
+        codec = self.bytes_codec
+        # A cuts before a window unless white space is in front, so the others are split into words together
+        inner, outer = [n for n in names if not n[-1].isspace()], [n for n in names if n[-1].isspace()]
+        names = inner + outer
+        words = codec.units("".join(inner))
+        words += chain.from_iterable(map(codec.units, outer))
+        ids = codec.encode_units(set(words))
+        data = [ids[w] for w in words]
+        sizes = np.append(0, np.cumsum(np.fromiter(map(len, data), np.int64, len(data)) // 4))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        stops = np.cumsum(np.fromiter(map(len, names), np.int64, len(names)))
+        n_a = np.diff(sizes[np.searchsorted(ends, stops) + 1], prepend=0)
+        # B puts a space in front of all but nothing; a line end that is put there joins nothing and goes again
+        spaced = [name.startswith(" ") and name != " " for name in names]
+        b = self.pieces.encode([name[1:] if s else f"\n{name}" for name, s in zip(names, spaced)], num_threads=1)
+        b = [x if s else x[self.front:] for s, x in zip(spaced, b)]
+        n_b = np.fromiter(map(len, b), np.int64, len(b))
+        return names, np.frombuffer(b"".join(data), np.int32).astype(np.int64), n_a, \
+            np.fromiter(chain.from_iterable(b), np.int64, int(n_b.sum())), n_b
 
     def rows(self, texts: list[str]) -> Iterator[tuple]:
         """(n_a, n_b, n_groups, n_links, groups_sha256, pair codes, links of each pair) of each text."""
-        a = [np.frombuffer(ids, np.int32) for ids in self.bytes_codec.encode_batch([" " + t for t in texts])]
-        b = [np.array(ids, np.int32) for ids in self.pieces.encode(texts, num_threads=1)]
-        w = self.windows
-        fits = [bool(t) and w.a_size[x].sum() == w.b_size[y].sum() for t, x, y in zip(texts, a, b)]
-        good = [i for i, ok in enumerate(fits) if ok]
-        found = self._aligned([a[i] for i in good], [b[i] for i in good]) if good else iter(())
-        for ok in fits:
-            yield next(found) if ok else NO_TOKENS
-
-    def _aligned(self, sides_a: list[np.ndarray], sides_b: list[np.ndarray]) -> Iterator[tuple]:
-        """``rows`` of texts with as many bytes on both sides."""
-        n_a, n_b = list(map(len, sides_a)), list(map(len, sides_b))
-        a, b, w = np.concatenate(sides_a), np.concatenate(sides_b), self.windows
-        ends = np.cumsum(w.a_size[a])[np.cumsum(n_a) - 1]
-        starts, keys = w.cut(a, b, np.concatenate(([0], ends[:-1])))
-        known = w.aligned(keys)
+        names = [(self.ascii if text.isascii() else self.window).findall(f" {text}") if text else [] for text in texts]
+        flat = list(chain.from_iterable(names))
+        if not flat:
+            yield from (NO_TOKENS for _ in texts)
+            return
+        known = self.windows.aligned(flat, self._sides)
         number = dict(zip(known, range(len(known))))
-        text, groups, codes, verified = zip(*known.values())
-        each = np.fromiter(map(number.__getitem__, keys), np.int64, len(keys))
+        text, *columns, codes, verified = zip(*known.values())
+        each = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
         links = np.fromiter(map(len, codes), np.int64, len(codes)) // 8
-        first = np.cumsum(links) - links
         per_window = links[each]
         edge = np.cumsum(per_window)
-        code = np.frombuffer(b"".join(codes), np.int64)[np.arange(int(edge[-1])) + np.repeat(first[each] - edge + per_window,
-                                                                                              per_window)]
-        cuts = np.append(np.searchsorted(starts, ends[:-1]), len(keys))
-        last = np.concatenate(([0], edge))[cuts]
-        total = np.concatenate(([0], np.cumsum(np.array(groups)[each])))[cuts]
-        wrong = np.concatenate(([0], np.cumsum(~np.array(verified)[each])))[cuts]
-        each, begin, link, group, bad = each.tolist(), 0, 0, 0, 0
-        for x, y, end, link_end, group_end, bad_end in zip(n_a, n_b, cuts.tolist(), last.tolist(), total.tolist(),
-                                                           wrong.tolist()):
-            if bad_end > bad:
+        code = np.frombuffer(b"".join(codes), np.int64)[
+            np.arange(int(edge[-1])) + np.repeat((np.cumsum(links) - links)[each] - edge + per_window, per_window)]
+        cuts = np.cumsum([0, *map(len, names)])
+        sums = [np.concatenate(([0], np.cumsum(np.array(c)[each])))[cuts] for c in (*columns, links, ~np.array(verified))]
+        groups, n_a, n_b, n_links, wrong = (np.diff(s).tolist() for s in sums)
+        each, last = each.tolist(), sums[3].tolist()
+        for i, (begin, end) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+            if begin == end or wrong[i]:
                 yield NO_TOKENS
-            else:
-                joined = ";".join([text[i] for i in each[begin:end]])
-                pairs, times = np.unique(code[link:link_end], return_counts=True)
-                yield x, y, group_end - group, link_end - link, hashlib.sha256(joined.encode()).hexdigest(), pairs, times
-            begin, link, group, bad = end, link_end, group_end, bad_end
+                continue
+            joined = ";".join([text[w] for w in each[begin:end]])
+            pairs, times = np.unique(code[last[i]:last[i + 1]], return_counts=True)
+            yield n_a[i], n_b[i], groups[i], n_links[i], hashlib.sha256(joined.encode()).hexdigest(), pairs, times
 
 
 @lru_cache(maxsize=1)

@@ -126,3 +126,29 @@ def test_query_equals_brute_force(spark):
 
 def test_lists_of_nothing():
     assert ta._lists([(), ()], pa.int64()).to_pylist() == [[], []]
+
+
+def test_windows_are_encoded_once(aligner, monkeypatch):
+    some = ["seldom words stand here twice, seldom words", "and here\nseldom words stand"] * 3
+    want = [brute(t) for t in some]
+    assert [row(aligner, r) for r in aligner.rows(some)] == want
+    pieces, encoded = aligner.pieces, []
+
+    class Spy:
+        def encode(self, texts, **kw):
+            encoded.extend(texts)
+            return pieces.encode(texts, **kw)
+
+    monkeypatch.setattr(aligner, "pieces", Spy())
+    assert [row(aligner, r) for r in aligner.rows([*some, "seldom words stand anew"])] == [*want, brute("seldom words stand anew")]
+    assert encoded == ["anew"]
+
+
+def test_windows_at_all_white_space(aligner):
+    rng = random.Random(5)
+    signs = ["a", "'s", "1", "!", " ", " ", "\n", "\t", "\r", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028",
+             "\u202f", "\u3000", "\u200b", "\u2581", "the", "\U0001f642", "\u0661"]
+    some = ["".join(rng.choices(signs, k=rng.randint(1, 12))) for _ in range(1500)]
+    some += [a + b + c for a in signs for b in signs for c in ("", " ", "a")]
+    assert [row(aligner, r) for r in aligner.rows(some)] == [brute(t) for t in some]
+    assert [row(aligner, next(aligner.rows([t]))) for t in some[:300]] == [brute(t) for t in some[:300]]
