@@ -34,6 +34,7 @@ SPACE = "▁"
 CACHED_UNITS = 150_000
 PAIR_BITS = 20                   # 2^20 answers of pair tests are kept
 LONGEST_CACHED = 64
+BATCH_CHARS = 500_000            # units and ids of a batch take some 50 bytes a character
 
 
 class Codec:
@@ -206,6 +207,10 @@ def _digest(ids: str, decoded: str) -> tuple[int, str, str]:
         hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def _digests(one: Codec, texts: pa.Array) -> list[tuple[int, str, str]]:
+    return [_digest(*row) for some in batches(texts, BATCH_CHARS) for row in one.encode_batch(some)]
+
+
 def _lenient(run: bytes) -> str:
     """UTF-8 text; each byte that is not part of a character becomes U+FFFD."""
     try:
@@ -244,7 +249,7 @@ def encode_column(df: DataFrame, path: str, text: Column) -> Column:
 
     def encode(texts: pa.Array) -> pa.Array:
         one = codec(model.value)
-        return pa.array([numbers(ids) for some in batches(texts) for ids, _ in one.encode_batch(some)], pa.list_(pa.int32()))
+        return pa.array([numbers(ids) for some in batches(texts, BATCH_CHARS) for ids, _ in one.encode_batch(some)], pa.list_(pa.int32()))
 
     return F.arrow_udf(encode, T.ArrayType(T.IntegerType()))(text)
 
@@ -275,8 +280,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     model = _model(docs, path)
 
     def digest(texts: pa.Array) -> pa.Array:
-        one = codec(model.value)
-        rows = [_digest(*row) for some in batches(texts) for row in one.encode_batch(some)]
+        rows = _digests(codec(model.value), texts)
         n, ids, decoded = zip(*rows) if rows else ((), (), ())
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.string()),
                                            pa.array(decoded, pa.string())], names=_DIGEST.names)

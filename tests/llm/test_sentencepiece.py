@@ -84,3 +84,20 @@ def test_columns(spark):
     back = ids.withColumn("back", sc.decode_column(ids, PATH, F.col("ids")))
     for r in back.collect():
         assert r.ids == LIBRARY.encode(r.text or "") and r.back == LIBRARY.decode(r.ids)
+
+
+def test_batches_take_bounded_memory():
+    import pyarrow as pa
+
+    class Sizes:
+        def __init__(self):
+            self.seen = []
+
+        def encode_batch(self, texts):
+            self.seen.append(sum(map(len, texts)))
+            return [("1", t) for t in texts]
+
+    one, texts = Sizes(), ["x" * 9_999] * 200 + [None, "", "y" * 1_200_000, "z"]
+    rows = sc._digests(one, pa.array(texts))
+    assert [r[0] for r in rows] == [1] * len(texts)
+    assert max(n for n in one.seen if n < 1_200_000) < 510_000 and sum(one.seen) == sum(len(t or "") for t in texts)
